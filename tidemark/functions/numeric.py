@@ -43,3 +43,8 @@ def zscore(c: str | Column, mean: str | Column, std: str | Column) -> Column:
 def residual(actual: str | Column, predicted: str | Column) -> Column:
     """NUM7: actual - prediction."""
     return _c(actual) - _c(predicted)
+
+
+def r6(c: str | Column) -> Column:
+    """Round to 6 digits for result comparison; ``+ 0.0`` turns a -0.0 into 0.0."""
+    return F.round(_c(c), 6) + F.lit(0.0)

@@ -56,17 +56,23 @@ def price_suffix(snippet: str | Column, price: str | Column) -> Column:
     """STR8: `` [Price: $x.xx]`` appended; a NULL price leaves the snippet unchanged (D28)."""
     snippet, price = _c(snippet), _c(price)
     return F.when(price.isNull(), snippet).otherwise(
-        F.concat(snippet, F.lit(" [Price: $"), F.format_string("%.2f", price), F.lit("]")))
+        F.concat(snippet, F.lit(" [Price: $"), fmt_fixed(price, 2), F.lit("]")))
+
+
+def _pre_round(c: Column, digits: int) -> Column:
+    # round first (HALF_UP on the shortest decimal form), so the formatter never meets a tie;
+    # + 0.0 prints a rounded -0.0 as 0.0
+    return F.round(c, digits) + F.lit(0.0)
 
 
 def fmt_signed(c: str | Column, digits: int = 2) -> Column:
-    """STR9 ``+.2f`` formatting (Java rounds exact ties half-up)."""
-    return F.format_string(f"%+.{digits}f", _c(c))
+    """STR9 ``+.2f`` formatting (exact decimal ties round half-up)."""
+    return F.format_string(f"%+.{digits}f", _pre_round(_c(c), digits))
 
 
 def fmt_fixed(c: str | Column, digits: int = 2) -> Column:
-    """STR9 ``.2f`` / ``.1f`` formatting."""
-    return F.format_string(f"%.{digits}f", _c(c))
+    """STR9 ``.2f`` / ``.1f`` formatting (exact decimal ties round half-up)."""
+    return F.format_string(f"%.{digits}f", _pre_round(_c(c), digits))
 
 
 def single_tag(c: str | Column) -> Column:

@@ -26,6 +26,15 @@ def clean_sql(col: str) -> str:
     return f"CASE WHEN {col} IS NULL THEN '' ELSE trim({s}) END"
 
 
+def half_up_sql(col: str, digits: int) -> str:
+    """Spark's ``round``: half-up on the shortest decimal form of the double."""
+    return f"(CAST(round(CAST(CAST({col} AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE) + 0.0)"
+
+
+def fmt_sql(col: str, digits: int, signed: bool = False) -> str:
+    return f"printf('%{'+' if signed else ''}.{digits}f', {half_up_sql(col, digits)})"
+
+
 def tokens_sql(col: str) -> str:
     return f"list_filter(regexp_split_to_array(lower({col}), {q(TOKEN_SPLIT)}), lambda x: x <> '')"
 
@@ -146,7 +155,7 @@ sent2 AS (
   SELECT *, CASE WHEN s0 <> 0 THEN s0 + sign(s0) * bangs * 0.292 ELSE s0 END AS s1 FROM sent),
 textf AS (
   SELECT * EXCLUDE (s0, s1, bangs),
-         round(s1 / sqrt(s1 * s1 + 15.0), 4) AS vader_compound
+         {half_up_sql('s1 / sqrt(s1 * s1 + 15.0)', 4)} AS vader_compound
   FROM sent2),
 textf2 AS (
   SELECT *, {combined} AS combined_sentiment,

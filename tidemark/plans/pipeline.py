@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import r6
+
 from tidemark.config import BINDING_CATEGORIES, BINDING_KEYWORDS, BINDING_LEXICON, WEIGHTS
 from tidemark.operators.clean import clean_articles
 from tidemark.operators.composite import engineer_features
@@ -35,7 +37,6 @@ def daily_stress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimum slice: validate -> clean -> dedup -> text features -> daily counts/spine/rolling ->
     z-scores -> weighted score -> per-day summary."""
     gold = gold_features(spark, sf_dir)
-    r6 = lambda c: F.round(c, 6)
     return gold.groupBy(F.to_date("timestamp").alias("d")).agg(
         F.count(F.lit(1)).cast("long").alias("n_articles"),
         F.max("daily_article_count").cast("long").alias("daily_article_count"),

@@ -62,3 +62,4 @@ register("daily_stress", oracle.DAILY_STRESS)(daily_stress)
 # further registrations live next to their query modules
 from tidemark.plans import queries_silver  # noqa: E402,F401
 from tidemark.plans import queries_bronze  # noqa: E402,F401
+from tidemark.plans import queries_risk  # noqa: E402,F401

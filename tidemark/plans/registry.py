@@ -63,3 +63,4 @@ register("daily_stress", oracle.DAILY_STRESS)(daily_stress)
 from tidemark.plans import queries_silver  # noqa: E402,F401
 from tidemark.plans import queries_bronze  # noqa: E402,F401
 from tidemark.plans import queries_risk  # noqa: E402,F401
+from tidemark.plans import queries_views  # noqa: E402,F401

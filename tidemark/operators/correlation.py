@@ -12,8 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _q(c: str) -> str:
-    return "`" + c.replace("`", "``") + "`"
+def safe_corr(a, b):
+    """Pearson correlation over rows where both are non-NULL; NULL (not an ANSI division error) when
+    either side is constant."""
+    a = F.col(a).cast("double") if isinstance(a, str) else a.cast("double")
+    b = F.col(b).cast("double") if isinstance(b, str) else b.cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    sa, sb = F.stddev_samp(F.when(both, a)), F.stddev_samp(F.when(both, b))
+    return F.try_divide(F.covar_samp(F.when(both, a), F.when(both, b)), sa * sb)
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -22,8 +28,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "source string, target string, corr double")
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{k}")
-                    for k, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[safe_corr(a, b).alias(f"_c{k}") for k, (a, b) in enumerate(pairs)])
     esc = lambda s: s.replace("\\", "\\\\").replace("'", "\\'")
     stack = ", ".join(f"'{esc(a)}', '{esc(b)}', _c{k}" for k, (a, b) in enumerate(pairs))
     return wide.selectExpr(f"stack({len(pairs)}, {stack}) as (source, target, corr)")
@@ -43,8 +48,7 @@ def correlation_network(df: DataFrame, columns: Sequence[str], threshold: float
 def target_correlations(df: DataFrame, features: Sequence[str], target: str, top: int | None = 20) -> DataFrame:
     """AGG11: corr(feature, target) for each feature, ranked by |corr| (top ``top``)."""
     feats = [f for f in features if f != target]
-    wide = df.agg(*[F.corr(F.col(f).cast("double"), F.col(target).cast("double")).alias(f"_c{k}")
-                    for k, f in enumerate(feats)])
+    wide = df.agg(*[safe_corr(f, target).alias(f"_c{k}") for k, f in enumerate(feats)])
     stack = ", ".join(f"'{f}', _c{k}" for k, f in enumerate(feats))
     long = wide.selectExpr(f"stack({len(feats)}, {stack}) as (feature, corr)") \
         .withColumn("abs_corr", F.abs("corr")).where(F.col("corr").isNotNull())

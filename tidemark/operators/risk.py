@@ -98,7 +98,9 @@ def autocorrelation(series: DataFrame, max_lag: int = 20) -> DataFrame:
     r = returns(series).where(F.col("ret").isNotNull())
     w = _w()
     lagged = r.select("instrument", "ret", *[F.lag("ret", k).over(w).alias(f"l{k}") for k in range(1, max_lag + 1)])
-    wide = lagged.groupBy("instrument").agg(*[F.corr("ret", f"l{k}").alias(f"c{k}") for k in range(1, max_lag + 1)])
+    from tidemark.operators.correlation import safe_corr
+
+    wide = lagged.groupBy("instrument").agg(*[safe_corr("ret", f"l{k}").alias(f"c{k}") for k in range(1, max_lag + 1)])
     stack = ", ".join(f"{k}, c{k}" for k in range(1, max_lag + 1))
     return wide.selectExpr("instrument", f"stack({max_lag}, {stack}) as (lag, autocorr)") \
         .withColumn("lag", F.col("lag").cast("int"))

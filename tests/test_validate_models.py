@@ -110,3 +110,14 @@ def test_filters_are_pushed_to_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in plan \
         or "ReadSchema: struct<o_orderdate:timestamp_ntz,o_totalprice:double>" in plan
+
+
+def test_neural_regressor_learns(spark):
+    from tidemark.models.neural import fit_neural
+
+    g = _gold_like(spark, 300)
+    m = fit_neural(g, ["f1", "f2"], epochs=60, lr=0.01, dropout=0.0)
+    first, last = m.history[0][1], min(h[1] for h in m.history)
+    assert last < first * 0.5
+    out = m.transform(g)
+    assert out.count() == 300 and out.where(F.col("neural_network_prediction").isNull()).count() == 0

@@ -234,3 +234,16 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     for df in (one(valid, "valid_rows"), one(s, "silver_rows"), one(g, "gold_rows"), dates):
         out = out.crossJoin(df)  # each side is one aggregated row
     return out
+
+
+@register("neural_regression")
+def neural_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML6: dense 64-32-16 ReLU regressor (data-parallel Adam, early stopping); held-out metrics."""
+    from tidemark.models.features import hash_split
+    from tidemark.models.neural import fit_neural
+
+    g = _gold(spark, sf_dir).persist()
+    model = fit_neural(g, _features(g), TARGET, epochs=40)
+    scored = hash_split(model.transform(g))
+    return RG.evaluate(scored.where(~F.col("is_train")), TARGET, ["neural_network_prediction"]) \
+        .withColumn("epochs_run", F.lit(len(model.history)))

@@ -39,24 +39,31 @@ def _map(d: dict[str, float]) -> Column:
                              F.array(*[F.lit(float(d[k])) for k in keys]))
 
 
-def _is_neg(tok: Column, negs: Column) -> Column:
-    return F.coalesce(F.array_contains(negs, tok), F.lit(False))
+def negation_flags(toks: Column, lex: Lexicon) -> Column:
+    """Per token: is it a negation word (computed once per row, indexed by the scorers)."""
+    if not lex.negations:
+        return F.transform(toks, lambda t: F.lit(False))
+    return F.transform(toks, lambda t: t.isin(list(lex.negations)))
 
 
-def compound(text: Column, lex: Lexicon, toks: Column | None = None) -> Column:
-    """``toks`` should be a column *reference* to precomputed ``tokens(text)``; an inline token
-    expression would be re-evaluated for every element access inside the lambdas."""
+def _flag(flags: Column, i: Column) -> Column:
+    return F.coalesce(F.get(flags, i), F.lit(False))
+
+
+def compound(text: Column, lex: Lexicon, toks: Column | None = None, neg: Column | None = None) -> Column:
+    """``toks`` / ``neg`` should be column *references* to precomputed ``tokens(text)`` and
+    ``negation_flags``; inline expressions would be re-evaluated for every element access inside
+    the lambdas."""
     toks = tokens(text) if toks is None else toks
+    neg = negation_flags(toks, lex) if neg is None else neg
     val = _map(lex.valence)
     boost = _map(lex.boosters)
-    negs = F.array(*[F.lit(n) for n in lex.negations]) if lex.negations else F.array().cast("array<string>")
 
     def score(t: Column, i: Column) -> Column:
         v = F.coalesce(F.try_element_at(val, t), F.lit(0.0))
         b = F.coalesce(F.try_element_at(boost, F.get(toks, i - 1)), F.lit(0.0))
         v = F.when(v != 0, v + F.signum(v) * b * F.lit(VADER_BOOSTER_INCREMENT)).otherwise(v)
-        negated = (_is_neg(F.get(toks, i - 1), negs) | _is_neg(F.get(toks, i - 2), negs)
-                   | _is_neg(F.get(toks, i - 3), negs))
+        negated = _flag(neg, i - 1) | _flag(neg, i - 2) | _flag(neg, i - 3)
         return F.when(negated, v * F.lit(VADER_NEGATION_SCALAR)).otherwise(v)
 
     s = F.aggregate(F.transform(toks, score), F.lit(0.0), lambda acc, x: acc + x)
@@ -67,14 +74,15 @@ def compound(text: Column, lex: Lexicon, toks: Column | None = None) -> Column:
     return F.when(text.isNull(), F.lit(0.0)).otherwise(comp)
 
 
-def polarity_subjectivity(text: Column, lex: Lexicon, toks: Column | None = None) -> tuple[Column, Column]:
+def polarity_subjectivity(text: Column, lex: Lexicon, toks: Column | None = None,
+                          neg: Column | None = None) -> tuple[Column, Column]:
     toks = tokens(text) if toks is None else toks
+    neg = negation_flags(toks, lex) if neg is None else neg
     pol = _map(lex.polarity)
     subj = _map(lex.subjectivity)
-    negs = F.array(*[F.lit(n) for n in lex.negations]) if lex.negations else F.array().cast("array<string>")
 
     pol_vals = F.filter(F.transform(toks, lambda t, i: F.try_element_at(pol, t) * F.when(
-        _is_neg(F.get(toks, i - 1), negs), F.lit(-0.5)).otherwise(F.lit(1.0))), lambda x: x.isNotNull())
+        _flag(neg, i - 1), F.lit(-0.5)).otherwise(F.lit(1.0))), lambda x: x.isNotNull())
     subj_vals = F.filter(F.transform(toks, lambda t: F.try_element_at(subj, t)), lambda x: x.isNotNull())
 
     def mean(arr: Column) -> Column:

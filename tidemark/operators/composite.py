@@ -17,7 +17,7 @@ from tidemark.functions.dates import recency
 from tidemark.functions.keywords import (DEFAULT_TYPE_TO_CATEGORY, keyword_points, mention_columns,
                                          price_stress)
 from tidemark.functions.numeric import combined_sentiment, zscore
-from tidemark.functions.sentiment import compound, polarity_subjectivity
+from tidemark.functions.sentiment import compound, negation_flags, polarity_subjectivity
 from tidemark.functions.text import headline_length, tokens, word_count
 from tidemark.operators.ordering import blocked_window, global_index
 from tidemark.session import cut_lineage
@@ -35,13 +35,15 @@ def text_features(df: DataFrame, keywords: Mapping[str, Sequence[str]] = STRESS_
     # tokens once per row; the lambdas below index into this column
     df = df.withColumn("_toks", tokens(h))
     toks = F.col("_toks")
-    pol, subj = polarity_subjectivity(h, lexicon, toks)
+    df = df.withColumn("_neg", negation_flags(toks, lexicon))
+    neg = F.col("_neg")
+    pol, subj = polarity_subjectivity(h, lexicon, toks, neg)
     out = df.select(
         "*",
         pol.alias("sentiment_polarity"),
         subj.alias("sentiment_subjectivity"),
-        compound(h, lexicon, toks).alias("vader_compound"),
-    ).drop("_toks")
+        compound(h, lexicon, toks, neg).alias("vader_compound"),
+    ).drop("_toks", "_neg")
     out = out.withColumn("combined_sentiment", combined_sentiment(
         "vader_compound", "change_percent" if has_change else None))
     kw = keyword_points(h, keywords)

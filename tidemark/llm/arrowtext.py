@@ -141,14 +141,23 @@ def words(chunk: Chunk, separator: np.ndarray) -> Words:
     return Words(starts, ends, np.searchsorted(starts, edges))
 
 
+class SpanHasher:
+    """64-bit hashes of byte spans of a chunk: differences of one running polynomial sum."""
+
+    def __init__(self, chunk: Chunk):
+        n = len(chunk.data)
+        powers, self._inverse = _power_tables(n + 1)
+        self._total = np.zeros(n + 1, dtype=U64)
+        with np.errstate(over="ignore"):
+            np.cumsum(BYTE_CODE[chunk.data] * powers[:n], dtype=U64, out=self._total[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self._total[ends] - self._total[starts]) * self._inverse[starts] + (ends - starts).astype(U64))
+
+
 def span_hashes(chunk: Chunk, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span: differences of one running polynomial sum."""
-    n = len(chunk.data)
-    powers, inverse = _power_tables(n + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(n + 1, dtype=U64)
-        np.cumsum(BYTE_CODE[chunk.data] * powers[:n], dtype=U64, out=total[1:])
-        return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    return SpanHasher(chunk)(starts, ends)
 
 
 def hash_words(tokens: list[bytes]) -> np.ndarray:
@@ -188,11 +197,3 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
                 if out is not None and out.num_rows:
                     yield out
     return df.mapInArrow(run, schema)
-
-
-def concat_batches(schema: pa.Schema, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """One batch of several."""
-    if not parts:
-        return pa.RecordBatch.from_pylist([], schema=schema)
-    return pa.Table.from_batches(parts, schema=schema).combine_chunks().to_batches()[0] if any(
-        p.num_rows for p in parts) else parts[0]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, jaccard, toxicity
 from tidemark.llm.tables import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +18,20 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("hit_spans", "item_ids")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every whole text, learned from the labelled training rows."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("evidence")
+
+
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles, similarity of 0.9 or more, all documents."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 QUERIES: dict[str, Builder] = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, jaccard, toxicity
+from tidemark.llm import (chat, decontaminate, html_text, jaccard, language, packing, quality, token_files, toxicity,
+                          urls)
 from tidemark.llm.tables import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -23,15 +24,50 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("evidence")
 
 
+def op3_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls and results that all conversation turns stand for, linked, ordered, validated, serialised."""
+    return chat.link_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and link-graph verdict of every page."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and divergence verdicts of every whole text."""
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, written as range-coded block files and read back."""
+    import public_tokenizers
+
+    return token_files.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity of 0.9 or more, all documents."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
-QUERIES: dict[str, Builder] = {
-    "op1_decontamination": op1_decontamination,
-    "op2_toxicity": op2_toxicity,
-    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
-}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the training rows."""
+    return language.identify(table(spark, sf_dir, "documents")).drop("languages")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets and batches of all documents."""
+    return packing.pack(packing.word_lengths(table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Builder] = {fn.__name__: fn for fn in (
+    op1_decontamination, op2_toxicity, op3_chat_tool_calls, op4_url_filters, op5_quality_rules, op6_token_files,
+    op7_html_extraction, op8_ngram_jaccard_join, op9_language_id, op10_packing)}
 
 ORACLE: dict[str, str] = {}

@@ -16,7 +16,7 @@ def test_blocked_window_equals_global(spark, parts, block):
     from tests.conftest import SF
 
     ev = events(spark, SF).select(F.col("event_id").alias("row_id"), F.col("ts").alias("timestamp"), "value")
-    idx = global_index(ev, ["timestamp", "row_id"], "idx", num_partitions=parts)
+    idx = global_index(ev, ["timestamp", "row_id"], "idx", rows_per_bucket=-(-1000 // parts))
 
     def build(w):
         return [F.lead("value", 1).over(w).alias("nxt"),
@@ -91,3 +91,38 @@ def test_normal_quantile(spark):
     got = [r["z"] for r in df.select(R.normal_quantile(F.col("p")).alias("z")).collect()]
     assert abs(got[0] + 2.3263478740) < 1e-6 and abs(got[1]) < 1e-9 and abs(got[2] - 1.959963985) < 1e-6
     assert not any(math.isnan(x) for x in got)
+
+
+@pytest.mark.parametrize("partitions", [4, 8, 64])
+def test_global_index_on_many_wide_rows(spark, partitions):
+    """400,000 wide rows, hot and null timestamps: equal to one global row_number, also when joined."""
+    n = 400_000
+    rows = spark.range(n).repartition(partitions).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 1000 == 1, None)
+        .otherwise(F.pmod(F.xxhash64("id"), F.lit(50_000))).alias("timestamp"),
+        F.repeat(F.lit("payload "), 20).alias("payload"))
+    idx = global_index(rows, ["timestamp", "row_id"], rows_per_bucket=5000)
+    want = rows.select("row_id", F.row_number().over(Window.orderBy("timestamp", "row_id")).alias("w"))
+    got = idx.join(want, "row_id").agg(
+        F.count_if(F.col("idx") != F.col("w")).alias("bad"), F.count_distinct("idx").alias("n"), F.max("idx").alias("top")).first()
+    assert (got["bad"], got["n"], got["top"]) == (0, n, n)
+
+
+def test_exact_quantiles(spark):
+    from tidemark.operators.quantiles import exact_quantiles
+
+    df = spark.range(5001).select(F.col("id").alias("row_id"), (F.pmod(F.xxhash64("id"), F.lit(97)) / 7.0).alias("a"),
+                                  F.when(F.col("id") % 2 == 0, -F.col("id")).alias("b"), F.lit(None).cast("double").alias("c"))
+    got = exact_quantiles(df, ["a", "b", "c"], [0.0, 0.1, 0.33, 0.5, 1.0])
+    for c in ("a", "b"):
+        want = df.agg(F.percentile(c, F.array(*[F.lit(p) for p in (0.0, 0.1, 0.33, 0.5, 1.0)]))).first()[0]
+        assert got[c] == pytest.approx(want, abs=1e-12)
+    assert got["c"] == [None] * 5
+
+
+@pytest.mark.parametrize("n", [10, 256, 10**5, 10**9, 10**12])
+def test_forest_hash_bound_expects_enough_rows_at_any_size(n):
+    from tidemark.models.iforest import hash_bound
+
+    expected = n * (hash_bound(256, n) + 2**63 + 1) / 2**64
+    assert expected >= min(n, 400) * 0.999 and (n < 500 or expected <= 460)

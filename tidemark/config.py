@@ -64,7 +64,6 @@ MAX_TEXT_LENGTH = 1000
 SHORT_HEADLINE = 10
 MARKET_SOURCE_PATTERN = "investing.com|yahoo_finance"
 TRADING_DAYS = 252
-SNIPPET_MAX_CHARS = 2000
 CONFIDENCE_THRESHOLD = 0.7
 REGIME_BINS = (0.3, 0.7)
 

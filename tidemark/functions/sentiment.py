@@ -14,7 +14,9 @@ polarity / subjectivity (STR3)
     mean over tokens found in the polarity table of polarity (times -0.5 when the previous token
     is a negation), mean subjectivity over tokens found in the subjectivity table; 0 when none.
 
-Lexicons are small literal maps here (the map is a plan constant).
+Tokens that no table of the lexicon holds are filtered out first (a hash-set test per token); the
+rest become structs of their values in one pass, and every score is one aggregate over that short list.
+The tables are plan constants.
 """
 
 from __future__ import annotations
@@ -26,12 +28,8 @@ from tidemark.config import (VADER_ALPHA, VADER_BOOSTER_INCREMENT, VADER_EXCLAMA
                              VADER_MAX_EXCLAMATIONS, VADER_NEGATION_SCALAR, Lexicon)
 from tidemark.functions.text import tokens
 
-MAX_LITERAL_LEXICON = 4096
-
 
 def _map(d: dict[str, float]) -> Column:
-    if len(d) > MAX_LITERAL_LEXICON:
-        raise ValueError("lexicon too large for a literal map; score with a join instead")
     if not d:
         return F.create_map().cast("map<string,double>")
     keys = sorted(d)
@@ -39,34 +37,38 @@ def _map(d: dict[str, float]) -> Column:
                              F.array(*[F.lit(float(d[k])) for k in keys]))
 
 
-def negation_flags(toks: Column, lex: Lexicon) -> Column:
-    """Per token: is it a negation word (computed once per row, indexed by the scorers)."""
-    if not lex.negations:
-        return F.transform(toks, lambda t: F.lit(False))
-    return F.transform(toks, lambda t: t.isin(list(lex.negations)))
-
-
-def _flag(flags: Column, i: Column) -> Column:
-    return F.coalesce(F.get(flags, i), F.lit(False))
+def scored_tokens(toks: Column, lex: Lexicon) -> Column:
+    """array<struct<v, pol, subj>> of the tokens with a value: valence after booster and negation (0 if
+    the token has none), polarity and subjectivity (null if none).
 
+    ``toks`` should be a column *reference* to precomputed ``tokens(text)``: an inline expression would
+    be evaluated again for every element access inside the lambdas."""
+    known = sorted({*lex.valence, *lex.polarity, *lex.subjectivity})
+    if not known:
+        return F.array().cast("array<struct<v:double,pol:double,subj:double>>")
+    val, boost, pol, subj = map(_map, (lex.valence, lex.boosters, lex.polarity, lex.subjectivity))
 
-def compound(text: Column, lex: Lexicon, toks: Column | None = None, neg: Column | None = None) -> Column:
-    """``toks`` / ``neg`` should be column *references* to precomputed ``tokens(text)`` and
-    ``negation_flags``; inline expressions would be re-evaluated for every element access inside
-    the lambdas."""
-    toks = tokens(text) if toks is None else toks
-    neg = negation_flags(toks, lex) if neg is None else neg
-    val = _map(lex.valence)
-    boost = _map(lex.boosters)
+    def is_negation(i: Column) -> Column:
+        return F.coalesce(F.get(toks, i).isin(sorted(lex.negations)), F.lit(False)) if lex.negations else F.lit(False)
 
-    def score(t: Column, i: Column) -> Column:
+    def values(i: Column) -> Column:
+        t = F.get(toks, i)
         v = F.coalesce(F.try_element_at(val, t), F.lit(0.0))
         b = F.coalesce(F.try_element_at(boost, F.get(toks, i - 1)), F.lit(0.0))
         v = F.when(v != 0, v + F.signum(v) * b * F.lit(VADER_BOOSTER_INCREMENT)).otherwise(v)
-        negated = _flag(neg, i - 1) | _flag(neg, i - 2) | _flag(neg, i - 3)
-        return F.when(negated, v * F.lit(VADER_NEGATION_SCALAR)).otherwise(v)
+        negated = is_negation(i - 1) | is_negation(i - 2) | is_negation(i - 3)
+        return F.struct(
+            F.when(negated, v * F.lit(VADER_NEGATION_SCALAR)).otherwise(v).alias("v"),
+            (F.try_element_at(pol, t) * F.when(is_negation(i - 1), F.lit(-0.5)).otherwise(F.lit(1.0))).alias("pol"),
+            F.try_element_at(subj, t).alias("subj"))
 
-    s = F.aggregate(F.transform(toks, score), F.lit(0.0), lambda acc, x: acc + x)
+    places = F.when(F.size(toks) > 0, F.sequence(F.lit(0), F.size(toks) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(F.filter(places, lambda i: F.get(toks, i).isin(known)), values)
+
+
+def compound(text: Column, lex: Lexicon, scored: Column | None = None) -> Column:
+    scored = scored_tokens(tokens(text), lex) if scored is None else scored
+    s = F.aggregate(scored, F.lit(0.0), lambda acc, x: acc + x["v"])
     bangs = F.least(F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit(""))),
                     F.lit(VADER_MAX_EXCLAMATIONS))
     s = F.when(s != 0, s + F.signum(s) * bangs * F.lit(VADER_EXCLAMATION_INCREMENT)).otherwise(s)
@@ -74,21 +76,17 @@ def compound(text: Column, lex: Lexicon, toks: Column | None = None, neg: Column
     return F.when(text.isNull(), F.lit(0.0)).otherwise(comp)
 
 
-def polarity_subjectivity(text: Column, lex: Lexicon, toks: Column | None = None,
-                          neg: Column | None = None) -> tuple[Column, Column]:
-    toks = tokens(text) if toks is None else toks
-    neg = negation_flags(toks, lex) if neg is None else neg
-    pol = _map(lex.polarity)
-    subj = _map(lex.subjectivity)
-
-    pol_vals = F.filter(F.transform(toks, lambda t, i: F.try_element_at(pol, t) * F.when(
-        _flag(neg, i - 1), F.lit(-0.5)).otherwise(F.lit(1.0))), lambda x: x.isNotNull())
-    subj_vals = F.filter(F.transform(toks, lambda t: F.try_element_at(subj, t)), lambda x: x.isNotNull())
+def polarity_subjectivity(text: Column, lex: Lexicon, scored: Column | None = None) -> tuple[Column, Column]:
+    scored = scored_tokens(tokens(text), lex) if scored is None else scored
 
-    def mean(arr: Column) -> Column:
-        total = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
-        return F.when(F.size(arr) > 0, total / F.size(arr)).otherwise(F.lit(0.0))
+    def mean(name: str) -> Column:
+        zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
+        return F.aggregate(
+            scored, zero,
+            lambda acc, x: F.struct((acc["s"] + F.coalesce(x[name], F.lit(0.0))).alias("s"),
+                                    (acc["n"] + F.when(x[name].isNull(), 0).otherwise(1)).alias("n")),
+            lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]).otherwise(F.lit(0.0)))
 
-    p = F.when(text.isNull(), F.lit(0.0)).otherwise(mean(pol_vals))
-    s = F.when(text.isNull(), F.lit(0.0)).otherwise(mean(subj_vals))
+    p = F.when(text.isNull(), F.lit(0.0)).otherwise(mean("pol"))
+    s = F.when(text.isNull(), F.lit(0.0)).otherwise(mean("subj"))
     return p, s

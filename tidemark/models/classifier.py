@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models.features import assemble, fill_zero, hash_split
+from tidemark.operators.quantiles import exact_quantiles
 
 CLASSES = ("low", "medium", "high")
 
 
 def regime_labels(df: DataFrame, score: str = "weighted_stress_score", q_low: float = 0.33,
                   q_high: float = 0.67) -> DataFrame:
-    """ML7b: ``label`` (0/1/2) and ``regime_label`` from the score quantiles (one 1-row aggregate)."""
-    lo, hi = df.agg(F.percentile(score, q_low), F.percentile(score, q_high)).first()
+    """ML7b: ``label`` (0/1/2) and ``regime_label`` from the score quantiles (exact, over the row index)."""
+    lo, hi = exact_quantiles(df, [score], (q_low, q_high))[score]
     s = F.col(score)
     idx = F.when(s < F.lit(lo), 0).when(s > F.lit(hi), 2).otherwise(1) if lo is not None else F.lit(1)
     return df.withColumn("label", idx.cast("double")).withColumn(
@@ -74,21 +75,19 @@ def predict_regimes(df: DataFrame, fitted, prefix: str = "") -> DataFrame:
 
 def classification_report(pred: DataFrame, truth: str = "regime_label", predicted: str = "risk_regime") -> DataFrame:
     """AGG25 (multiclass): per class precision, recall, F1, support, plus overall accuracy."""
+    counts = pred.agg(
+        F.avg((F.col(truth) == F.col(predicted)).cast("double")).alias("accuracy"),
+        *[F.count_if(cond).alias(f"{name}_{c}") for c in CLASSES for name, cond in (
+            ("tp", (F.col(truth) == c) & (F.col(predicted) == c)), ("fp", (F.col(truth) != c) & (F.col(predicted) == c)),
+            ("fn", (F.col(truth) == c) & (F.col(predicted) != c)), ("support", F.col(truth) == c))])
     rows = []
     for c in CLASSES:
-        tp = F.count_if((F.col(truth) == c) & (F.col(predicted) == c))
-        fp = F.count_if((F.col(truth) != c) & (F.col(predicted) == c))
-        fn = F.count_if((F.col(truth) == c) & (F.col(predicted) != c))
-        prec = F.try_divide(tp, tp + fp)
-        rec = F.try_divide(tp, tp + fn)
-        rows.append(pred.agg(F.lit(c).alias("class"), prec.alias("precision"), rec.alias("recall"),
+        tp, fp, fn = (F.col(f"{k}_{c}") for k in ("tp", "fp", "fn"))
+        prec, rec = F.try_divide(tp, tp + fp), F.try_divide(tp, tp + fn)
+        rows.append(F.struct(F.lit(c).alias("class"), prec.alias("precision"), rec.alias("recall"),
                              F.try_divide(2 * prec * rec, prec + rec).alias("f1"),
-                             F.count_if(F.col(truth) == c).cast("long").alias("support"),
-                             F.avg((F.col(truth) == F.col(predicted)).cast("double")).alias("accuracy")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+                             F.col(f"support_{c}").cast("long").alias("support"), F.col("accuracy")))
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def binary_report(pred: DataFrame, truth: str, predicted: str) -> DataFrame:

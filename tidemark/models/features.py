@@ -1,11 +1,11 @@
-"""Feature matrix helpers for the models (PRJ11, PRJ12, ML0a, ML0c, W9)."""
+"""Feature matrix helpers for the models (PRJ11, PRJ12, ML0a, ML0c)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,18 +46,3 @@ def population_scaler(df: DataFrame, features: Sequence[str], suffix: str = "_z"
         m, s = stats[c]
         cols.append(((F.col(c) - F.lit(m)) / F.lit(s) if s > 0 else F.lit(0.0)).alias(c + suffix))
     return df.select("*", *cols), stats
-
-
-def lag_features(df: DataFrame, columns: Sequence[str], lags: int, window: int,
-                 order: Sequence[str] = ("timestamp", "row_id"), partition: Sequence[str] = ()) -> DataFrame:
-    """W9: per column the lags 1..L and rolling mean/std over the previous ``window`` rows (frames end
-    at -1 so the current value is not included, D7); rows with any NULL are dropped.  One window spec,
-    so one sort.  ``partition`` keeps series apart (an empty partition means one global series and is
-    only meant for small, already aggregated inputs)."""
-    w = Window.partitionBy(*partition).orderBy(*order) if partition else Window.orderBy(*order)
-    wr = w.rowsBetween(-window, -1)
-    out = []
-    for c in columns:
-        out += [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for k in range(1, lags + 1)]
-        out += [F.avg(c).over(wr).alias(f"{c}_roll_mean"), F.stddev_samp(c).over(wr).alias(f"{c}_roll_std")]
-    return df.select("*", *out).na.drop()

@@ -3,12 +3,12 @@
 MLlib has no isolation forest, so:
 
 1. **Sampling** -- tree ``t`` takes the ``psi`` rows with the smallest ``xxhash64(row_id, seed, t)``.
-   Each row proposes itself only to the trees whose hash falls under a threshold slightly above
-   ``psi / n``, so the exploded candidate set is about ``trees * psi`` rows whatever the data size.
+   Each row proposes itself only to the trees whose 64-bit hash falls under a threshold slightly above
+   ``psi / n`` of its range, so the exploded candidate set is about ``trees * psi`` rows whatever the data size.
 2. **Growing** -- ``groupBy(tree).applyInPandas``: one task per tree builds its isolation tree with
    numpy on its <= ``psi`` rows (the forest is bounded by ``trees * (2 * psi - 1)`` nodes).
-3. **Scoring** -- the forest (a few hundred KB) is shipped with a ``mapInPandas`` function that
-   scores Arrow batches: ``s = -2 ** (-E[h(x)] / c(psi))`` (higher = more normal).
+3. **Scoring** -- the forest (a few hundred KB) is shipped with a pandas UDF over the numeric
+   columns: ``s = -2 ** (-E[h(x)] / c(psi))`` (higher = more normal).
 4. **Threshold** -- the ``contamination`` quantile of the training scores; ``is_anomaly`` = score
    below it, ``anomaly_score`` = score - threshold (negative for anomalies).
 """
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.models.features import fill_zero, population_scaler
+from tidemark.operators.quantiles import exact_quantiles
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, size long")
 
@@ -76,8 +77,9 @@ class IsolationForestModel:
         trees = []
         for _, g in nodes.groupby("tree"):
             g = g.sort_values("node")
+            leaf = np.array([_c(s) for s in g["size"]])  # expected depth below each node
             trees.append((g["feature"].to_numpy(), g["threshold"].to_numpy(), g["left"].to_numpy(),
-                          g["right"].to_numpy(), g["size"].to_numpy()))
+                          g["right"].to_numpy(), leaf))
         self.trees = trees
 
     def _scaled(self, df: DataFrame) -> DataFrame:
@@ -92,11 +94,10 @@ class IsolationForestModel:
         trees, cpsi = self.trees, _c(self.psi)
         zcols = [c + "_z" for c in self.features]
         x = self._scaled(df)
-        schema = T.StructType(x.schema.fields + [T.StructField("_iso_score", T.DoubleType())])
 
         def path_lengths(batch: np.ndarray) -> np.ndarray:
             total = np.zeros(len(batch))
-            for feat, thr, left, right, size in trees:
+            for feat, thr, left, right, leaf in trees:
                 node = np.zeros(len(batch), dtype=np.int64)
                 depth = np.zeros(len(batch))
                 active = feat[node] >= 0
@@ -107,17 +108,17 @@ class IsolationForestModel:
                     node[active] = nxt
                     depth[active] += 1
                     active = feat[node] >= 0
-                total += depth + np.array([_c(s) for s in size[node]])
+                total += depth + leaf[node]
             return total / len(trees)
 
-        def score_batches(it):
-            for pdf in it:
-                arr = pdf[zcols].to_numpy(dtype=float)
-                h = path_lengths(arr) if len(arr) else np.zeros(0)
-                pdf["_iso_score"] = -np.power(2.0, -h / cpsi) if cpsi > 0 else -np.ones(len(arr))
-                yield pdf
+        @F.pandas_udf(T.DoubleType())
+        def score_rows(*columns: pd.Series) -> pd.Series:
+            arr = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            h = path_lengths(arr)
+            return pd.Series(-np.power(2.0, -h / cpsi) if cpsi > 0 else -np.ones(len(arr)))
 
-        return x.mapInPandas(score_batches, schema)
+        # only the scaled numeric columns go to Python
+        return x.withColumn("_iso_score", score_rows(*zcols))
 
     def transform(self, df: DataFrame, top_features: int = 3) -> DataFrame:
         """``is_anomaly``, ``anomaly_score`` (= score - threshold) and TOP2 ``top_anomaly_features``."""
@@ -132,20 +133,25 @@ class IsolationForestModel:
         return s.withColumn("top_anomaly_features", top).drop("_iso_score", *[c + "_z" for c in self.features])
 
 
+def hash_bound(psi: int, n: int) -> int:
+    """Upper bound of the signed 64-bit hash under which a row proposes itself to a tree: 1.5 * psi + 64
+    rows expected of n, and a few standard deviations above psi at any n."""
+    share = min(1.0, (1.5 * psi + 64.0) / max(n, 1))
+    return min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+
+
 def fit_isolation_forest(df: DataFrame, features: Sequence[str], trees: int = 100, psi: int = 256,
-                         contamination: float = 0.1, seed: int = 42, key: str = "row_id",
-                         exact_threshold: bool = True) -> IsolationForestModel:
+                         contamination: float = 0.1, seed: int = 42, key: str = "row_id") -> IsolationForestModel:
     feats = list(features)
     base = fill_zero(df, feats)
     scaled, stats = population_scaler(base, feats, "_z")
     n = scaled.count()
     psi = max(1, min(psi, n))
     zcols = [c + "_z" for c in feats]
-    frac = min(1.0, psi / max(n, 1) * 1.5 + 64.0 / max(n, 1))
-    cut = int(frac * 1_000_000)
-    h = lambda t: F.pmod(F.xxhash64(F.col(key), F.lit(seed), t), F.lit(1_000_000))
-    cand = scaled.select(key, *zcols, F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
-                                               lambda t: h(t) < cut).alias("_trees"))
+    bound = hash_bound(psi, n)
+    cand = scaled.select(key, *zcols, F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.xxhash64(F.col(key), F.lit(seed), t) <= F.lit(bound)).alias("_trees"))
     cand = cand.select(key, *zcols, F.explode("_trees").alias("tree"))
     cand = cand.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), F.col("tree")))
     # per tree about psi * 1.5 candidates: the window below is small by construction
@@ -156,17 +162,13 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], trees: int = 10
     nodes = renamed.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, feats, seed, depth), NODE_SCHEMA)
     forest = nodes.toPandas()  # bounded by trees * (2 * psi - 1) rows, independent of the data size
     model = IsolationForestModel(feats, stats, forest, psi, None)
-    scores = model.score(df).select("_iso_score")
-    if exact_threshold:
-        thr = scores.agg(F.percentile("_iso_score", contamination)).first()[0]
-    else:
-        thr = scores.agg(F.percentile_approx("_iso_score", contamination, 100000)).first()[0]
-    model.threshold = float(thr)
+    scores = model.score(df).select(key, "_iso_score")
+    model.threshold = exact_quantiles(scores, ["_iso_score"], [contamination], key)["_iso_score"][0]
     return model
 
 
 def proxy_truth(df: DataFrame, score: str = "weighted_stress_score") -> DataFrame:
     """AGG25 ground-truth proxy: 1 outside the 5 %-95 % quantile band of the score."""
-    lo, hi = df.agg(F.percentile(score, 0.05), F.percentile(score, 0.95)).first()
+    lo, hi = exact_quantiles(df, [score], (0.05, 0.95))[score]
     return df.withColumn("proxy_anomaly", F.when((F.col(score) > F.lit(hi)) | (F.col(score) < F.lit(lo)), 1)
                          .otherwise(0))

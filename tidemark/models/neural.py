@@ -11,7 +11,7 @@ MLlib has no MLP regressor.  Training is synchronous data-parallel gradient desc
   halved after ``plateau`` steps without improvement.
 
 Each step uses the full training split (a large-batch variant of the reference's 32-row batches).
-Scoring is a ``mapInPandas`` forward pass.
+Scoring is a pandas UDF over the numeric columns.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +89,12 @@ def _gradients(params, x, y, dropout, rng):
     return float((err ** 2).sum()), grads
 
 
+def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
+    """Sum of the partial losses, counts and gradients of one group of partitions."""
+    return pd.DataFrame({"train": [rows["train"].iloc[0]], "loss": [rows["loss"].sum()], "n": [rows["n"].sum()],
+                         "grad": [np.sum(np.stack(rows["grad"].to_list()), axis=0).tolist()]})
+
+
 @dataclass
 class NeuralModel:
     features: list[str]
@@ -98,16 +105,14 @@ class NeuralModel:
     def transform(self, df: DataFrame, out: str = "neural_network_prediction") -> DataFrame:
         feats, stats, params = self.features, self.stats, self.params
         x = fill_zero(df, feats)
-        schema = T.StructType(x.schema.fields + [T.StructField(out, T.DoubleType())])
 
-        def score(it):
-            for pdf in it:
-                arr = np.column_stack([(pdf[c].to_numpy(float) - stats[c][0]) / stats[c][1] if stats[c][1] > 0
-                                       else np.zeros(len(pdf)) for c in feats]) if len(pdf) else np.zeros((0, len(feats)))
-                pdf[out] = _forward(params, arr)[0][-1][:, 0] if len(pdf) else np.zeros(0)
-                yield pdf
+        @F.pandas_udf(T.DoubleType())
+        def score(*columns: pd.Series) -> pd.Series:
+            arr = np.column_stack([(c.to_numpy(float) - stats[f][0]) / stats[f][1] if stats[f][1] > 0
+                                   else np.zeros(len(c)) for f, c in zip(feats, columns, strict=True)])
+            return pd.Series(_forward(params, arr)[0][-1][:, 0])
 
-        return x.mapInPandas(score, schema)
+        return x.withColumn(out, score(*feats))  # only the numeric columns go to Python
 
 
 def fit_neural(df: DataFrame, features: Sequence[str], target: str = "weighted_stress_score",
@@ -146,13 +151,14 @@ def fit_neural(df: DataFrame, features: Sequence[str], target: str = "weighted_s
                     a[0] += loss
                     a[1] += len(sub)
                     a[2] = g if a[2] is None else a[2] + g
-            import pandas as pd
-
             rows = [(flag, a[0], a[1], (a[2] if flag and a[2] is not None else np.zeros(0)).tolist())
                     for flag, a in acc.items() if a[1] > 0]
             yield pd.DataFrame(rows, columns=["train", "loss", "n", "grad"])
 
-        parts = data.mapInPandas(part, schema).collect()  # one row per partition and split
+        # one row per partition and split, added up in about sqrt(partitions) groups before the driver
+        groups = max(1, int(data.rdd.getNumPartitions() ** 0.5))
+        parts = data.mapInPandas(part, schema).groupBy("train", F.pmod(F.xxhash64("loss", "n"), F.lit(groups)).alias("g")) \
+            .applyInPandas(_add_up, schema).collect()
         n_tr = sum(r["n"] for r in parts if r["train"])
         if n_tr == 0:
             break

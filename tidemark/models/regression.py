@@ -125,13 +125,13 @@ def fit_lasso(df: DataFrame, features: Sequence[str], target: str = "weighted_st
 
 
 def fit_polynomial(df: DataFrame, features: Sequence[str], target: str = "weighted_stress_score",
-                   degree: int = 2, max_features: int = 10, use_split: bool = True) -> FittedRegression:
-    """ML4: the ``max_features`` features most correlated with the target (AGG11), expanded to
-    ``degree`` (no bias term), then OLS."""
+                   degree: int = 2, max_features: int | None = None, use_split: bool = True) -> FittedRegression:
+    """ML4: the features expanded to ``degree`` (no bias term), then OLS.  ``max_features`` (default: all)
+    keeps those most correlated with the target (AGG11)."""
     from tidemark.operators.correlation import target_correlations
 
     feats = list(features)
-    if len(feats) > max_features:
+    if max_features is not None and len(feats) > max_features:
         top = target_correlations(fill_zero(df, feats + [target]), feats, target, max_features).collect()
         feats = [r["feature"] for r in top]  # at most max_features names
     exp = PolynomialExpansion(degree=degree, inputCol="_x", outputCol="_px")
@@ -140,21 +140,18 @@ def fit_polynomial(df: DataFrame, features: Sequence[str], target: str = "weight
 
 
 def evaluate(pred: DataFrame, target: str, prediction_cols: Sequence[str]) -> DataFrame:
-    """AGG8: MSE, MAE, R^2 per prediction column over pairwise-complete rows (D24), one pass."""
-    parts = []
-    for c in prediction_cols:
+    """AGG8: MSE, MAE, R^2 per prediction column over pairwise-complete rows (D24): one aggregate for all
+    models.  The total sum of squares is n times the population variance, which does not cancel."""
+    aggs = []
+    for i, c in enumerate(prediction_cols):
         ok = F.col(target).isNotNull() & F.col(c).isNotNull()
         y, p = F.when(ok, F.col(target)), F.when(ok, F.col(c))
-        parts.append(pred.agg(
-            F.lit(c.replace("_prediction", "")).alias("model"),
-            F.avg(F.pow(y - p, 2)).alias("mse"), F.avg(F.abs(y - p)).alias("mae"),
-            (F.lit(1.0) - F.try_divide(F.sum(F.pow(y - p, 2)),
-                                       F.sum(F.pow(y, 2)) - F.try_divide(F.pow(F.sum(y), 2), F.count(y)))).alias("r2"),
-            F.count(y).cast("long").alias("n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs += [F.avg(F.pow(y - p, 2)).alias(f"mse{i}"), F.avg(F.abs(y - p)).alias(f"mae{i}"),
+                 F.var_pop(y).alias(f"var{i}"), F.count(y).cast("long").alias(f"n{i}")]
+    rows = [F.struct(F.lit(c.replace("_prediction", "")).alias("model"), F.col(f"mse{i}").alias("mse"),
+                     F.col(f"mae{i}").alias("mae"), (F.lit(1.0) - F.try_divide(f"mse{i}", f"var{i}")).alias("r2"),
+                     F.col(f"n{i}").alias("n")) for i, c in enumerate(prediction_cols)]
+    return pred.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def linear_attributions(df: DataFrame, fit: FittedRegression, top: int = 10) -> DataFrame:

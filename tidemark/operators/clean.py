@@ -17,12 +17,12 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_col: str = "row_i
     """W11: keep the row with the smallest ``order_col`` per key.
 
     ``min_by(struct(row), order_col)`` is a partial aggregate: each map task first reduces its
-    share of a key to one row, so a key holding a third of the table does not land in one task.
+    share of a key to one row, so a key holding a third of the table does not land in one task.  Text
+    keys are grouped by their 256-bit digest, so a text moves once, in its row.
     """
-    others = [c for c in df.columns]
-    packed = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_r")
-    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(packed) \
-        .select("_r.*")
+    packed = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.col(order_col)).alias("_r")
+    by = [F.sha2(F.col(k), 256) if isinstance(df.schema[k].dataType, T.StringType) else F.col(k) for k in keys]
+    return df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(by)]).agg(packed).select("_r.*")
 
 
 def _list_column(df: DataFrame, name: str):

@@ -17,7 +17,7 @@ from tidemark.functions.dates import recency
 from tidemark.functions.keywords import (DEFAULT_TYPE_TO_CATEGORY, keyword_points, mention_columns,
                                          price_stress)
 from tidemark.functions.numeric import combined_sentiment, zscore
-from tidemark.functions.sentiment import compound, negation_flags, polarity_subjectivity
+from tidemark.functions.sentiment import compound, polarity_subjectivity, scored_tokens
 from tidemark.functions.text import headline_length, tokens, word_count
 from tidemark.operators.ordering import blocked_window, global_index
 from tidemark.session import cut_lineage
@@ -35,15 +35,14 @@ def text_features(df: DataFrame, keywords: Mapping[str, Sequence[str]] = STRESS_
     # tokens once per row; the lambdas below index into this column
     df = df.withColumn("_toks", tokens(h))
     toks = F.col("_toks")
-    df = df.withColumn("_neg", negation_flags(toks, lexicon))
-    neg = F.col("_neg")
-    pol, subj = polarity_subjectivity(h, lexicon, toks, neg)
+    df = df.withColumn("_scored", scored_tokens(toks, lexicon))
+    pol, subj = polarity_subjectivity(h, lexicon, F.col("_scored"))
     out = df.select(
         "*",
         pol.alias("sentiment_polarity"),
         subj.alias("sentiment_subjectivity"),
-        compound(h, lexicon, toks, neg).alias("vader_compound"),
-    ).drop("_toks", "_neg")
+        compound(h, lexicon, F.col("_scored")).alias("vader_compound"),
+    ).drop("_toks", "_scored")
     out = out.withColumn("combined_sentiment", combined_sentiment(
         "vader_compound", "change_percent" if has_change else None))
     kw = keyword_points(h, keywords)
@@ -67,8 +66,9 @@ def global_stats(df: DataFrame) -> DataFrame:
 
 
 def composite_features(df: DataFrame, weights: Mapping[str, float] = WEIGHTS,
-                       block: int = 65536) -> DataFrame:
-    """weighted_stress_score, market_breadth, sentiment_volatility_7d, target_stress_next."""
+                       block: int = 65536, row_order: bool = True) -> DataFrame:
+    """weighted_stress_score, market_breadth and, with ``row_order``, sentiment_volatility_7d and
+    target_stress_next."""
     stats = global_stats(df)
     x = df.crossJoin(F.broadcast(stats))  # one row
     norm = {c: zscore(c, f"_mean_{c}", f"_std_{c}") for c in NORM_COLUMNS if c in df.columns}
@@ -90,7 +90,7 @@ def composite_features(df: DataFrame, weights: Mapping[str, float] = WEIGHTS,
         x = x.withColumn("market_breadth", breadth.cast("int"))
     x = x.withColumn("_enough", F.col("_n") >= 7)
     x = x.drop(*[c for c in x.columns if c.startswith(("_mean_", "_std_"))], "_min_ts", "_max_ts", "_n")
-    return row_order_features(x, block=block)
+    return row_order_features(x, block=block) if row_order else x.drop("_enough")
 
 
 def row_order_features(df: DataFrame, block: int = 65536) -> DataFrame:
@@ -114,15 +114,15 @@ def row_order_features(df: DataFrame, block: int = 65536) -> DataFrame:
 def engineer_features(silver: DataFrame, keywords=STRESS_KEYWORDS, categories=ASSET_CATEGORIES,
                       lexicon: Lexicon = SEED_LEXICON, weights=WEIGHTS, block: int = 65536,
                       type_to_category: Mapping[str, str] = DEFAULT_TYPE_TO_CATEGORY,
-                      materialize: bool = True) -> DataFrame:
+                      materialize: bool = True, row_order: bool = True) -> DataFrame:
     """Silver -> gold: text, temporal, composite, target; temporary columns dropped."""
     from tidemark.operators.temporal import temporal_features
 
     t = text_features(silver, keywords, categories, lexicon, type_to_category)
-    t = temporal_features(t)
     if materialize:
-        # the composite stage reads its input three times (global stats, range sampling for the
-        # row index, the main pass): write it once to the shared checkpoint folder
+        # daily counts, global statistics, key sample and the main pass all read this: the texts are
+        # scanned and scored once, and the result is written to the shared checkpoint folder
         t = cut_lineage(t)
-    g = composite_features(t, weights, block=block)
+    t = temporal_features(t)
+    g = composite_features(t, weights, block=block, row_order=row_order)
     return g.drop("date")

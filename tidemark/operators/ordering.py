@@ -2,10 +2,11 @@
 
 A plain ``Window.orderBy(ts)`` puts every row in one task.  Instead:
 
-* ``global_index`` range-partitions on the full, unique order key (Spark samples the key, so a hot
-  timestamp is still split by ``row_id``), numbers rows inside each range partition with
-  ``monotonically_increasing_id`` (JVM side, the low 33 bits are the position in the partition), and
-  adds the prefix sum of the per-partition counts (one row per partition, broadcast).
+* ``global_index`` takes a bounded sample of the full, unique order key (rows chosen by key hash), turns
+  it into literal split points, and gives every row the bucket of its key by a balanced comparison tree.
+  The bucket is a deterministic expression, so every execution, task retry and plan branch agrees; a hot
+  timestamp is split by ``row_id``.  The index is the row number inside the bucket plus the prefix sum of
+  the bucket counts (one row per bucket).
 * ``blocked_window`` evaluates row-frame windows over that index in blocks of ``block`` rows; the
   ``halo`` rows preceding (or following) a block are copied into it so frames crossing a block edge
   are exact.  Every block holds exactly ``block`` rows, so the shuffle is balanced whatever the skew.
@@ -21,31 +22,57 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_MASK = (1 << 33) - 1
+ROWS_PER_BUCKET = 65_536
+MAX_BUCKETS = 1_024
+SAMPLES_PER_BUCKET = 32
 
 
-def _cols(cols: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+def split_points(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> list[tuple]:
+    """Literal bounds of about equal shares of the keys: at most MAX_BUCKETS * SAMPLES_PER_BUCKET keys,
+    chosen by their hash over the whole table, are sorted on the driver."""
+    keys = df.select(*order_by)
+    n = keys.count()
+    buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
+    if buckets <= 1:
+        return []
+    share = min(1.0, buckets * SAMPLES_PER_BUCKET / n)
+    rank = F.pmod(F.xxhash64(*order_by), F.lit(1 << 40))
+    sample = sorted((tuple(r) for r in keys.where(rank < int(share * (1 << 40))).collect()),
+                    key=lambda r: tuple((v is not None, v) for v in r))
+    cuts = {sample[i * len(sample) // buckets] for i in range(1, buckets)} if sample else set()
+    return sorted((c for c in cuts if None not in c))
+
+
+def _before(order_by: Sequence[str], bound: tuple) -> Column:
+    """key < bound, nulls first."""
+    out = F.lit(False)
+    for name, value in reversed(list(zip(order_by, bound, strict=True))):
+        col = F.col(name)
+        out = F.coalesce(col < F.lit(value), F.lit(True)) | ((col == F.lit(value)) & out)
+    return out
+
+
+def bucket_of(order_by: Sequence[str], bounds: list[tuple], first: int = 0) -> Column:
+    """Number of bounds at or below the key, by a balanced tree of comparisons."""
+    if not bounds:
+        return F.lit(first)
+    mid = len(bounds) // 2
+    return F.when(_before(order_by, bounds[mid]), bucket_of(order_by, bounds[:mid], first)).otherwise(
+        bucket_of(order_by, bounds[mid + 1:], first + mid + 1))
 
 
 def global_index(df: DataFrame, order_by: Sequence[str], idx_col: str = "idx",
-                 num_partitions: int | None = None) -> DataFrame:
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Dense 1-based row index over ``order_by`` (which must be unique, e.g. ``(ts, row_id)``)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *_cols(order_by))
-              .sortWithinPartitions(*_cols(order_by))
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).withColumn(
-        "_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK)))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # one row per range partition: bounded by n, always safe to broadcast
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("_cnt")).alias("_off"))
-    out = ranged.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(idx_col, F.col("_off") + F.col("_pos") + 1).drop("_mid", "_pid", "_pos", "_off")
+    bounds = split_points(df, order_by, rows_per_bucket)
+    keyed = df.withColumn("_bucket", bucket_of(order_by, bounds))
+    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    # one row per bucket, MAX_BUCKETS at most: safe to broadcast
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_cnt").over(
+        Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by))
+    out = keyed.withColumn("_pos", place).join(F.broadcast(offsets), "_bucket")
+    return out.withColumn(idx_col, F.col("_off") + F.col("_pos")).drop("_bucket", "_pos", "_off")
 
 
 def blocked_window(df: DataFrame, idx_col: str, build: Callable[[Window], list[Column]],

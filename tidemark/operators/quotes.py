@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import SNIPPET_MAX_CHARS
 from tidemark.functions.text import fmt_fixed, fmt_signed
 
 
@@ -93,9 +92,9 @@ def mover_articles(q: DataFrame) -> DataFrame:
         F.col("asset_type"), F.col("priority"), F.lit("mover").alias("article_kind"))
 
 
-def overview_articles(q: DataFrame, run_col: str = "run_id") -> DataFrame:
+def overview_articles(q: DataFrame, run_col: str = "run_id", max_chars: int | None = None) -> DataFrame:
     """AGG4 + TOP5: one overview article per run; per asset type (alphabetical) the quotes ordered by
-    abs(change%) descending, snippet cut at 2000 characters."""
+    abs(change%) descending; ``max_chars`` cuts the snippet (default: whole)."""
     chg = F.coalesce(F.col("change_percent"), F.lit(0.0))
     line = F.concat(F.lit("  "), F.when(chg > 0, "UP").otherwise("DOWN"), F.lit(" "), F.col("asset"),
                     F.lit(": $"), fmt_fixed("price", 2), F.lit(" ("), fmt_signed(chg, 2), F.lit("%)"))
@@ -120,7 +119,9 @@ def overview_articles(q: DataFrame, run_col: str = "run_id") -> DataFrame:
                          F.concat(F.lit("Source: "), F.col("source")),
                          F.concat(F.lit("Timestamp: "), F.col("timestamp")), F.lit(""))
     body = F.concat_ws("\n", F.transform("bl", lambda x: x["block"]))
-    snippet = F.substring(F.concat(header, F.lit("\n"), body), 1, SNIPPET_MAX_CHARS)
+    snippet = F.concat(header, F.lit("\n"), body)
+    if max_chars is not None:
+        snippet = F.substring(snippet, 1, max_chars)
     return j.select(
         run_col, F.concat(F.lit("Market Overview - Stress Level "), score, F.lit("/10")).alias("headline"),
         snippet.alias("snippet"), "timestamp", "asset_tags", F.lit("overview://").alias("url"), "source",

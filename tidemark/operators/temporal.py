@@ -20,20 +20,22 @@ def daily_counts(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return df.groupBy(F.to_date(ts).alias("date")).agg(F.count(F.lit(1)).alias("daily_article_count"))
 
 
-def calendar_spine(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """J3 spine: every calendar day from the first to the last day (D1/D2 contract)."""
-    bounds = df.agg(F.min(F.to_date(ts)).alias("lo"), F.max(F.to_date(ts)).alias("hi"))
-    return bounds.where(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
+def fill_calendar(counts: DataFrame) -> DataFrame:
+    """J3 spine: every calendar day from the first to the last counted day (D1/D2 contract), 0 on empty
+    days.  Each counted day brings the days up to the next one, so the counts are read once."""
+    w = Window.orderBy("date")  # one row per counted day: small by construction
+    end = F.coalesce(F.date_sub(F.lead("date").over(w), 1), F.col("date"))
+    days = counts.where(F.col("date").isNotNull()).select("date", "daily_article_count", end.alias("_end")).select(
+        F.col("date").alias("_own"), "daily_article_count",
+        F.explode(F.sequence("date", "_end", F.expr("INTERVAL 1 DAY"))).alias("date"))
+    return days.select("date", F.when(F.col("date") == F.col("_own"), F.col("daily_article_count")).otherwise(F.lit(0))
+                       .cast("long").alias("daily_article_count"))
 
 
 def daily_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     """date, daily_article_count (0 on empty days), rolling_7d_mean, rolling_7d_volatility
     (sample std, 0 for a single value), lag_1d, lag_3d, lag_7d (0 before the start)."""
-    counts = daily_counts(df, ts)
-    spine = calendar_spine(df, ts)
-    d = spine.join(counts, "date", "left").select(
-        "date", F.coalesce(F.col("daily_article_count"), F.lit(0)).cast("long").alias("daily_article_count"))
+    d = fill_calendar(daily_counts(df, ts))
     # one row per calendar day: an ordered window over this table is small by construction
     w = Window.orderBy("date")
     w7 = w.rowsBetween(-6, 0)

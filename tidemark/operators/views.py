@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import CONFIDENCE_THRESHOLD, REGIME_BINS
 from tidemark.operators.ordering import blocked_window, global_index
+from tidemark.operators.quantiles import exact_quantiles
 
 ORDER = ("timestamp", "row_id")
 
@@ -31,9 +32,10 @@ def regime_flags(regime: Column) -> list[Column]:
     return [F.when(regime == r, 1.0).otherwise(0.0).alias(f"prob_{r}") for r in ("low", "medium", "high")]
 
 
-def quick_update(gold: DataFrame, score: str = "weighted_stress_score", block: int = 65536) -> DataFrame:
-    """ML10 minus the model fits: 7-row moving averages (W10), threshold regimes + flags (PRJ16),
-    z-score anomalies |z| > 2 with score |z| (NUM6)."""
+def quick_update(gold: DataFrame, score: str = "weighted_stress_score", block: int = 65536,
+                 moving_averages: bool = True) -> DataFrame:
+    """ML10 minus the model fits: threshold regimes + flags (PRJ16), z-score anomalies |z| > 2 with
+    score |z| (NUM6) and, for consumers that need the row order, 7-row moving averages (W10)."""
     stats = gold.agg(F.avg(score).alias("_m"), F.stddev_samp(score).alias("_s"))
     x = gold.crossJoin(F.broadcast(stats))  # one row
     z = F.abs(F.try_divide(F.col(score) - F.col("_m"), F.col("_s")))
@@ -41,6 +43,8 @@ def quick_update(gold: DataFrame, score: str = "weighted_stress_score", block: i
     x = x.select("*", *regime_flags(F.col("risk_regime")))
     x = x.withColumn("anomaly_score", z).withColumn(
         "is_anomaly", F.when(F.coalesce(z > 2, F.lit(False)), 1).otherwise(0)).drop("_m", "_s")
+    if not moving_averages:
+        return x
     idx = global_index(x, list(ORDER), "_idx")
 
     def build(w):
@@ -107,19 +111,18 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """AGG9: count, mean, std, min, 25/50/75 %, max per column (exact percentiles), rounded to 3."""
-    parts = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        parts.append(df.agg(
-            F.lit(c).alias("column"), F.count(x).cast("long").alias("count"), F.round(F.avg(x), 3).alias("mean"),
-            F.round(F.stddev_samp(x), 3).alias("std"), F.round(F.min(x), 3).alias("min"),
-            F.round(F.percentile(x, 0.25), 3).alias("p25"), F.round(F.percentile(x, 0.5), 3).alias("p50"),
-            F.round(F.percentile(x, 0.75), 3).alias("p75"), F.round(F.max(x), 3).alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """AGG9: count, mean, std, min, 25/50/75 %, max per column (exact percentiles), rounded to 3: one
+    aggregate over all columns, and one row index for all quantiles."""
+    quantiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
+    x = {c: F.col(c).cast("double") for c in columns}
+    stats = df.agg(*[f(x[c]).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (
+        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
+    rows = [F.struct(
+        F.lit(c).alias("column"), F.col(f"count{i}").cast("long").alias("count"),
+        *[F.round(F.col(f"{n}{i}"), 3).alias(n) for n in ("mean", "std", "min")],
+        *[F.round(F.lit(v).cast("double"), 3).alias(n) for n, v in zip(("p25", "p50", "p75"), quantiles[c], strict=True)],
+        F.round(F.col(f"max{i}"), 3).alias("max")) for i, c in enumerate(columns)]
+    return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def data_quality(df: DataFrame) -> DataFrame:

@@ -87,23 +87,24 @@ articles AS (
   SELECT d.doc_id AS row_id, d.text AS headline, date_trunc('hour', e.ts) AS "timestamp",
          d.source AS source, e.event_type AS asset_type, e.value AS price,
          5.0 * (e.value / e.prev_value - 1.0) AS change_percent
-  FROM documents d JOIN ev e ON e.event_id = d.doc_id * 10)"""
+  FROM documents d LEFT JOIN ev e
+    ON e.event_id = (d.doc_id * 10) % (SELECT max(event_id) + 1 FROM events))"""
 
-NEWS_VALID = """
-valid AS (
-  SELECT * FROM articles
-  WHERE headline IS NOT NULL AND "timestamp" IS NOT NULL
-    AND length(headline) >= 20 AND length(headline) <= 1000)"""
-
-
-def silver_cte(source: str = "valid") -> str:
-    return f"""
-cleaned AS (
+MARKET_SILVER = f"""
+mvalid AS (
+  SELECT * FROM articles WHERE headline IS NOT NULL AND headline <> '' AND "timestamp" IS NOT NULL),
+mclean AS (
   SELECT row_id, {clean_sql('headline')} AS headline, "timestamp", source, asset_type, price, change_percent
-  FROM {source}),
-silver AS (
-  SELECT * FROM cleaned
-  QUALIFY row_number() OVER (PARTITION BY headline, "timestamp" ORDER BY row_id) = 1)"""
+  FROM mvalid),
+menr AS (
+  SELECT *,
+         CASE WHEN price IS NULL THEN headline ELSE headline || ' [Price: $' || {fmt_sql('price', 2)} || ']' END
+           AS snippet,
+         CASE WHEN len({words_sql('headline')}) > 0 THEN [{words_sql('headline')}[1]] ELSE [] END AS asset_tags,
+         CASE WHEN asset_type IS NULL THEN [] ELSE [asset_type] END AS market_tags
+  FROM mclean),
+msilver AS (
+  SELECT * FROM menr QUALIFY row_number() OVER (PARTITION BY headline, "timestamp" ORDER BY row_id) = 1)"""
 
 
 def text_features_cte(src: str, lex: Lexicon = BINDING_LEXICON,
@@ -229,8 +230,9 @@ gold AS (
 
 
 def gold_ctes() -> str:
-    return ",".join([ARTICLES, NEWS_VALID, silver_cte("valid"), text_features_cte("silver"),
-                     temporal_cte("textf2"), composite_cte("temporal")])
+    """Gold rows over whole texts: the market rules keep every text."""
+    return ",".join([ARTICLES, MARKET_SILVER, text_features_cte("msilver"), temporal_cte("textf2"),
+                     composite_cte("temporal")])
 
 
 DAILY_STRESS = f"""

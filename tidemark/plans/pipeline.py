@@ -21,16 +21,19 @@ from tidemark.sources.views import articles
 BINDING_TYPE_TO_CATEGORY = {"click": "commodities", "error": "volatility"}
 
 
-def silver_articles(spark: SparkSession, sf_dir: str, kind: str = "news") -> DataFrame:
+def silver_articles(spark: SparkSession, sf_dir: str, kind: str = "market") -> DataFrame:
+    """Valid, cleaned, de-duplicated articles; the market rules keep whole texts of any length."""
     a = articles(spark, sf_dir)
     valid, _ = validate(a, kind=kind)
     return clean_articles(valid, kind=kind)
 
 
-def gold_features(spark: SparkSession, sf_dir: str, kind: str = "news", block: int = 65536) -> DataFrame:
+def gold_features(spark: SparkSession, sf_dir: str, kind: str = "market", block: int = 65536,
+                  row_order: bool = True) -> DataFrame:
+    """Gold rows; ``row_order=False`` leaves out the columns that need the row order."""
     silver = silver_articles(spark, sf_dir, kind)
     return engineer_features(silver, BINDING_KEYWORDS, BINDING_CATEGORIES, BINDING_LEXICON, WEIGHTS,
-                             block=block, type_to_category=BINDING_TYPE_TO_CATEGORY)
+                             block=block, type_to_category=BINDING_TYPE_TO_CATEGORY, row_order=row_order)
 
 
 def daily_stress(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,19 +10,22 @@ from tidemark.models import classifier as CL
 from tidemark.models import iforest as IF
 from tidemark.models import knn as KNN
 from tidemark.models import regression as RG
-from tidemark.models.features import numeric_features
+from tidemark.models.features import hash_split, numeric_features
+from tidemark.operators.composite import engineer_features
 from tidemark.operators.ordering import blocked_window, global_index
 from tidemark.operators.validate import validate
 from tidemark.plans import oracle as O
 from tidemark.plans.pipeline import gold_features, silver_articles
 from tidemark.plans.registry import register
+from tidemark.session import cut_lineage
 from tidemark.sources.views import articles
 
 TARGET = "weighted_stress_score"
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_features(spark, sf_dir)
+    """Gold rows written once to the shared checkpoint folder: every fit and report of a query reads that."""
+    return cut_lineage(gold_features(spark, sf_dir))
 
 
 @register("linear_fit_1f", f"""
@@ -44,7 +47,7 @@ def _features(g: DataFrame) -> list[str]:
 @register("regression_coefficients")
 def regression_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML1 + ML2 + ML3 + TOP1: coefficient tables of OLS, ridge (alpha 1) and lasso (alpha .01)."""
-    g = _gold(spark, sf_dir).persist()
+    g = _gold(spark, sf_dir)
     feats = _features(g)
     out = None
     for fit in (RG.fit_linear(g, feats), RG.fit_ridge(g, feats), RG.fit_lasso(g, feats)):
@@ -57,14 +60,13 @@ def regression_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML0a + ML0e + J1 + NUM7 + AGG8: fit the three linear models and the degree-2 polynomial on the
     training split, score every row, MSE/MAE/R^2 on the held-out rows."""
-    g = _gold(spark, sf_dir).persist()
+    g = _gold(spark, sf_dir)
     feats = _features(g)
     fits = [RG.fit_linear(g, feats), RG.fit_ridge(g, feats), RG.fit_lasso(g, feats),
             RG.fit_polynomial(g, feats)]
     scored = g
     for fit in fits:
         scored = fit.transform(scored)
-    from tidemark.models.features import hash_split
     test = hash_split(scored).where(~F.col("is_train"))
     return RG.evaluate(test, TARGET, [f"{f.name}_prediction" for f in fits])
 
@@ -95,8 +97,11 @@ FROM l WHERE {' AND '.join(f'{c}_lag_{LAGS} IS NOT NULL AND {c}_roll_std IS NOT
 def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W9 on the row grain: lags 1-3 and the rolling mean/std of the 3 previous rows, over the global
     (timestamp, row_id) order through the blocked window; incomplete rows dropped."""
-    g = _gold(spark, sf_dir).select("row_id", "timestamp", *LAG_COLS)
-    idx = global_index(g, ["timestamp", "row_id"], "_idx")
+    return _lagged(_gold(spark, sf_dir))
+
+
+def _lagged(gold: DataFrame) -> DataFrame:
+    idx = global_index(gold.select("row_id", "timestamp", *LAG_COLS), ["timestamp", "row_id"], "_idx")
 
     def build(w):
         wr = w.rowsBetween(-ROLL, -1)
@@ -116,7 +121,7 @@ def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lagged_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML5: OLS of the stress score on the W9 lag features (coefficients, rows-only check)."""
     g = _gold(spark, sf_dir)
-    lf = lag_features(spark, sf_dir)
+    lf = _lagged(g)
     x = g.select("row_id", TARGET).join(lf, "row_id")
     feats = [c for c in lf.columns if c != "row_id"]
     fit = RG.fit_linear(x, feats, TARGET, use_split=False)
@@ -125,18 +130,19 @@ def lagged_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("risk_classifier")
 def risk_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML7 + ML7b + AGG25: regime classifier (100 trees, depth 6) and its per-class report."""
-    g = _gold(spark, sf_dir).persist()
-    fitted = CL.fit_classifier(g, _features(g), trees=30)
-    pred = CL.predict_regimes(CL.regime_labels(g), fitted)
+    """ML7 + ML7b + AGG25: regime classifier (100 trees, depth 6) and its per-class report on the
+    held-out rows."""
+    g = _gold(spark, sf_dir)
+    fitted = CL.fit_classifier(g, _features(g), trees=100)
+    pred = CL.predict_regimes(hash_split(CL.regime_labels(g)).where(~F.col("is_train")), fitted)
     return CL.classification_report(pred)
 
 
 @register("risk_predictions")
 def risk_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML7 scoring: regime and class probabilities per row (probabilities sum to 1)."""
-    g = _gold(spark, sf_dir).persist()
-    fitted = CL.fit_classifier(g, _features(g), trees=30)
+    g = _gold(spark, sf_dir)
+    fitted = CL.fit_classifier(g, _features(g), trees=100)
     p = CL.predict_regimes(g, fitted)
     return p.select("row_id", "risk_regime", *[r6(F.col(f"prob_{c}")).alias(f"prob_{c}") for c in CL.CLASSES])
 
@@ -189,8 +195,8 @@ def similar_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("anomaly_forest")
 def anomaly_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML9 + TOP2: isolation-forest flags, scores and the three most deviating features per row."""
-    g = _gold(spark, sf_dir).persist()
-    model = IF.fit_isolation_forest(g, _features(g), trees=50)
+    g = _gold(spark, sf_dir)
+    model = IF.fit_isolation_forest(g, _features(g), trees=100)
     out = model.transform(g)
     return out.select("row_id", "is_anomaly", r6(F.col("anomaly_score")).alias("anomaly_score"),
                       F.array_join(F.transform("top_anomaly_features", lambda x: x["feature"]), "|")
@@ -200,15 +206,15 @@ def anomaly_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("anomaly_evaluation")
 def anomaly_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG25: precision/recall/F1 of the forest against the 5 %/95 % stress-band proxy."""
-    g = IF.proxy_truth(_gold(spark, sf_dir).persist())
-    model = IF.fit_isolation_forest(g, _features(g), trees=50)
+    g = IF.proxy_truth(_gold(spark, sf_dir))
+    model = IF.fit_isolation_forest(g, _features(g), trees=100)
     return CL.binary_report(model.transform(g), "proxy_anomaly", "is_anomaly")
 
 
 @register("linear_attributions")
 def linear_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """XAI1 + XAI4: mean |coef * (x - mean)| per feature, top 10 with share %."""
-    g = _gold(spark, sf_dir).persist()
+    g = _gold(spark, sf_dir)
     fit = RG.fit_linear(g, _features(g), use_split=False)
     return RG.linear_attributions(g, fit, 10)
 
@@ -216,17 +222,17 @@ def linear_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("run_metrics", f"""
 WITH {O.gold_ctes()}
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM articles) AS bronze_rows,
-       (SELECT CAST(count(*) AS BIGINT) FROM valid) AS valid_rows,
-       (SELECT CAST(count(*) AS BIGINT) FROM silver) AS silver_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM mvalid) AS valid_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM msilver) AS silver_rows,
        (SELECT CAST(count(*) AS BIGINT) FROM gold) AS gold_rows,
        (SELECT strftime(min("timestamp"), '%Y-%m-%d') FROM gold) AS first_day,
        (SELECT strftime(max("timestamp"), '%Y-%m-%d') FROM gold) AS last_day""")
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG21: rows in/out per stage and the covered date range (one aggregate per stage)."""
     a = articles(spark, sf_dir)
-    valid, _ = validate(a, kind="news")
-    s = silver_articles(spark, sf_dir)
-    g = _gold(spark, sf_dir)
+    valid, _ = validate(a, kind="market")
+    s = cut_lineage(silver_articles(spark, sf_dir))
+    g = engineer_features(s, row_order=False)  # the counts need no row order
     one = lambda df, name: df.agg(F.count(F.lit(1)).cast("long").alias(name))
     dates = g.agg(F.date_format(F.min("timestamp"), "yyyy-MM-dd").alias("first_day"),
                   F.date_format(F.max("timestamp"), "yyyy-MM-dd").alias("last_day"))
@@ -239,11 +245,10 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("neural_regression")
 def neural_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML6: dense 64-32-16 ReLU regressor (data-parallel Adam, early stopping); held-out metrics."""
-    from tidemark.models.features import hash_split
     from tidemark.models.neural import fit_neural
 
-    g = _gold(spark, sf_dir).persist()
-    model = fit_neural(g, _features(g), TARGET, epochs=40)
+    g = _gold(spark, sf_dir)
+    model = fit_neural(g, _features(g), TARGET)
     scored = hash_split(model.transform(g))
     return RG.evaluate(scored.where(~F.col("is_train")), TARGET, ["neural_network_prediction"]) \
         .withColumn("epochs_run", F.lit(len(model.history)))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import r6
 
 from tidemark.config import BINDING_CATEGORIES, BINDING_KEYWORDS, BINDING_LEXICON
-from tidemark.operators.clean import clean_articles, dedup_keep_first
 from tidemark.operators.composite import text_features
 from tidemark.operators.ordering import global_index
 from tidemark.operators.temporal import daily_features
@@ -68,21 +67,7 @@ def validate_market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ silver (market kind)
 
-MARKET_SILVER = f"""
-mvalid AS (
-  SELECT * FROM articles WHERE headline IS NOT NULL AND headline <> '' AND "timestamp" IS NOT NULL),
-mclean AS (
-  SELECT row_id, {O.clean_sql('headline')} AS headline, "timestamp", source, asset_type, price, change_percent
-  FROM mvalid),
-menr AS (
-  SELECT *,
-         CASE WHEN price IS NULL THEN headline ELSE headline || ' [Price: $' || {O.fmt_sql('price', 2)} || ']' END
-           AS snippet,
-         CASE WHEN len({O.words_sql('headline')}) > 0 THEN [{O.words_sql('headline')}[1]] ELSE [] END AS asset_tags,
-         CASE WHEN asset_type IS NULL THEN [] ELSE [asset_type] END AS market_tags
-  FROM mclean),
-msilver AS (
-  SELECT * FROM menr QUALIFY row_number() OVER (PARTITION BY headline, "timestamp" ORDER BY row_id) = 1)"""
+MARKET_SILVER = O.MARKET_SILVER
 
 
 def market_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +100,8 @@ def dedup_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row_id", F.col("headline"), F.date_trunc("month", "timestamp").alias("m"))
     from tidemark.functions.text import clean_text
     a = a.withColumn("headline", clean_text("headline"))
-    sizes = a.groupBy("headline", "m").agg(F.count(F.lit(1)).cast("long").alias("copies"))
-    first = dedup_keep_first(a, ["headline", "m"])
-    return first.join(sizes, ["headline", "m"]).select("row_id", "copies")
+    return a.groupBy(F.sha2("headline", 256), "m").agg(
+        F.min("row_id").alias("row_id"), F.count(F.lit(1)).cast("long").alias("copies")).select("row_id", "copies")
 
 
 # ------------------------------------------------------------------ text features on whole texts
@@ -177,7 +161,7 @@ SELECT row_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS ts, hour, day_of_we
        {', '.join(f'round({c}, 6) AS {c}' for c in GOLD_COLS)}
 FROM gold""")
 def gold_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold rows: DT2, J2, AGG19, DT3, NUM4, PRJ18, W3, W4 (news-validated articles)."""
+    """Gold rows: DT2, J2, AGG19, DT3, NUM4, PRJ18, W3, W4 over whole texts."""
     g = gold_features(spark, sf_dir)
     return g.select("row_id", F.date_format("timestamp", TS_FMT).alias("ts"), "hour", "day_of_week",
                     "is_weekend", "month", "daily_article_count", "lag_1d", "lag_3d", "lag_7d",

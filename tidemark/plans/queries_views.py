@@ -30,8 +30,9 @@ pred AS (
   FROM pred0)"""
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.quick_update(gold_features(spark, sf_dir))
+def predictions(spark: SparkSession, sf_dir: str, row_order: bool = False) -> DataFrame:
+    """Gold rows with regimes and flags; only ``row_order`` consumers pay for the row index."""
+    return V.quick_update(gold_features(spark, sf_dir, row_order=row_order), moving_averages=row_order)
 
 
 @register("quick_predictions", f"""
@@ -41,7 +42,7 @@ SELECT row_id, risk_regime, prob_low, prob_medium, prob_high, is_anomaly, round(
 FROM pred""")
 def quick_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML10 rule part: PRJ16 regimes + flags, NUM6 z-score anomalies, W10 7-row moving averages."""
-    p = predictions(spark, sf_dir)
+    p = V.quick_update(gold_features(spark, sf_dir, row_order=False))
     return p.select("row_id", "risk_regime", "prob_low", "prob_medium", "prob_high", "is_anomaly",
                     *[r6(F.col(c)).alias(c) for c in ("anomaly_score", "sentiment_ma_7", "stress_ma_7")])
 

@@ -2,21 +2,13 @@
 
 Library code never creates a session: it takes the caller's.  ``local_session`` is for tests and
 bench only.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session (the shared folder a
-cluster names) and only falls back to a scratch folder when it is unset, as in tests.
+cluster names); where it is unset, as in tests, it takes a folder in the session's warehouse.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
-# Broadcast a side only below this many rows (checked with a count on an already small,
-# aggregated frame); larger sides go through a shuffle join instead.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -43,14 +35,13 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a scratch one only when the session has none."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    """The shared checkpoint folder: ``spark.checkpoint.dir``; where that is unset (tests, bench) a folder in
+    the session's warehouse, which executors share as well."""
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(current)
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
@@ -58,8 +49,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def small_enough_to_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Size check for a side that is *already aggregated*; counts at most ``limit + 1`` rows."""
-    return df.limit(limit + 1).count() <= limit

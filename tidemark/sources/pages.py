@@ -25,8 +25,9 @@ def instruments(spark: SparkSession) -> DataFrame:
 
 
 def elements(html: Column, tag: str) -> Column:
-    """All ``<tag ...>text</tag>`` elements with plain-text content, in page order."""
-    return F.regexp_extract_all(html, F.lit(rf"<{tag}\b[^>]*>[^<]*</{tag}>"), 0)
+    """All ``<tag ...>...</tag>`` elements in page order, with whatever is nested in them up to their first
+    end tag."""
+    return F.regexp_extract_all(html, F.lit(rf"(?s)<{tag}\b[^>]*>.*?</{tag}\s*>"), 0)
 
 
 def void_elements(html: Column, tag: str) -> Column:
@@ -36,11 +37,12 @@ def void_elements(html: Column, tag: str) -> Column:
 
 def attr(element: Column, name: str) -> Column:
     """Value of a double-quoted attribute ('' when absent)."""
-    return F.regexp_extract(element, rf'\b{name}="([^"]*)"', 1)
+    return F.regexp_extract(element, rf'(?<![\w-]){name}="([^"]*)"', 1)
 
 
 def inner_text(element: Column) -> Column:
-    return F.regexp_extract(element, r">([^<]*)<", 1)
+    """Full text of an element: its tags taken out, trimmed."""
+    return F.trim(F.regexp_replace(element, r"<[^>]*>", ""))
 
 
 def _num_if(text: Column, pattern: str) -> Column:
@@ -48,15 +50,19 @@ def _num_if(text: Column, pattern: str) -> Column:
 
 
 def by_element(html: Column, symbol: Column) -> Column:
-    """SRC3: ``<fin-streamer data-symbol=S data-field=F>`` text; last matching element wins."""
+    """SRC3: ``<fin-streamer data-symbol=S data-field=F>`` text; the last element with a valid number wins."""
     els = elements(html, "fin-streamer")
 
     def field(name: str, strip: list[str], pattern: str) -> Column:
         hits = F.filter(els, lambda e: (attr(e, "data-symbol") == symbol) & (attr(e, "data-field") == name))
-        txt = inner_text(F.element_at(hits, -1))
-        for ch in strip:
-            txt = F.replace(txt, F.lit(ch), F.lit(""))
-        return F.when(F.size(hits) > 0, _num_if(txt, pattern))
+
+        def number(e: Column) -> Column:
+            txt = inner_text(e)
+            for ch in strip:
+                txt = F.replace(txt, F.lit(ch), F.lit(""))
+            return _num_if(txt, pattern)
+
+        return F.try_element_at(F.filter(F.transform(hits, number), lambda x: x.isNotNull()), F.lit(-1))
 
     price = field("regularMarketPrice", [","], r"^[0-9.]+$")
     change = F.coalesce(field("regularMarketChange", [","], r"^[0-9.+-]+$"), F.lit(0.0))

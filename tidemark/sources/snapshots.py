@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,13 +29,20 @@ def write_snapshot(df: DataFrame, root: str, layer: str, run_id: str | None = No
     return rid
 
 
+def _layer(spark: SparkSession, root: str, layer: str) -> DataFrame | None:
+    """The layer's table, or None if its path does not exist; any other error is raised."""
+    try:
+        return spark.read.parquet(f"{root}/{layer}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def latest_run_id(spark: SparkSession, root: str, layer: str) -> str | None:
     """The newest run of a layer (reads only the partition column)."""
-    try:
-        r = spark.read.parquet(f"{root}/{layer}").agg(F.max("run_id")).first()
-    except Exception:  # noqa: BLE001 - a missing layer has no runs
-        return None
-    return r[0] if r else None
+    df = _layer(spark, root, layer)
+    return df.agg(F.max("run_id")).first()[0] if df is not None else None
 
 
 def read_latest_snapshot(spark: SparkSession, root: str, layer: str, schema: T.StructType | None = None) -> DataFrame:
@@ -50,9 +58,8 @@ def read_best_gold(spark: SparkSession, root: str, run_id: str | None = None, mi
     """SRC2: this run's predictions, else the latest predictions, else the latest features; files
     under ``min_file_bytes`` are ignored (``_metadata.file_size``), never deleted."""
     for layer, rid in (("predictions", run_id), ("predictions", None), ("gold", None)):
-        try:
-            df = spark.read.parquet(f"{root}/{layer}")
-        except Exception:  # noqa: BLE001
+        df = _layer(spark, root, layer)
+        if df is None:
             continue
         df = df.where(F.col("_metadata.file_size") >= min_file_bytes)
         rid = rid or latest_run_id(spark, root, layer)

@@ -28,11 +28,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """row_id, headline (whole document text), timestamp (event hour), source, asset_type,
-    price, change_percent.  ``change_percent`` = 5 * (value / previous value of the same event
-    type - 1), so both sides of the +-2 and +-3 thresholds occur."""
-    ev = carried_lag(events(spark, sf_dir), "value", ["event_type"], "event_id", "prev_value")
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
-    j = docs.join(ev, ev["event_id"] == docs["doc_id"] * 10)
+    price, change_percent.  Every document stays: its event is number ``10 * doc_id`` modulo the number
+    of event ids.  ``change_percent`` = 5 * (value / previous value of the same event type - 1), so both
+    sides of the +-2 and +-3 thresholds occur."""
+    ev = events(spark, sf_dir)
+    ids = ev.agg((F.max("event_id") + 1).alias("_ids"))  # one row
+    ev = carried_lag(ev, "value", ["event_type"], "event_id", "prev_value")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]).crossJoin(F.broadcast(ids))
+    j = docs.join(ev, ev["event_id"] == F.pmod(docs["doc_id"] * 10, docs["_ids"]), "left")
     return j.select(
         F.col("doc_id").alias("row_id"),
         F.col("text").alias("headline"),

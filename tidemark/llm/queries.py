@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (chat, decontaminate, html_text, jaccard, language, packing, quality, token_files, toxicity,
-                          urls)
+from tidemark.llm import (chat, decontaminate, html_text, jaccard, language, oracle, packing, quality, token_files,
+                          toxicity, urls)
 from tidemark.llm.tables import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +36,7 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and divergence verdicts of every whole text."""
-    return quality.quality(table(spark, sf_dir, "documents"))
+    return quality.quality(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +70,8 @@ QUERIES: dict[str, Builder] = {fn.__name__: fn for fn in (
     op1_decontamination, op2_toxicity, op3_chat_tool_calls, op4_url_filters, op5_quality_rules, op6_token_files,
     op7_html_extraction, op8_ngram_jaccard_join, op9_language_id, op10_packing)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_decontamination": oracle.DECONTAMINATION,
+    "op5_quality_rules": oracle.QUALITY,
+    "op8_ngram_jaccard_join": oracle.JACCARD,
+}

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import cut
+from tidemark.llm.tables import cut, stored
 
 # FIXED VALUES: the word rule, the symbol list and the base limits of the contract.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -99,16 +99,23 @@ def _histograms(step: DataFrame) -> DataFrame:
     size = [F.length(c) for c in ("__solid", "__no_lower", "__no_upper", "__no_digit", "__no_symbol", "__foreign")]
     step = step.withColumn("__symbols", (size[3] - size[4]).cast("long"))
     step = step.withColumn("__chars", F.array(*[(a - b).cast("double") for a, b in zip(size, [*size[1:], F.lit(0)], strict=True)]))
+    # the common words of the row, each between bars: a word's count follows from the length that its
+    # removal takes away
     every = sorted({w for words in COMMON_WORDS.values() for w in words})
-    step = step.withColumn("__own", F.coalesce(F.element_at(F.create_map(*[x for lang, words in COMMON_WORDS.items()
-                           for x in (F.lit(lang), F.array(*map(F.lit, words)))]), F.col("lang")),
-                           F.array().cast("array<string>")))
-    step = step.withColumn("__common", F.filter("__words", lambda x: x.isin(every)))
-    step = step.withColumn("__counts", F.transform(
-        "__own", lambda w: F.size(F.filter("__common", lambda x: x == w)).cast("double")))
+    step = step.withColumn("__common", F.concat(F.lit("|"), F.array_join(F.filter(
+        "__words", lambda x: x.isin(every)), "||"), F.lit("|")))
+
+    def count(word: str) -> Column:
+        gone = F.length("__common") - F.length(F.replace(F.col("__common"), F.lit(f"|{word}|"), F.lit("")))
+        return (gone / (len(word) + 2)).cast("double")
+
+    counts = F.array().cast("array<double>")
+    for lang, words in COMMON_WORDS.items():
+        counts = F.when(F.col("lang") == lang, F.array(*map(count, words))).otherwise(counts)
+    step = step.withColumn("__counts", counts)
     step = step.withColumn("__word_counts", F.concat("__counts", F.array(
         F.col("__n") - F.aggregate("__counts", F.lit(0.0), lambda a, x: a + x))))
-    return step.drop("__no_lower", "__no_upper", "__no_digit", "__no_symbol", "__foreign", "__solid", "__own",
+    return step.drop("__no_lower", "__no_upper", "__no_digit", "__no_symbol", "__foreign", "__solid",
                      "__common", "__counts", "__words")
 
 
@@ -116,11 +123,16 @@ def _share(counts: Column, total: Column) -> Column:
     return F.transform(counts, lambda x: x / total)
 
 
-def language_references(documents: DataFrame) -> DataFrame:
+def histograms(documents: DataFrame) -> DataFrame:
+    """Only the measures that the references need."""
+    step = documents.select("lang", "text").withColumn("__words", words_of(F.col("text")))
+    return _histograms(step.withColumn("__n", F.size("__words").cast("long")))
+
+
+def language_references(measures: DataFrame) -> DataFrame:
     """(lang key, mean character-class histogram, mean common-word histogram) over all documents long
     enough to be compared."""
-    step = documents.select("lang", "text").withColumn("__words", words_of(F.col("text")))
-    step = _histograms(step.withColumn("__n", F.size("__words").cast("long"))).select(
+    step = measures.select(
         F.coalesce("lang", F.lit("")).alias("__lang"),
         F.when(F.col("__word_chars") >= MIN_CHARS_COMPARED, _share(F.col("__chars"), F.col("__word_chars"))).alias("c"),
         F.when(F.col("__n") >= MIN_WORDS_COMPARED, _share(F.col("__word_counts"), F.col("__n"))).alias("w"))
@@ -140,11 +152,10 @@ def jensen_shannon(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2))
 
 
-def with_verdicts(documents: DataFrame) -> DataFrame:
-    """The rows with all measures, distances, ``__base_failed`` and ``__kept``."""
-    refs = language_references(documents)
+def with_verdicts(measures: DataFrame, refs: DataFrame) -> DataFrame:
+    """The measured rows with distances, ``__base_failed`` and ``__kept``."""
     small = refs.count() <= MAX_BROADCAST_LANGUAGES
-    step = text_measures(documents).withColumn("__lang", F.coalesce("lang", F.lit("")))
+    step = measures.withColumn("__lang", F.coalesce("lang", F.lit("")))
     step = step.join(F.broadcast(refs) if small else refs, "__lang", "left")
     step = step.withColumn("__char_distance", F.when(
         F.col("__word_chars") >= MIN_CHARS_COMPARED,
@@ -160,8 +171,11 @@ def with_verdicts(documents: DataFrame) -> DataFrame:
 
 
 def quality(documents: DataFrame) -> DataFrame:
-    """Per document row: counts, distances (null below the guards) and verdicts."""
-    return with_verdicts(documents.select("doc_id", "lang", "text")).select(
+    """Per document row: counts, distances (null below the guards) and verdicts.
+
+    The measures (a few numbers a row) are written once; references and verdicts read them, not the texts."""
+    measures = stored(text_measures(documents.select("doc_id", "lang", "text")).drop("text"))
+    return with_verdicts(measures, language_references(measures)).select(
         "doc_id", F.col("__n").alias("n_words"), F.col("__word_chars").alias("word_chars"),
         F.col("__symbols").alias("n_symbols"), F.col("__dup_lines").cast("long").alias("n_dup_lines"),
         F.col("__repeat_words").alias("n_repeat_words"), F.col("__base_failed").alias("base_failed"),
@@ -173,5 +187,5 @@ def drop_low_quality(documents: DataFrame) -> DataFrame:
     """The documents that the rules keep, all columns kept."""
     # the random column keeps the filter above the projections: pushed below them, its condition would
     # hold every measure many times over
-    judged = with_verdicts(documents).withColumn("__hold", F.rand())
+    judged = with_verdicts(text_measures(documents), language_references(histograms(documents))).withColumn("__hold", F.rand())
     return judged.where("__kept and __hold >= 0").select(*[f"`{c}`" for c in documents.columns])

@@ -3,21 +3,25 @@
 Documents are sets of k-word shingles (64-bit hashes).  Two documents link when
 ``100 * |A and B| >= percent * |A or B|``; the result is the connected component of every document.
 
-1. Equal sets collapse to one representative (a partial aggregate, so a text that fills a third of the
-   table is reduced before the shuffle).
-2. All documents share one total order of shingles: frequent ones last, otherwise by hash.  With n
-   shingles, of which any partner must hold at least ceil(percent * n / 100), linked documents share
-   one of the first ``n - ceil(percent * n / 100) + 1`` shingles: the *prefix*.  Which shingles count as
-   frequent is settled over all documents; it moves work, never results.
-3. Similar documents form groups: same first prefix shingle, large groups dealt into pieces of about
-   ``GROUP_SIZE``.  The rows (shingle, group) over the members' prefixes are the token-group matrix.
-4. A group pair that shares a matrix row is a candidate.  Where two groups meet, the group's token union
-   bounds the overlap of each query document: only if ``|Q and union| * 100 >= percent * max(|Q|,
-   smallest member)`` the group is opened and the exact overlaps with its members are counted.
-5. Pairs are opened in two rounds.  First every group with itself and with the first group of each
-   of its matrix rows (linear in the number of rows).  Components of the links found settle most rows;
-   the second round opens the remaining pairs of groups, but only for rows that still hold two
-   components.  No pair that could link different components is left out, so the result is exact.
+1. Equal sets are one set (known by a digest), however many documents have it.
+2. A set is cut into segments by the range of the hash.  Linked sets differ in at most
+   ``d = (100 - percent) * (|A| + |B|) / (100 + percent)`` shingles, so of more than d segments at least
+   one is equal in both.  The segment numbers follow size bands (each set takes part in its own band and
+   the one below, because linked sets are in the same or in neighbouring bands).  A segment's hash is the
+   *token* of the matrix; a passage that many documents share does not fill whole segments, so it makes no
+   candidates.  Where so many segments are empty that the equal one might be empty, the set also emits its
+   empty segments; a pair needs that only if both sets are so.
+3. Similar sets form groups: same smallest shared token, large groups dealt into pieces of about
+   ``GROUP_SETS`` sets and ``GROUP_SHINGLES`` shingles.  The distinct rows (token, group) are the
+   token-group matrix.
+4. Group pairs that share a matrix row are candidates.  Where two groups meet, the group's shingle union
+   bounds the overlap with each query set: only if ``100 * |Q and union| >= percent * max(|Q|, smallest
+   member)`` the group is opened and the exact overlaps with its members are counted.
+5. Rounds, each with the components that the links so far make.  First every group is opened with itself.
+   Then, twice, every matrix row proposes one pair of sets between its first component and each other one
+   (linear in the number of rows); this joins what belongs together across groups.  Last, all group pairs of
+   the rows that still hold two components are opened.  No pair that could link different components is
+   left out, so the result is exact.
 
 Defined results: a null or blank text has no shingles, links with nothing and is its own component;
 fewer than k words make the whole sequence one shingle; a null doc_id gets the component of its text's
@@ -30,17 +34,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrowtext import POSITION_CODE, U64, WHITE_SPACE, chunks, mix, shingles, span_hashes, words
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import cut
+from tidemark.llm.tables import BROADCAST_ROWS, cut, discard, stored
 
-GROUP_SIZE = 128
-#: A shingle is frequent if it is in this share of the documents (and in at least 16).  At most
-#: (mean set size / share) shingles can be, whatever the number of documents: that bounds the broadcast.
-FREQUENT_SHARE = 0.002
+GROUP_SETS = 1024
+GROUP_SHINGLES = 1 << 20
 
 
 def _distinct_sorted(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,84 +66,135 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndar
         yield _distinct_sorted(*shingles(span_hashes(chunk, found.starts, found.ends), found.first, k))
 
 
-def frequent_shingles(documents: DataFrame, k: int, share: float = FREQUENT_SHARE) -> np.ndarray:
-    """Sorted hashes of the shingles found in at least ``share`` of the documents.
+def _digests(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64-bit digest of each set."""
+    with np.errstate(over="ignore"):
+        total = np.concatenate((np.zeros(1, U64), np.cumsum(mix(values * POSITION_CODE[7]), dtype=U64)))
+        other = np.concatenate((np.zeros(1, U64), np.cumsum(mix(values * POSITION_CODE[8]), dtype=U64)))
+        return mix(total[bounds[1:]] - total[bounds[:-1]]) ^ mix(
+            (other[bounds[1:]] - other[bounds[:-1]]) * POSITION_CODE[9] + np.diff(bounds).astype(U64))
+
+
+class Bands:
+    """Size bands and the number of segments of each, for one threshold."""
+
+    def __init__(self, percent: int, largest: int = 1 << 40):
+        edges = [1]
+        while edges[-1] < largest:
+            edges.append(max(edges[-1] + 1, 100 * edges[-1] // percent + 1))
+        self.edges = np.array(edges, dtype=np.int64)
+        top = self.edges[1:] - 1
+        self.allowed = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
+        self.segments = self.allowed + 1 + -(-self.allowed // 8)
+
+    def tokens(self, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(token, number of its set) for sets without repeats, sorted by hash."""
+        n = np.diff(bounds)
+        text = np.repeat(np.arange(len(n)), n)
+        own = np.searchsorted(self.edges, np.maximum(n, 1), side="right") - 1
+        with np.errstate(over="ignore"):
+            total = np.concatenate((np.zeros(1, U64), np.cumsum(mix(values + POSITION_CODE[3]), dtype=U64)))
+            tokens, owners = [], []
+            for band in (own, own - 1):
+                segments = np.where(band >= 0, self.segments[band], 0)
+                segment = ((values >> U64(32)) * segments[text].astype(U64)) >> U64(32)
+                new = np.ones(len(values), dtype=bool)
+                new[1:] = (text[1:] != text[:-1]) | (segment[1:] != segment[:-1])
+                new &= band[text] >= 0
+                start = np.flatnonzero(new)
+                end = np.append(start[1:], len(values))
+                end = np.minimum(end, bounds[1:][text[start]])
+                place = mix(band[text[start]].astype(U64) * POSITION_CODE[4] + segment[start] * POSITION_CODE[5])
+                tokens.append(mix((total[end] - total[start]) ^ place))
+                owners.append(text[start])
+                filled = np.bincount(text[start], minlength=len(n))
+                for t in np.flatnonzero((n > 0) & (band >= 0) & (filled <= np.where(band >= 0, self.allowed[band], 0))).tolist():
+                    empty = np.setdiff1d(np.arange(segments[t], dtype=U64), segment[bounds[t]:bounds[t + 1]])
+                    tokens.append(mix(mix(U64(band[t]) * POSITION_CODE[4] + empty * POSITION_CODE[5])))
+                    owners.append(np.full(len(empty), t))
+        return np.concatenate(tokens), np.concatenate(owners)
+
+
+def _test_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of sets that link."""
+    def test(batches):
+        for batch in batches:
+            linked = np.zeros(batch.num_rows, dtype=bool)
+            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                small, large = sorted((np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)), key=len)
+                if 100 * len(small) >= percent * len(large) and len(large):
+                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                    overlap = int((large[at] == small).sum())
+                    linked[i] = 100 * overlap >= percent * (len(small) + len(large) - overlap)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked))
+
+    def side(name):
+        return members.select(F.col("sid").alias(name), F.col("tokens").alias(f"tokens_{name}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(
+        lambda batches: test(x for x in batches if x.num_rows), "a long, b long")
+
 
-    Every chunk of texts reports the shingles that reach the share within it; sums of the reports are
-    compared with the share of all documents."""
-    def count(batches):
+def document_sets(documents: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n_shingles, sid): size and digest of each row's set; sid is null for an empty set."""
+    def describe(batches):
         for batch in batches:
-            for values, bounds in shingle_sets(batch.column(0), k):
-                n = int((np.diff(bounds) > 0).sum())
-                token, times = np.unique(values, return_counts=True)
-                often = times >= max(4, share * n)
+            if batch.num_rows:
+                sizes, ids = [], []
+                for values, bounds in shingle_sets(batch.column(1), k):
+                    sizes.append(np.diff(bounds))
+                    ids.append(_digests(values, bounds))
+                size = np.concatenate(sizes).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.append(token[often].view(np.int64), 0), mask=np.append(np.zeros(often.sum(), bool), True)),
-                     pa.array(np.append(times[often], n).astype(np.int64))], names=["token", "n"])
+                    [batch.column(0), pa.array(size), pa.array(np.concatenate(ids).view(np.int64), mask=size == 0)],
+                    names=["doc_id", "n_shingles", "sid"])
 
-    counts = documents.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counts = cut(counts)
-    total = counts.where("token is null").first()
-    least = max(16.0, share * (total["n"] if total else 0))
-    rows = counts.where((F.col("n") >= least) & F.col("token").isNotNull()).select("token").collect()
-    return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(U64))
+    return documents.select("doc_id", "text").mapInArrow(describe, "doc_id long, n_shingles long, sid long")
 
 
-def document_sets(documents: DataFrame, k: int, percent: int, frequent) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, prefix): size, digest and prefix of each row's set."""
-    def describe(batches):
+def matrix_rows(documents: DataFrame, k: int, percent: int) -> DataFrame:
+    """(token, sid) of all sets; a set that repeats within a batch gives its rows once."""
+    def rows(batches):
+        bands = Bands(percent)
         for batch in batches:
-            sizes, first, second, prefixes, ends = [], [], [], [], [0]
-            for values, bounds in shingle_sets(batch.column(1), k):
-                n = np.diff(bounds)
-                with np.errstate(over="ignore"):
-                    sums = [np.concatenate((np.zeros(1, U64), np.cumsum(mix(values * POSITION_CODE[i]), dtype=U64)))
-                            for i in (7, 8)]
-                    first.append((sums[0][bounds[1:]] - sums[0][bounds[:-1]]).view(np.int64))
-                    second.append((sums[1][bounds[1:]] - sums[1][bounds[:-1]]).view(np.int64))
-                sizes.append(n)
-                table = frequent.value
-                if len(table):
-                    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-                    often = table[at] == values
-                else:
-                    often = np.zeros(len(values), dtype=bool)
-                # stable order (text, frequent, hash): values are sorted by hash within a text already
-                text = np.repeat(np.arange(len(n)), n)
-                values = values[np.argsort(text * 2 + often, kind="stable")]
-                length = n - (n * percent + 99) // 100 + (n > 0)
-                rank = np.arange(len(values)) - bounds[text]
-                prefixes.append(values[rank < length[text]])
-                ends.extend((ends[-1] + np.cumsum(length)).tolist())
-            flat = np.concatenate(prefixes) if prefixes else np.zeros(0, U64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(sizes).astype(np.int64)), pa.array(np.concatenate(first)),
-                 pa.array(np.concatenate(second)),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))],
-                names=["doc_id", "n_shingles", "d1", "d2", "prefix"])
-
-    return documents.select("doc_id", "text").mapInArrow(
-        (lambda batches: describe(b for b in batches if b.num_rows)),
-        "doc_id long, n_shingles long, d1 long, d2 long, prefix array<long>")
+            if not batch.num_rows:
+                continue
+            for values, bounds in shingle_sets(batch.column(0), k):
+                ids = _digests(values, bounds)
+                once = np.zeros(len(ids), dtype=bool)
+                once[np.unique(ids, return_index=True)[1]] = True
+                token, owner = bands.tokens(values, bounds)
+                kept = once[owner]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token[kept].view(np.int64)), pa.array(ids[owner[kept]].view(np.int64))], names=["token", "sid"])
+
+    return documents.select("text").mapInArrow(rows, "token long, sid long")
 
 
 def _members(documents: DataFrame, groups: DataFrame, k: int) -> DataFrame:
-    """(gid, rep, tokens) of every grouped representative, the set as little-endian 64-bit hashes."""
+    """(gid, sid, tokens) of every grouped set, its shingles as little-endian 64-bit hashes.
+
+    ``groups``: (gid, sid, rep), rep being a document with this set."""
     def sets(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = [values[lo:hi].tobytes() for values, bounds in shingle_sets(batch.column(2), k)
-                     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            found, same = [], []
+            for values, bounds in shingle_sets(batch.column(2), k):
+                same.append(_digests(values, bounds).view(np.int64))
+                found += [values[lo:hi].tobytes() for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            right = pa.array(np.concatenate(same) == np.asarray(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())],
-                                             names=["gid", "rep", "tokens"])
+                                             names=["gid", "sid", "tokens"]).filter(right)
 
-    texts = documents.select(F.col("doc_id").alias("rep"), "text").join(groups, "rep").select("gid", "rep", "text")
-    return texts.mapInArrow(sets, "gid long, rep long, tokens binary").dropDuplicates(["rep"])
+    wanted = F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
+    texts = documents.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("gid", "sid", "text")
+    return texts.mapInArrow(sets, "gid long, sid long, tokens binary")
 
 
 def _links(query: list[tuple], group: list[tuple], percent: int, same: bool) -> list[tuple[int, int]]:
-    """Spanning links between two groups of (rep, component, tokens); components differ already."""
+    """Spanning links between two groups of (sid, component, tokens); components differ already."""
     leader = {r: r if c is None else c for r, c, _ in query + group}
     parent = {c: c for c in leader.values()}
 
@@ -185,10 +238,10 @@ def _links(query: list[tuple], group: list[tuple], percent: int, same: bool) ->
 def _open_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) found in the group pairs (g1, g2); g1 = g2 opens a group with itself.
 
-    ``members``: (gid, rep, component or null, tokens)."""
-    left = pairs.join(members.withColumnRenamed("gid", "g1"), "g1").select("g1", "g2", F.lit(0).alias("side"), "rep", "component", "tokens")
+    ``members``: (gid, sid, component or null, tokens)."""
+    left = pairs.join(members.withColumnRenamed("gid", "g1"), "g1").select("g1", "g2", F.lit(0).alias("side"), "sid", "component", "tokens")
     right = pairs.where("g1 != g2").join(members.withColumnRenamed("gid", "g2"), "g2").select(
-        "g1", "g2", F.lit(1).alias("side"), "rep", "component", "tokens")
+        "g1", "g2", F.lit(1).alias("side"), "sid", "component", "tokens")
 
     def search(batches):
         def links(rows):
@@ -209,58 +262,73 @@ def _open_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame
         if rows and (found := links(rows)):
             yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=EDGE)
 
-    return left.unionByName(right).repartition("g1", "g2").sortWithinPartitions("g1", "g2", "side", "rep") \
+    return left.unionByName(right).repartition("g1", "g2").sortWithinPartitions("g1", "g2", "side", "sid") \
         .mapInArrow(search, "a long, b long")
 
 
 EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+def _proposals(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): for every token, the first set of its first component with that of each other component."""
+    held = shared.join(labels, "sid", "left").withColumn("component", F.coalesce("component", "sid")) \
+        .groupBy("token", "component").agg(F.min("sid").alias("b"))
+    first = held.groupBy("token").agg(F.min(F.struct("component", "b")).alias("p"))
+    return held.join(first, "token").where("component != p.component").select(F.col("p.b").alias("a"), "b").distinct()
+
+
 def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80,
-                       group_size: int = GROUP_SIZE, share: float = FREQUENT_SHARE) -> DataFrame:
+                       group_sets: int = GROUP_SETS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id."""
-    spark: SparkSession = documents.sparkSession
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequent = spark.sparkContext.broadcast(frequent_shingles(documents, k, share))
-    sets = cut(document_sets(documents, k, percent, frequent))
-    digest = ["n_shingles", "d1", "d2"]
-    reps = sets.where("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(
-        F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix"))
-    classes = cut(reps.select(*digest, "rep", "prefix"))
-
-    rows = classes.select("rep", F.col("prefix")[0].alias("key"), F.explode("prefix").alias("token"))
-    shared = rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    shared = cut(rows.join(shared, "token"))
-    keys = shared.select("rep", "key").distinct()
-    pieces = keys.groupBy("key").agg(F.ceil(F.count("*") / group_size).alias("pieces"))
-    groups = cut(keys.join(pieces, "key").select(
-        "rep", F.xxhash64("key", F.pmod(F.xxhash64("rep"), F.col("pieces"))).alias("gid")))
-    matrix = cut(shared.select("token", "rep").join(groups, "rep"))
-    members = cut(_members(documents, groups, k))
-
-    by_group = matrix.select("token", "gid").distinct()
-    first = by_group.groupBy("token").agg(F.min("gid").alias("g1"))
-    star = by_group.join(first, "token").where("gid != g1").select("g1", F.col("gid").alias("g2")).distinct()
-    own = groups.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1").select(
-        F.col("gid").alias("g1"), F.col("gid").alias("g2"))
-    opened = cut(star.unionByName(own))
+    sets = stored(document_sets(documents, k))
+    owners = sets.where("sid is not null and doc_id is not null").groupBy("sid").agg(
+        F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"))
+
+    rows = matrix_rows(documents, k, percent).repartition("token")
+    several = rows.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo != hi").select("token")
+    shared = stored(rows.join(several, "token").distinct())
+    keys = shared.groupBy("sid").agg(F.min("token").alias("key")).join(owners, "sid")
+    pieces = keys.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / group_sets), F.ceil(F.sum("n") / group_shingles)).alias("pieces"))
+    groups = stored(keys.join(pieces, "key").select(
+        "sid", "rep", F.xxhash64("key", F.pmod(F.xxhash64("sid"), F.col("pieces"))).alias("gid")))
+    members = stored(_members(documents, groups, k).dropDuplicates(["sid"]))
     unsettled = members.withColumn("component", F.lit(None).cast("long"))
-    links = cut(_open_pairs(opened, unsettled, percent))
-    labels = cut(connected_components(links).withColumnRenamed("node", "rep"))
 
-    settled = matrix.join(labels, "rep", "left").select(
-        "token", "gid", F.coalesce("component", "rep").alias("component")).distinct()
+    sizes = groups.groupBy("gid").agg(F.count("*").alias("n"))
+    own = sizes.where("n > 1").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
+    found = [stored(_open_pairs(own, unsettled, percent))]
+    labels = cut(connected_components(found[0]).withColumnRenamed("node", "sid"))
+    tested = []
+    for _ in range(2):
+        pairs = stored(_proposals(shared, labels))
+        tested.append(pairs)
+        found.append(stored(_test_pairs(pairs, members, percent)))
+        links = found[0].unionByName(found[1]) if len(found) == 2 else found[0].unionByName(found[1]).unionByName(found[2])
+        labels = cut(connected_components(links).withColumnRenamed("node", "sid"))
+
+    settled = shared.join(groups.select("sid", "gid"), "sid").join(labels, "sid", "left").select(
+        "token", "gid", F.coalesce("component", "sid").alias("component")).distinct()
     mixed = settled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo != hi").select("token")
-    mixed = settled.join(mixed, "token")
+    mixed = stored(settled.join(mixed, "token"))
+    # group pairs of one set each that a proposal has tested are done
+    alone = groups.join(sizes.where("n = 1").select("gid"), "gid").select("sid", "gid")
+    done = tested[0].unionByName(tested[1]).join(alone.select(F.col("sid").alias("a"), F.col("gid").alias("x")), "a") \
+        .join(alone.select(F.col("sid").alias("b"), F.col("gid").alias("y")), "b") \
+        .select(F.least("x", "y").alias("g1"), F.greatest("x", "y").alias("g2")).distinct()
     rest = mixed.alias("x").join(mixed.alias("y"), F.expr(
         "x.token = y.token and x.gid < y.gid and x.component != y.component")).select(
         F.col("x.gid").alias("g1"), F.col("y.gid").alias("g2")).distinct() \
-        .join(opened, ["g1", "g2"], "left_anti")
-    more = cut(_open_pairs(rest, members.join(labels, "rep", "left").select("gid", "rep", "component", "tokens"), percent))
-    component = connected_components(links.unionByName(more)).withColumnRenamed("node", "rep")
-
-    owner = classes.select(*digest, "rep").join(component, "rep", "left").select(
-        *digest, F.coalesce("component", "rep").alias("component_id"))
-    return sets.select("doc_id", *digest).join(owner, digest, "left").select(
+        .join(done, ["g1", "g2"], "left_anti")
+    labelled = members.join(labels, "sid", "left").select("gid", "sid", "component", "tokens")
+    more = stored(_open_pairs(rest, labelled, percent))
+    component = cut(connected_components(links.unionByName(more)).withColumnRenamed("node", "sid"))
+    discard(shared, groups, members, mixed, more, *found, *tested)
+
+    # the smallest document of each component
+    owner = owners.join(component, "sid", "left").select("sid", "rep", F.coalesce("component", "sid").alias("component"))
+    smallest = owner.groupBy("component").agg(F.min("rep").alias("component_id"))
+    known = owner.join(smallest, "component").select("sid", "component_id")
+    return sets.join(known, "sid", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -42,7 +42,7 @@ from tidemark.llm.components import connected_components
 from tidemark.llm.tables import BROADCAST_ROWS, cut, discard, stored
 
 GROUP_SETS = 1024
-GROUP_SHINGLES = 1 << 20
+GROUP_SHINGLES = 1 << 18
 
 
 def _distinct_sorted(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,10 +115,17 @@ class Bands:
         return np.concatenate(tokens), np.concatenate(owners)
 
 
+def _slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Few sets at a time, so that only these become Python objects."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def _test_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of sets that link."""
     def test(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             linked = np.zeros(batch.num_rows, dtype=bool)
             for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 small, large = sorted((np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)), key=len)
@@ -250,7 +257,7 @@ def _open_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame
             return _links(sides[0], sides[0] if same else sides[1], percent, same) if sides[0] else []
 
         key, rows = None, []
-        for batch in batches:
+        for batch in _slices(batches):
             found = []
             for g1, g2, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (g1, g2) != key:

@@ -60,6 +60,20 @@ def test_bounded_histogram(spark, monkeypatch):
     check(rows, 3000, 3)
 
 
+def test_one_very_long_text_leaves_the_bounds_exact(spark, monkeypatch):
+    sizes = [3, 5, 8, 9, 14, 15, 22, 37, 1_000_003]
+    lengths = [n for i, n in enumerate(sizes) for _ in range(1 + 7 * i % 5)]
+    counts = list(collections.Counter(lengths).values())
+    best = min(padding(sizes, counts, (*c, sizes[-1])) for c in itertools.combinations(sizes[:-1], 3))
+    df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_tokens long")
+    for bins in (packing.MAX_BINS, 3):
+        monkeypatch.setattr(packing, "MAX_BINS", bins)
+        rows = packing.pack(df, n_buckets=4, budget=100).collect()
+        check(rows, 100, 4)
+        assert {r.padded_to for r in rows} <= set(sizes)
+        assert sum(r.padded_to - r.n_tokens for r in rows) == best
+
+
 def test_defined_cases(spark):
     docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (2, "", 0), (None, "a b", 0)], "doc_id long, text string, BUCKET int")
     assert sorted(r.n_tokens for r in packing.word_lengths(docs).collect()) == [1, 1, 1, 3]

@@ -1,10 +1,10 @@
 """Optimal length buckets: dynamic programming over the global length histogram, token-budget batches.
 
-All documents are padded to the upper length of their bucket.  The histogram (one row per length, made
-by a pre-aggregated count) goes to the driver; above ``MAX_BINS`` different lengths neighbouring lengths
-share a bin, so its size is bounded.  The dynamic program finds the ``n_buckets`` upper lengths that
+All documents are padded to the upper length of their bucket.  The histogram (one row per different length,
+made by a pre-aggregated count) goes to the driver.  It is small whatever the longest text: m different
+lengths need more than m * m / 2 tokens.  The dynamic program finds the ``n_buckets`` upper lengths that
 minimise the padding over all documents exactly (divide and conquer over the split points, which is valid
-because the padding cost satisfies the quadrangle inequality).
+because the padding cost satisfies the quadrangle inequality), weighing ``MAX_BINS`` split points at a time.
 
 Inside a bucket, batches hold ``budget // upper length`` documents (at least one).  A document's place is
 an offset of its hash slice plus its number within the slice, so no bucket is ever sorted in one task,
@@ -43,6 +43,16 @@ def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, n_buckets: int) -> l
         """Bins i..j-1 padded to length j-1."""
         return lengths[j - 1] * (number[j] - number[i]) - (total[j] - total[i])
 
+    def cheapest(left, right, j):
+        """(cost, i) of the cheapest split point i from left to right, the lowest of equals."""
+        found = []
+        for lo in range(left, right + 1, MAX_BINS):
+            i = np.arange(lo, min(lo + MAX_BINS, right + 1))
+            cost = best[i] + padding(i, j)
+            at = int(cost.argmin())
+            found.append((int(cost[at]), int(i[at])))
+        return min(found)
+
     best = np.concatenate(([0], padding(0, np.arange(1, m + 1))))
     splits = [np.zeros(m + 1, dtype=np.int64)]
     for _ in range(1, min(n_buckets, m)):
@@ -55,11 +65,9 @@ def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, n_buckets: int) -> l
             if lo > hi:
                 continue
             j = (lo + hi) // 2
-            i = np.arange(left, min(right, j - 1) + 1)
-            cost = best[i] + padding(i, j)
-            at = int(cost.argmin())
-            new[j], split[j] = cost[at], i[at]
-            stack += [(lo, j - 1, left, int(i[at])), (j + 1, hi, int(i[at]), right)]
+            new[j], at = cheapest(left, min(right, j - 1), j)
+            split[j] = at
+            stack += [(lo, j - 1, left, at), (j + 1, hi, at, right)]
         splits.append(split)
         best = new
     bounds, j = [], m
@@ -81,14 +89,11 @@ def pack(lengths: DataFrame, n_buckets: int = N_BUCKETS, budget: int = TOKEN_BUD
     """(doc_id, n_tokens) -> the same rows with bucket, padded_to, batch (within the bucket), place (within
     the batch)."""
     lengths = cut(lengths.select("doc_id", "n_tokens"))
-    stats = lengths.agg(F.count("*"), F.max("n_tokens")).first()
-    width = max(1, -(-(stats[1] or 1) // MAX_BINS))
-    top = (F.ceil(F.col("n_tokens") / width) * width).cast("long").alias("top")
-    histogram = lengths.groupBy(top).agg(F.count("*").alias("n")).collect()  # MAX_BINS rows at most
-    bounds = optimal_bounds(np.array([r["top"] for r in histogram], dtype=np.int64),
-                            np.array([r["n"] for r in histogram], dtype=np.int64), n_buckets)
+    histogram = lengths.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow()  # one row per different length
+    counts = histogram["n"].to_numpy()
+    bounds = optimal_bounds(histogram["n_tokens"].to_numpy(), counts, n_buckets)
     edges = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
-    n_slices = max(1, -(-stats[0] // SLICE_ROWS))
+    n_slices = max(1, -(-int(counts.sum()) // SLICE_ROWS))
     rows = lengths.withColumn("bucket", sum((F.when(F.col("n_tokens") > b, 1).otherwise(0) for b in bounds[:-1]), F.lit(0))) \
         .withColumn("slice", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(n_slices)))
     sizes = rows.groupBy("bucket", "slice").agg(F.count("*").alias("n"))  # buckets x slices rows

@@ -45,8 +45,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: bucket, padded length and batch of every document left."""
-    return packing.pack(packing.word_lengths(docs))
+    """Packing: bucket, padded length and batch of every document left, by its token ids."""
+    import public_tokenizers
+
+    return packing.pack(packing.token_lengths(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES: list[tuple[str, Stage]] = [

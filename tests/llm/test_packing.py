@@ -4,6 +4,7 @@ import collections
 import itertools
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -89,3 +90,22 @@ def test_query(spark):
     lengths, counts = map(list, zip(*collections.Counter(r.n_tokens for r in rows).items(), strict=True))
     even = sorted(lengths)[len(lengths) // 16::max(1, len(lengths) // 16)][:15] + [max(lengths)]
     assert sum(r.padded_to - r.n_tokens for r in rows) <= padding(lengths, counts, even)
+
+
+def test_query_counts_token_ids(spark):
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    tool = Tokenizer.from_file(path)
+
+    def ids(text):
+        return len(tool.encode(text or "", add_special_tokens=False).ids) + 1
+
+    unspaced = "".join(chr(0x4E00 + i) for i in range(500))
+    docs = spark.createDataFrame([(1, None), (2, ""), (None, "Hello world"), (3, unspaced), (3, unspaced)], "doc_id long, text string")
+    lengths = [r.n_tokens for r in packing.token_lengths(docs, path).collect()]
+    assert lengths == [1, 1, ids("Hello world"), ids(unspaced), ids(unspaced)] and lengths[-1] > 500
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = op10_packing(spark, SF).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {d: ids(t) for d, t in texts.items()}
+    check(rows, packing.TOKEN_BUDGET, packing.N_BUCKETS)

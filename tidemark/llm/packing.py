@@ -10,7 +10,7 @@ Inside a bucket, batches hold ``budget // upper length`` documents (at least one
 an offset of its hash slice plus its number within the slice, so no bucket is ever sorted in one task,
 and repeated executions give the same batches.
 
-Defined results: a null or blank text has length 1 (its end mark); an empty table gives no rows; repeated
+Defined results: a null or empty text has length 1 (its end id or mark); an empty table gives no rows; repeated
 rows and rows without id each take a place.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.quality import words_of
 from tidemark.llm.tables import cut
+from tidemark.llm.token_files import token_ids
 
 N_BUCKETS = 16
 TOKEN_BUDGET = 65_536
@@ -85,6 +86,11 @@ def word_lengths(documents: DataFrame) -> DataFrame:
                             (F.size(words_of(F.col("text"))) + 1).cast("long").alias("n_tokens"))
 
 
+def token_lengths(documents: DataFrame, tokenizer_path: str) -> DataFrame:
+    """(doc_id, n_tokens): token ids of the whole text and its end id."""
+    return token_ids(documents, tokenizer_path).select("doc_id", F.expr("octet_length(ids) div 2").alias("n_tokens"))
+
+
 def pack(lengths: DataFrame, n_buckets: int = N_BUCKETS, budget: int = TOKEN_BUDGET) -> DataFrame:
     """(doc_id, n_tokens) -> the same rows with bucket, padded_to, batch (within the bucket), place (within
     the batch)."""

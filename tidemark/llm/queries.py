@@ -62,8 +62,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Buckets and batches of all documents."""
-    return packing.pack(packing.word_lengths(table(spark, sf_dir, "documents")))
+    """Buckets and batches of all documents by their token ids."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.token_lengths(table(spark, sf_dir, "documents"), path))
 
 
 QUERIES: dict[str, Builder] = {fn.__name__: fn for fn in (

@@ -3,8 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and read
 again as the next one's ``docs``.  All but the last return the columns of ``documents``.
 
-Rows without doc_id are judged like all others by the text rules; of a group of near duplicates the
-document with the smallest id stays, and repeated rows with one id stay or go together.
+Rows without doc_id are judged like all others.  Of a group of near duplicates exactly one row stays: the one
+with the smallest id, a row without id only if none of the group has one; of rows that repeat this id, one.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, packing, quality, toxicity
-from tidemark.llm.tables import BROADCAST_ROWS, shared_folder, stored, table
+from tidemark.llm.tables import BROADCAST_ROWS, discard, shared_folder, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -33,10 +33,16 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join on five-word shingles, similarity 0.8 or more: one document of each group stays."""
-    groups = jaccard.jaccard_components(docs, k=5, percent=80)
-    gone = stored(groups.where("doc_id is not null and component_id != doc_id").select("doc_id").distinct())
+    key = f"row_{uuid.uuid4().hex}"  # a row is known by its number, written once: ids may be null or repeat
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()))
+    groups = jaccard.jaccard_components(rows.select(F.col(key).alias("doc_id"), "text"), k=5, percent=80)
+    groups = stored(groups.select(F.col("doc_id").alias(key), "component_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key)).alias("first")
+    kept = groups.join(rows.select(key, "doc_id"), key).groupBy("component_id").agg(first).select(f"first.{key}")
+    gone = stored(groups.select(key).join(kept, key, "left_anti"))
+    discard(groups)
     few = gone.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return rows.join(F.broadcast(gone) if few else gone, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

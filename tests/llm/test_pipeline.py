@@ -36,6 +36,22 @@ def test_stages_against_brute_force(spark):
     assert {r.doc_id for r in final.collect()} == kept["decontamination"]
 
 
+def test_one_row_of_each_near_duplicate_group_stays(spark):
+    prose = " ".join(f"word{i}" for i in range(120))
+    other = " ".join(f"other{i}" for i in range(90))
+    third = " ".join(f"third{i}" for i in range(90))
+    rows = [(None, prose), (7, prose + " tail"), (7, prose), (9, prose), (9, "a text of its own"), (None, prose),
+            (None, other), (None, other), (None, other + " end"), (3, third), (3, third), (4, None), (None, ""), (None, " ")]
+    out = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    left = [(r.doc_id, r.text) for r in out]
+    assert len(left) == 7 and all(r in rows for r in left)
+    assert sum((t or "").startswith("word") for _, t in left) == 1 and 7 in {d for d, t in left if (t or "").startswith("word")}
+    assert (9, "a text of its own") in left
+    assert [d for d, t in left if (t or "").startswith("other")] == [None]
+    assert left.count((3, third)) == 1
+    assert {r for r in left if not (r[1] or "").strip()} == {(4, None), (None, ""), (None, " ")}
+
+
 def test_odd_rows_pass_all_stages(spark, tmp_path):
     prose = " ".join(f"word{i}" for i in range(120))
     rows = [(1, prose, None, None, None), (1, prose, None, None, None), (None, prose + " tail", "en", "s", 1), (2, None, "en", "s", 0), (3, "", None, "s", 0)]

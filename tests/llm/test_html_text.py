@@ -36,6 +36,23 @@ def test_page_without_article_element():
     assert text(page) == "\n\n".join(["Head line", body.strip(), body.strip()])
 
 
+def test_article_in_a_marked_wrapper():
+    body = "A sentence with enough words to look like the body of some longer text, which it is, at least here. " * 3
+    inner = f"<ul><li><a href=1>One</a><li><a href=2>Two</a></ul><{{0}}><h1>Head line</h1><p>{body}</p>" \
+        f"<div class=share>Share this</div><section class=comments><article><p>Great post.</p></article></section></{{0}}>"
+    whole = f"Head line\n\n{body.strip()}"
+    for mark in ("class='has-sidebar'", "class='layout-sidebar-right'", "class='no-comments'", "id='page-header-fixed'", "class='page header'"):
+        for tag in ("article", "main"):
+            assert text(f"<body><div {mark}>{inner.format(tag)}</div>") == whole, (mark, tag)
+    assert text(f"<body><form id=aspnetForm>{inner.format('main')}</form>") == whole
+    assert text(f"<body><div class='no-sidebar wide'><h1>Head line</h1><p>{body}</p></div>") == whole
+    for mark in ("class=related", "class=sidebar"):  # cards beside the article
+        assert text(f"<body>{inner.format('article')}<div {mark}><article><p>{body}</p></article></div>") == whole
+    for wrapper in ("aside", "div hidden", "div role=search", "div class=sidebar style='display:none'"):
+        assert text(f"<body><{wrapper}><article><p>{body}</p></article></{wrapper.split()[0]}>") == ""
+    assert text(f"<body><div class=has-sidebar><div class=comments><article class=comment><p>{body}</p></article></div></div>") == ""
+
+
 def test_defined_cases():
     assert text(None) == text("") == text("   ") == text("<p></p><div> </div>") == ""
     assert text("plain words") == "plain words"

@@ -2,6 +2,9 @@
 
 A page is cut into blocks at block-level tags.  Each block has its word count and link density, those of
 its neighbours, and marks of the elements around it (article, page furniture by tag or by class, heading).
+Names that say how the page is laid out (``has-sidebar``, ``no-comments``) mark nothing.  If all articles of
+the page are in elements marked by name or in a form, these are wrappers: their article or main elements
+without a mark of their own are not furniture.
 The tree is trained with Gini splits on the small labelled table below (or on one passed in), and the
 blocks it calls content, in page order, are the main text.
 
@@ -37,6 +40,8 @@ FURNITURE_NAMES = frozenset(
     "cookies disclaimer disqus footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice "
     "overlay pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup "
     "skip social sponsor sponsored subscribe teaser toolbar widget".split())
+LAYOUT_WORDS = frozenset("has no not with without layout".split())
+UNMARKED, BY_NAME, MARKED = 0, 1, 2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,26 +66,34 @@ class Block:
         return self.link_words / self.words if self.words else 0.0
 
 
-def _is_furniture(tag: str, rest: str, in_article: bool) -> bool:
-    if tag in FURNITURE_TAGS or (tag == "header" and not in_article):
-        return True
+def _names(value: str) -> set[str]:
+    """The words of the class or id names, without names that describe the layout."""
+    words = [set(_NAME.findall(name)) for name in value.split()]
+    return set().union(*(w for w in words if not w & LAYOUT_WORDS))
+
+
+def _furniture(tag: str, rest: str, in_article: bool) -> int:
+    """``MARKED`` by tag, role or hiding, ``BY_NAME`` by class or id or as a form, which may wrap the page."""
+    if tag in FURNITURE_TAGS - {"form"} or (tag == "header" and not in_article):
+        return MARKED
+    mark = BY_NAME if tag == "form" else UNMARKED
     if not rest or rest.isspace():
-        return False
+        return mark
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), next((v for v in values if v), "").lower()
         if key in ("class", "id"):
-            names = set(_NAME.findall(value))
+            names = _names(value)
             if in_article:
                 names -= {"header"}
             if tag not in ("body", "html", "article", "main") and names & FURNITURE_NAMES:
-                return True
+                mark = BY_NAME
         elif key == "role" and value in FURNITURE_ROLES:
-            return True
+            return MARKED
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return MARKED
         elif key == "aria-hidden" and value == "true":
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?=[\s/]|$)", rest, re.I))
+            return MARKED
+    return MARKED if re.search(r"(?:^|\s)hidden(?=[\s/]|$)", rest, re.I) else mark
 
 
 def page_blocks(page: str) -> list[Block]:
@@ -88,7 +101,9 @@ def page_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     parts: list[str] = []  # of the open block
     link_parts: list[str] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, article, furniture, heading
+    stack: list[tuple[str, bool, int, bool, bool]] = []  # tag, article, furniture, heading, wrapped article
+    wrapped: list[Block] = []
+    top_level = ("", False, UNMARKED, False, False)
     links = silent = 0
 
     def flush():
@@ -98,8 +113,10 @@ def page_blocks(page: str) -> list[Block]:
             if text:
                 linked = len(html.unescape(" ".join(link_parts)).split())
                 n = len(text.split())
-                _, article, furniture, heading = stack[-1] if stack else ("", False, False, False)
-                blocks.append(Block(text, n, min(linked, n), article, furniture, heading))
+                _, article, furniture, heading, inside = stack[-1] if stack else top_level
+                blocks.append(Block(text, n, min(linked, n), article, furniture > UNMARKED, heading))
+                if inside and furniture == UNMARKED:
+                    wrapped.append(blocks[-1])
         parts, link_parts = [], []
 
     at, size = 0, len(page)
@@ -131,10 +148,10 @@ def page_blocks(page: str) -> list[Block]:
             parts.append(" ")
             continue
         if tag not in BLOCK_TAGS and tag not in SILENT_TAGS:
-            if not closing and tag not in VOID_TAGS and _is_furniture(tag, rest, False):
+            if not closing and tag not in VOID_TAGS and (own := _furniture(tag, rest, False)):
                 flush()
-                top = stack[-1] if stack else ("", False, False, False)
-                stack.append((tag, top[1], True, top[3]))
+                top = stack[-1] if stack else top_level
+                stack.append((tag, top[1], max(own, top[2]), top[3], top[4]))
             elif closing and stack and stack[-1][0] == tag:
                 flush()
                 stack.pop()
@@ -163,11 +180,17 @@ def page_blocks(page: str) -> list[Block]:
             continue
         if tag in VOID_TAGS or rest.endswith("/"):
             continue
-        _, article, furniture, _ = stack[-1] if stack else ("", False, False, False)
-        stack.append((tag, article or tag in ARTICLE_TAGS, furniture or _is_furniture(tag, rest, article),
-                      tag in HEADINGS))
+        _, article, furniture, _, inside = stack[-1] if stack else top_level
+        if tag in ARTICLE_TAGS and not article and furniture == BY_NAME and not _furniture("div", rest, True):
+            furniture, inside = UNMARKED, True
+        stack.append((tag, article or tag in ARTICLE_TAGS, max(furniture, _furniture(tag, rest, article)),
+                      tag in HEADINGS, inside))
         silent += tag in SILENT_TAGS
     flush()
+    own = {id(b) for b in wrapped}
+    if any(b.article and not b.furniture and id(b) not in own for b in blocks):
+        for b in wrapped:  # the page has its article elsewhere: these are cards in its furniture
+            b.furniture = True
     return blocks
 
 

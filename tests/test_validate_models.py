@@ -121,3 +121,31 @@ def test_neural_regressor_learns(spark):
     assert last < first * 0.5
     out = m.transform(g)
     assert out.count() == 300 and out.where(F.col("neural_network_prediction").isNull()).count() == 0
+
+
+def test_lagged_regression_uses_every_numeric_column(spark):
+    import statistics
+
+    from tidemark.plans.queries_models import _all_lagged
+
+    for n, lags, window in ((40, 7, 3), (13, 3, 3), (7, 1, 2)):
+        a, b = [float(i * i % 11) for i in range(n)], [i * 3 % 7 for i in range(n)]
+        a[n // 2] = None
+        rows = [(100 + i, f"2024-01-01 00:{i:02d}:00", a[i], b[i], "x", 1.0, 2.0) for i in range(n)]
+        df = spark.createDataFrame(rows, "row_id long, timestamp string, a double, b int, s string, "
+                                         "weighted_stress_score double, target_stress_next double")
+        got = {r.row_id: r.asDict() for r in _all_lagged(df, 7).collect()}
+        expected = {}
+        for i in range(lags, n):
+            row = {"row_id": 100 + i}
+            for c, v in (("a", a), ("b", b)):
+                frame = [x for x in v[max(0, i - window):i] if x is not None]
+                row |= {f"{c}_current": v[i]} | {f"{c}_lag_{k}": v[i - k] for k in range(1, lags + 1)}
+                row |= {f"{c}_roll_mean": round(statistics.mean(frame), 6) if frame else None,
+                        f"{c}_roll_std": round(statistics.stdev(frame), 6) if len(frame) > 1 else 0.0}
+            if None not in row.values():
+                expected[100 + i] = row
+        assert got.keys() == expected.keys() and expected
+        for i, row in expected.items():
+            assert got[i].keys() == row.keys()
+            assert all(abs(got[i][c] - v) < 2e-6 for c, v in row.items())

@@ -117,11 +117,32 @@ def _lagged(gold: DataFrame) -> DataFrame:
     return out.select("row_id", *[r6(F.col(n)).alias(n) for n in names])
 
 
+def _all_lagged(gold: DataFrame, lag_window: int = LAGS) -> DataFrame:
+    """W9 over all numeric features: current value, lags 1..L and the mean/std (0 for a single row) of up to
+    ``window`` previous rows (D7), L and window by the row count; incomplete rows dropped."""
+    columns, n = numeric_features(gold), gold.count()
+    lags, window = max(1, min(lag_window, n // 4)), max(2, min(3, n // 3))
+    idx = global_index(gold.select("row_id", "timestamp", *columns), ["timestamp", "row_id"], "_idx")
+
+    def build(w):
+        wr = w.rowsBetween(-window, -1)
+        cols = []
+        for c in columns:
+            cols += [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for k in range(1, lags + 1)]
+            cols += [F.avg(c).over(wr).alias(f"{c}_roll_mean"),
+                     F.when(F.count(c).over(wr) == 1, 0.0).otherwise(F.stddev_samp(c).over(wr)).alias(f"{c}_roll_std")]
+        return cols
+
+    out = blocked_window(idx, "_idx", build, preceding=max(lags, window)).na.drop()
+    names = [f"{c}_{s}" for c in columns for s in (*[f"lag_{k}" for k in range(1, lags + 1)], "roll_mean", "roll_std")]
+    return out.select("row_id", *[r6(F.col(c)).alias(f"{c}_current") for c in columns], *[r6(F.col(c)).alias(c) for c in names])
+
+
 @register("lagged_regression")
 def lagged_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML5: OLS of the stress score on the W9 lag features (coefficients, rows-only check)."""
+    """ML5: OLS of the stress score on the W9 features of all numeric columns (coefficients, rows-only check)."""
     g = _gold(spark, sf_dir)
-    lf = _lagged(g)
+    lf = _all_lagged(g)
     x = g.select("row_id", TARGET).join(lf, "row_id")
     feats = [c for c in lf.columns if c != "row_id"]
     fit = RG.fit_linear(x, feats, TARGET, use_split=False)

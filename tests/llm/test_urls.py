@@ -65,6 +65,17 @@ def test_propagation_equals_the_linear_system(spark):
     assert {r.host for r in got.collect()} == {h for h, s in expected.items() if s > 0}
 
 
+def test_propagation_goes_on_until_the_tolerance(spark):
+    edges = [("a", "b", 1), ("b", "a", 1), *((f"c{i}", f"c{i + 1}", 1) for i in range(40))]
+    seeds = {"a": 1.0, "c0": 1.0}
+    frames = (spark.createDataFrame(edges, "src string, dst string, n long"),
+              spark.createDataFrame(list(seeds.items()), "host string, weight double"))
+    got = {r.host: r.score for r in urls.propagate(*frames).collect()}
+    assert got == pytest.approx(rank(edges, seeds), rel=1e-3)
+    with pytest.raises(RuntimeError):
+        urls.propagate(*frames, steps=2)
+
+
 def test_distrust_reaches_the_linking_host_and_trust_the_linked(spark):
     link = '<a class=x href="{}">t</a> <A HREF=\'//{}/p\'>u</A> <a href="/local">v</a>'
     rows = [(1, "http://spam.com/de/1", ""), (2, "http://farm.net/1", link.format("http://spam.com/de/9", "SPAM.com")), (3, "http://farm.net/2", None),

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import cut
 
 DAMPING = 0.85
-MAX_STEPS = 30
 TOLERANCE = 1e-4
+MAX_STEPS = 1000  # a guard: the change shrinks by DAMPING a step, so about 60 steps meet the tolerance
 MIN_DISTRUST = 0.25
 BLOCK_RATIO = 2.0
 
@@ -83,7 +83,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = MAX_STEPS) -> DataFrame:
     """Personalised PageRank, in units of a seed's own weight: (host, score) of all hosts reached.
 
-    ``edges`` (src, dst, n) carry scores from src to dst in proportion to n; ``seeds`` (host, weight)."""
+    ``edges`` (src, dst, n) carry scores from src to dst in proportion to n; ``seeds`` (host, weight).
+    Steps go on until ``TOLERANCE`` is met; more than ``steps`` raise."""
     total = edges.groupBy("src").agg(F.sum("n").alias("total"))
     shares = cut(edges.join(total, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")))
     scores = cut(seeds.select("host", F.col("weight").alias("score")))
@@ -98,8 +99,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, step
             F.sum(F.abs(F.coalesce("new", F.lit(0.0)) - F.coalesce("score", F.lit(0.0))))).first()[0] or 0.0
         scores = new
         if change <= TOLERANCE * max(mass, 1e-12):
-            break
-    return scores
+            return scores
+    raise RuntimeError(f"host scores still change by {change} of {mass} after {steps} steps")
 
 
 def judge(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:

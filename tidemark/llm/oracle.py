@@ -100,3 +100,61 @@ FROM j"""
 
 
 QUALITY = _quality()
+
+
+def _coded(value: str, text: str | None = None) -> str:
+    text = text or f"CAST({value} AS VARCHAR)"
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+#: crc32 of the decimal doc_id: table and update by the rule of the reversed polynomial 0xEDB88320.
+CRC_TABLE = """SELECT list(list_reduce(list_prepend(i, range(8)),
+            lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)"""
+CRC_OF_ID = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+            lambda ch: ascii(ch)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_HEAD = " || ".join(_coded(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+MERKLE = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+leaves AS (
+    SELECT doc_id, source, {_coded("source")} AS grp, sha256({_HEAD} || {_coded("text", "text")}) AS digest,
+           CASE WHEN {CRC_OF_ID} % 5 = 0 THEN sha256({_HEAD} || {_coded("text", _LOWERED)}) END AS changed
+    FROM documents, crc),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+           count(*) OVER (PARTITION BY grp) AS n FROM leaves),
+nodes AS (
+    SELECT grp, 0 AS lvl, pos, n, digest FROM placed
+    UNION ALL
+    SELECT grp, lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM nodes WHERE n > 1 GROUP BY grp, lvl, n, pos // 16),
+sources AS (SELECT grp, any_value(source) AS source FROM placed GROUP BY grp),
+tops AS (
+    SELECT grp, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+    FROM nodes JOIN sources USING (grp) WHERE n = 1),
+upper AS (
+    SELECT 0 AS lvl, pos, n, digest FROM tops
+    UNION ALL
+    SELECT lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM upper WHERE n > 1 GROUP BY lvl, n, pos // 16),
+walk AS (
+    SELECT grp, pos AS leaf_pos, 0 AS lvl, pos, n, coalesce(changed, digest) AS folded, '' AS proof FROM placed
+    UNION ALL
+    SELECT w.grp, w.leaf_pos, w.lvl + 1, w.pos // 16, (w.n + 15) // 16,
+           sha256(string_agg(CASE WHEN c.pos = w.pos THEN w.folded ELSE c.digest END, '' ORDER BY c.pos)),
+           w.proof || coalesce(string_agg(c.digest, '' ORDER BY c.pos) FILTER (WHERE c.pos <> w.pos), '')
+    FROM walk w JOIN nodes c ON c.grp = w.grp AND c.lvl = w.lvl AND c.pos // 16 = w.pos // 16
+    WHERE w.n > 1 GROUP BY w.grp, w.leaf_pos, w.lvl, w.pos, w.n, w.folded, w.proof),
+rise AS (
+    SELECT w.grp, leaf_pos, t.digest AS subroot, 0 AS lvl, t.pos, t.n, folded, proof
+    FROM walk w JOIN tops t USING (grp) WHERE w.n = 1
+    UNION ALL
+    SELECT w.grp, w.leaf_pos, w.subroot, w.lvl + 1, w.pos // 16, (w.n + 15) // 16,
+           sha256(string_agg(CASE WHEN c.pos = w.pos THEN w.folded ELSE c.digest END, '' ORDER BY c.pos)),
+           w.proof || coalesce(string_agg(c.digest, '' ORDER BY c.pos) FILTER (WHERE c.pos <> w.pos), '')
+    FROM rise w JOIN upper c ON c.lvl = w.lvl AND c.pos // 16 = w.pos // 16
+    WHERE w.n > 1 GROUP BY w.grp, w.leaf_pos, w.subroot, w.lvl, w.pos, w.n, w.folded, w.proof)
+SELECT p.doc_id, p.digest AS leaf, r.subroot, u.digest AS root, sha256(r.proof) AS proof_sha256,
+       r.folded AS folded_root, r.folded = u.digest AS verified
+FROM placed p JOIN rise r ON r.grp = p.grp AND r.leaf_pos = p.pos AND r.n = 1 JOIN upper u ON u.n = 1"""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import (chat, decontaminate, html_text, jaccard, language, oracle, packing, quality, token_files,
+from tidemark.llm import (chat, decontaminate, html_text, jaccard, language, merkle, oracle, packing, quality, token_files,
                           toxicity, urls)
-from tidemark.llm.tables import table
+from tidemark.llm.tables import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -69,12 +70,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_lengths(table(spark, sf_dir, "documents"), path))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root, proof and refolded root of every document; every fifth text is tampered with."""
+    return merkle.manifest(table(spark, sf_dir, "documents"), held_out(F.col("doc_id")))
+
+
 QUERIES: dict[str, Builder] = {fn.__name__: fn for fn in (
     op1_decontamination, op2_toxicity, op3_chat_tool_calls, op4_url_filters, op5_quality_rules, op6_token_files,
-    op7_html_extraction, op8_ngram_jaccard_join, op9_language_id, op10_packing)}
+    op7_html_extraction, op8_ngram_jaccard_join, op9_language_id, op10_packing, op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": oracle.DECONTAMINATION,
     "op5_quality_rules": oracle.QUALITY,
     "op8_ngram_jaccard_join": oracle.JACCARD,
+    "op13_merkle_manifest": oracle.MERKLE,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (chat, decontaminate, html_text, jaccard, language, merkle, oracle, packing, quality, token_files,
-                          toxicity, urls)
+from tidemark.llm import (chat, decontaminate, html_text, jaccard, language, merkle, oracle, packing, quality, runs,
+                          token_files, toxicity, urls)
 from tidemark.llm.tables import held_out, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_lengths(table(spark, sf_dir, "documents"), path))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every whole document, after the tails of every tenth were made periodic."""
+    return runs.report(runs.periodic_runs(table(spark, sf_dir, "documents"), runs.planted_tail, texts=False))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root, proof and refolded root of every document; every fifth text is tampered with."""
     return merkle.manifest(table(spark, sf_dir, "documents"), held_out(F.col("doc_id")))
@@ -77,7 +82,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Builder] = {fn.__name__: fn for fn in (
     op1_decontamination, op2_toxicity, op3_chat_tool_calls, op4_url_filters, op5_quality_rules, op6_token_files,
-    op7_html_extraction, op8_ngram_jaccard_join, op9_language_id, op10_packing, op13_merkle_manifest)}
+    op7_html_extraction, op8_ngram_jaccard_join, op9_language_id, op10_packing, op12_periodic_runs,
+    op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": oracle.DECONTAMINATION,

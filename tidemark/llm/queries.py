@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (chat, decontaminate, html_text, jaccard, language, merkle, oracle, packing, quality, runs,
+from tidemark.llm import (chat, decontaminate, fingerprint, html_text, jaccard, language, merkle, oracle, packing, quality, runs,
                           token_files, toxicity, urls)
 from tidemark.llm.tables import held_out, table
 
@@ -70,6 +70,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_lengths(table(spark, sf_dir, "documents"), path))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every whole text and of its edited text, and the likeness to both neighbours."""
+    return fingerprint.report(fingerprint.fingerprint_neighbours(table(spark, sf_dir, "documents")))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every whole document, after the tails of every tenth were made periodic."""
     return runs.report(runs.periodic_runs(table(spark, sf_dir, "documents"), runs.planted_tail, texts=False))
@@ -82,8 +87,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Builder] = {fn.__name__: fn for fn in (
     op1_decontamination, op2_toxicity, op3_chat_tool_calls, op4_url_filters, op5_quality_rules, op6_token_files,
-    op7_html_extraction, op8_ngram_jaccard_join, op9_language_id, op10_packing, op12_periodic_runs,
-    op13_merkle_manifest)}
+    op7_html_extraction, op8_ngram_jaccard_join, op9_language_id, op10_packing,
+    op11_document_fingerprints, op12_periodic_runs, op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": oracle.DECONTAMINATION,

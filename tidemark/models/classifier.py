@@ -1,20 +1,22 @@
 """Risk-regime classifier (ML7, ML7b, ML0b, AGG25).
 
-Labels come from the 33 % / 67 % quantiles of the stress score (low below, high above, medium
-between).  The model is an MLlib tree ensemble; ``prob_<class>`` is the probability of that class
-(D6: classes are indexed low=0, medium=1, high=2, never alphabetically).
+Labels come from the 33 % / 67 % quantiles of the stress score (low below, high above, medium between).  The
+model is the softmax boosting of ``boosting.py`` (or an MLlib forest), fitted on a stratified split;
+``prob_<class>`` is the probability of that class (D6: classes are indexed low=0, medium=1, high=2, never
+alphabetically).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.models.features import assemble, fill_zero, hash_split
+from tidemark.models.boosting import BoostedModel, fit_boosted
+from tidemark.models.features import assemble, fill_zero, stratified_split
 from tidemark.operators.quantiles import exact_quantiles
 
 CLASSES = ("low", "medium", "high")
@@ -30,45 +32,51 @@ def regime_labels(df: DataFrame, score: str = "weighted_stress_score", q_low: fl
         "regime_label", F.element_at(F.array(*[F.lit(c) for c in CLASSES]), idx.cast("int") + 1))
 
 
-def fit_classifier(df: DataFrame, features: Sequence[str], kind: str = "forest", trees: int = 100,
+#: Fewer rows than this are all used for training.
+MIN_SPLIT_ROWS = 10
+
+
+def regime_split(df: DataFrame, score: str = "weighted_stress_score") -> DataFrame:
+    """Labelled rows with ``is_train`` (ML0b); under MIN_SPLIT_ROWS rows all are training rows."""
+    x = regime_labels(df, score)
+    if x.limit(MIN_SPLIT_ROWS).count() < MIN_SPLIT_ROWS:
+        return x.withColumn("is_train", F.lit(True))
+    return stratified_split(x, "label")
+
+
+def fit_classifier(df: DataFrame, features: Sequence[str], kind: str = "boosted", trees: int = 100,
                    depth: int = 6, seed: int = 42, use_split: bool = True):
-    """Fits on the training split; returns (model or None for a single-class input, feature list)."""
-    x = assemble(fill_zero(regime_labels(df), features), features, "_x")
-    if use_split:
-        x = hash_split(x).where(F.col("is_train"))
+    """Fits on the training split; returns (model or None for a single-class input, features, that class).
+
+    ``df`` may bring ``label`` and ``is_train`` (from ``regime_split``)."""
+    x = df if "label" in df.columns else regime_split(df) if use_split else regime_labels(df)
+    if use_split and "is_train" in x.columns:
+        x = x.where("is_train")
     classes = [r[0] for r in x.select("label").distinct().collect()]  # at most 3 values
     if len(classes) < 2:
         return None, list(features), (classes[0] if classes else 1.0)
-    if kind == "gbt":
-        gbt = GBTClassifier(featuresCol="_x", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.1,
-                            seed=seed)
-        model = OneVsRest(classifier=gbt, featuresCol="_x", labelCol="label").fit(x)
-    else:
-        model = RandomForestClassifier(featuresCol="_x", labelCol="label", numTrees=trees, maxDepth=depth,
-                                       seed=seed).fit(x)
-    return model, list(features), None
+    if kind == "boosted":
+        return fit_boosted(x, features, "label", len(CLASSES), trees, depth), list(features), None
+    x = assemble(fill_zero(x, features), features, "_x")
+    return RandomForestClassifier(featuresCol="_x", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed).fit(x), list(features), None
 
 
 def predict_regimes(df: DataFrame, fitted, prefix: str = "") -> DataFrame:
-    """Adds ``risk_regime`` and ``prob_low/medium/high`` (sum 1).  GBT margins go through a softmax."""
+    """Adds ``risk_regime`` (the likeliest class, the lower of equals) and ``prob_low/medium/high`` (sum 1).  Rows are
+    scored by ``row_id``, which must be unique."""
     model, features, constant = fitted
+    names = [f"prob_{c}" for c in CLASSES]
     if model is None:
         c = int(constant)
         return df.withColumn(f"{prefix}risk_regime", F.lit(CLASSES[c])).select(
-            "*", *[F.lit(1.0 if i == c else 0.0).alias(f"prob_{k}") for i, k in enumerate(CLASSES)])
-    x = assemble(fill_zero(df, features), features, "_x")
-    p = model.transform(x)
-    if "probability" in p.columns:
-        probs = vector_to_array("probability")
+            "*", *[F.lit(1.0 if i == c else 0.0).alias(name) for i, name in enumerate(names)])
+    if isinstance(model, BoostedModel):
+        p = df.join(model.probabilities(df, names), "row_id")
     else:
-        raw = vector_to_array("rawPrediction")
-        e = F.transform(raw, lambda m: F.exp(m - F.array_max(raw)))
-        probs = F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
-    p = p.withColumn("_p", probs)
-    cols = [F.coalesce(F.get(F.col("_p"), i), F.lit(0.0)).alias(f"prob_{k}") for i, k in enumerate(CLASSES)]
-    p = p.select("*", *cols)
-    best = F.array_position(F.array(*[F.col(f"prob_{k}") for k in CLASSES]),
-                            F.greatest(*[F.col(f"prob_{k}") for k in CLASSES]))
+        p = model.transform(assemble(fill_zero(df, features), features, "_x"))
+        p = p.withColumn("_p", vector_to_array("probability"))
+        p = p.select("*", *[F.coalesce(F.get(F.col("_p"), i), F.lit(0.0)).alias(name) for i, name in enumerate(names)])
+    best = F.array_position(F.array(*names), F.greatest(*names))
     p = p.withColumn(f"{prefix}risk_regime", F.element_at(F.array(*[F.lit(c) for c in CLASSES]), best.cast("int")))
     return p.drop("_x", "_p", "rawPrediction", "probability", "prediction")
 

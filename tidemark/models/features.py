@@ -32,6 +32,27 @@ def hash_split(df: DataFrame, train_pct: int = 80, seed: int = 42, key: str = "r
     return df.withColumn("is_train", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < train_pct)
 
 
+def stratified_split(df: DataFrame, label: str, test_share: float = 0.2, key: str = "row_id") -> DataFrame:
+    """ML0b: ``is_train`` with the exact share of every class held out, whatever the partitioning.
+
+    Rows are ranked within their class by the md5 of their (unique) key through the row index, so no class is
+    sorted in one task; the first ``test_share`` (rounded) are held out.  If a class has a single row, all rows are
+    ranked together."""
+    from tidemark.operators.ordering import global_index
+
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+    single = min(counts.values(), default=0) < 2
+    ranked = df.select(key, F.lit(0).alias("_class") if single else F.col(label).cast("int").alias("_class"),
+                       F.md5(F.col(key).cast("string").cast("binary")).alias("_hash"))
+    index = global_index(ranked, ["_class", "_hash", key], "_idx")
+    sizes = [(0, sum(counts.values()))] if single else [(int(c), n) for c, n in sorted(counts.items())]
+    before, held = 0, F.lit(False)
+    for c, n in sizes:
+        held = held | ((F.col("_class") == c) & (F.col("_idx") <= before + int(n * test_share + 0.5)))
+        before += n
+    return df.join(index.select(key, (~held).alias("is_train")), key)
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 

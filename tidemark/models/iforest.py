@@ -73,7 +73,7 @@ def _grow(pdf: pd.DataFrame, feats: list[str], seed: int, max_depth: int) -> pd.
 
 class IsolationForestModel:
     def __init__(self, features: list[str], stats: dict, nodes: pd.DataFrame, psi: int, threshold: float | None):
-        self.features, self.stats, self.psi, self.threshold = features, stats, psi, threshold
+        self.features, self.stats, self.psi, self.threshold, self.nodes = features, stats, psi, threshold, nodes
         trees = []
         for _, g in nodes.groupby("tree"):
             g = g.sort_values("node")
@@ -133,6 +133,14 @@ class IsolationForestModel:
         return s.withColumn("top_anomaly_features", top).drop("_iso_score", *[c + "_z" for c in self.features])
 
 
+def feature_importance(model: IsolationForestModel, df: DataFrame) -> DataFrame:
+    """ML9: standard deviation of each feature times the mean absolute anomaly score, over all rows; the largest first."""
+    scored = model.transform(df, 1)
+    sums = scored.agg(F.avg(F.abs("anomaly_score")).alias("level"), *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(model.features)])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), (F.col(f"s{i}") * F.col("level")).alias("importance")) for i, c in enumerate(model.features)])
+    return sums.select(F.explode(rows).alias("r")).select("r.*").orderBy(F.col("importance").desc(), "feature")
+
+
 def hash_bound(psi: int, n: int) -> int:
     """Upper bound of the signed 64-bit hash under which a row proposes itself to a tree: 1.5 * psi + 64
     rows expected of n, and a few standard deviations above psi at any n."""

@@ -1,17 +1,15 @@
-"""Neural stress regressor (ML6): a dense ReLU network trained data-parallel.
-
-MLlib has no MLP regressor.  Training is synchronous data-parallel gradient descent:
-
-* the training rows stay on the executors (persisted); every step, ``mapInPandas`` computes the
-  loss and gradient sums of its Arrow batches with numpy (inverted dropout seeded by step and
-  partition) and emits one row per partition;
-* the driver adds those few parameter-sized vectors (bounded by partitions x parameters, never by
-  rows), applies Adam, and the next step's closure carries the new weights;
-* early stopping watches the validation loss (patience ``patience``), and the learning rate is
-  halved after ``plateau`` steps without improvement.
-
-Each step uses the full training split (a large-batch variant of the reference's 32-row batches).
-Scoring is a pandas UDF over the numeric columns.
+"""Neural stress regressor (ML6): a dense ReLU network trained by mini-batches inside partitions.
+
+MLlib has no MLP regressor.  The scaled training rows are written once, dealt by a hash of their key into tasks
+of ``rows_per_task`` rows.  An epoch is one job: every task starts from the same weights and Adam moments, goes
+through its rows in a seeded order in batches of ``batch`` rows, and returns its weights, moments and
+losses; they are averaged by rows in groups of tasks, then on the driver (parameter-sized vectors, never rows).
+With one task this is plain mini-batch training; with many, parameter averaging once an epoch.
+
+The validation loss of the weights that an epoch starts from comes with its job.  Training ends when it has
+not improved for ``patience`` epochs (the best weights stay); the rate is halved after ``plateau`` epochs without
+improvement, down to 1e-6.  Under ``MIN_SPLIT_ROWS`` rows all are trained on, for half the epochs, without
+validation.  Scoring is a pandas UDF over the numeric columns.
 """
 
 from __future__ import annotations
@@ -21,12 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.models.features import fill_zero, hash_split, population_scaler
+from tidemark.session import discard, stored
+
+MIN_SPLIT_ROWS = 10
+ROWS_PER_TASK = 100_000
+LEAST_RATE = 1e-6
 
 
 def _init(sizes: Sequence[int], seed: int) -> list[np.ndarray]:
@@ -89,12 +92,6 @@ def _gradients(params, x, y, dropout, rng):
     return float((err ** 2).sum()), grads
 
 
-def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
-    """Sum of the partial losses, counts and gradients of one group of partitions."""
-    return pd.DataFrame({"train": [rows["train"].iloc[0]], "loss": [rows["loss"].sum()], "n": [rows["n"].sum()],
-                         "grad": [np.sum(np.stack(rows["grad"].to_list()), axis=0).tolist()]})
-
-
 @dataclass
 class NeuralModel:
     features: list[str]
@@ -115,74 +112,105 @@ class NeuralModel:
         return x.withColumn(out, score(*feats))  # only the numeric columns go to Python
 
 
+class _Adam:
+    """Weights with their moments; ``step`` counts updates."""
+
+    def __init__(self, state: np.ndarray, like: list[np.ndarray], step: int):
+        self.params, self.m, self.v = (_unflat(part, like) for part in np.array_split(state, 3))
+        self.step = step
+
+    def update(self, grads: list[np.ndarray], rate: float) -> None:
+        self.step += 1
+        for i, g in enumerate(grads):
+            self.m[i] = 0.9 * self.m[i] + 0.1 * g
+            self.v[i] = 0.999 * self.v[i] + 0.001 * g * g
+            mh, vh = self.m[i] / (1 - 0.9 ** self.step), self.v[i] / (1 - 0.999 ** self.step)
+            self.params[i] = self.params[i] - rate * mh / (np.sqrt(vh) + 1e-8)
+
+    def state(self) -> np.ndarray:
+        return np.concatenate([_flat(self.params), _flat(self.m), _flat(self.v)])
+
+
+def _epoch(batches, state: np.ndarray, like: list[np.ndarray], step: int, epoch: int, rate: float, dropout: float, batch: int, seed: int):
+    """One task's epoch: (rows, training loss, rows and loss of validation before the epoch, updates, new state)."""
+    from pyspark import TaskContext
+
+    data = [b for b in batches if b.num_rows]
+    if not data:
+        return
+    x = np.concatenate([np.frombuffer(b"".join(b.column("x").to_pylist()), dtype="<f8").reshape(b.num_rows, -1) for b in data])
+    y = np.concatenate([np.asarray(b.column("y")) for b in data])
+    fit = np.concatenate([b.column("fit").to_numpy(zero_copy_only=False) for b in data])
+    adam = _Adam(state, like, step)
+    held = _forward(adam.params, x[~fit])[0][-1][:, 0] - y[~fit] if (~fit).any() else np.zeros(0)
+    rng = np.random.default_rng([seed, epoch, TaskContext.get().partitionId()])
+    order, loss = rng.permutation(np.flatnonzero(fit)), 0.0
+    for lo in range(0, len(order), batch):
+        rows = order[lo:lo + batch]
+        own, grads = _gradients(adam.params, x[rows], y[rows], dropout, rng)
+        loss += own
+        adam.update([g / len(rows) for g in grads], rate)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([len(order)]), pa.array([loss]), pa.array([len(held)]), pa.array([float((held ** 2).sum())]),
+         pa.array([adam.step - step]), pa.array([adam.state() * len(order)], pa.list_(pa.float64()))],
+        names=["n", "loss", "held", "held_loss", "steps", "state"])
+
+
+_EPOCH = "n long, loss double, held long, held_loss double, steps long, state array<double>"
+
+
+def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
+    """The results of a group of tasks as one; states are weighted by rows already."""
+    return pd.DataFrame({"n": [rows["n"].sum()], "loss": [rows["loss"].sum()], "held": [rows["held"].sum()],
+                         "held_loss": [rows["held_loss"].sum()], "steps": [rows["steps"].max()],
+                         "state": [np.sum(np.stack(rows["state"].to_list()), axis=0).tolist()]})
+
+
 def fit_neural(df: DataFrame, features: Sequence[str], target: str = "weighted_stress_score",
-               hidden: Sequence[int] = (64, 32, 16), dropout: float = 0.2, lr: float = 1e-3,
-               epochs: int = 100, patience: int = 10, plateau: int = 5, seed: int = 42) -> NeuralModel:
+               hidden: Sequence[int] = (64, 32, 16), dropout: float = 0.2, lr: float = 1e-3, epochs: int = 100,
+               patience: int = 10, plateau: int = 5, batch: int = 32, seed: int = 42, rows_per_task: int = ROWS_PER_TASK,
+               key: str = "row_id") -> NeuralModel:
+    """Fits on the training split (80 % of the rows by ``hash_split``), a fifth of which validates."""
     feats = list(features)
-    base = fill_zero(df, feats + [target]).select("row_id", *feats, target)
-    scaled, stats = population_scaler(base, feats, "_z")
-    zcols = [c + "_z" for c in feats]
-    data = hash_split(scaled.select("row_id", *zcols, F.col(target).alias("_y"))).persist(StorageLevel.MEMORY_AND_DISK)
-    params = _init([len(feats), *hidden, 1], seed)
-    m = [np.zeros_like(p) for p in params]
-    v = [np.zeros_like(p) for p in params]
-    b1, b2, eps = 0.9, 0.999, 1e-8
-    best, best_params, since_best, since_improve, history = np.inf, params, 0, 0, []
-    schema = "train boolean, loss double, n long, grad array<double>"
-    for step in range(1, epochs + 1):
-        cur = params
-
-        def part(it, cur=cur, step=step):
-            import pyspark
-
-            pid = pyspark.TaskContext.get().partitionId()
-            rng = np.random.default_rng([seed, step, pid])
-            acc = {True: [0.0, 0, None], False: [0.0, 0, None]}
-            for pdf in it:
-                for flag in (True, False):
-                    sub = pdf[pdf["is_train"] == flag]
-                    if len(sub) == 0:
-                        continue
-                    x = sub[zcols].to_numpy(float)
-                    y = sub["_y"].to_numpy(float)
-                    loss, grads = _gradients(cur, x, y, dropout if flag else 0.0, rng if flag else None)
-                    g = _flat(grads)
-                    a = acc[flag]
-                    a[0] += loss
-                    a[1] += len(sub)
-                    a[2] = g if a[2] is None else a[2] + g
-            rows = [(flag, a[0], a[1], (a[2] if flag and a[2] is not None else np.zeros(0)).tolist())
-                    for flag, a in acc.items() if a[1] > 0]
-            yield pd.DataFrame(rows, columns=["train", "loss", "n", "grad"])
-
-        # one row per partition and split, added up in about sqrt(partitions) groups before the driver
-        groups = max(1, int(data.rdd.getNumPartitions() ** 0.5))
-        parts = data.mapInPandas(part, schema).groupBy("train", F.pmod(F.xxhash64("loss", "n"), F.lit(groups)).alias("g")) \
-            .applyInPandas(_add_up, schema).collect()
-        n_tr = sum(r["n"] for r in parts if r["train"])
-        if n_tr == 0:
+    base = hash_split(fill_zero(df.select(key, *feats, target), feats + [target]), key=key)
+    small = base.limit(MIN_SPLIT_ROWS).count() < MIN_SPLIT_ROWS
+    train = base if small else base.where("is_train")
+    scaled, stats = population_scaler(train, feats, "_z")
+    fit = F.lit(True) if small else F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(100)) < 80
+    zcols = [f"{c}_z" for c in feats]
+
+    def packed(batches):
+        for b in batches:
+            x = np.ascontiguousarray(np.stack([np.asarray(c, dtype="<f8") for c in b.columns[2:]], axis=1))
+            yield pa.RecordBatch.from_arrays([b.column("fit"), b.column("y"), pa.array([r.tobytes() for r in x], pa.binary())], names=["fit", "y", "x"])
+
+    rows = scaled.select(fit.alias("fit"), F.col(target).alias("y"), *zcols, key)
+    tasks = max(1, -(-scaled.count() // rows_per_task))
+    data = stored(rows.repartition(tasks, key).drop(key).mapInArrow(packed, "fit boolean, y double, x binary"))
+    like = _init([len(feats), *hidden, 1], seed)
+    state = np.concatenate([_flat(like), np.zeros(2 * sum(p.size for p in like))])
+    best, best_state, since_best, since_improve, step, history = np.inf, state, 0, 0, 0, []
+    for epoch in range(1, (epochs // 2 if small else epochs) + 2):
+        parts = data.mapInArrow(lambda b, s=state, k=step, e=epoch, r=lr: _epoch(b, s, like, k, e, r, dropout, batch, seed), _EPOCH)
+        if tasks > 16:  # about sqrt(tasks) groups before the driver
+            parts = parts.groupBy(F.pmod(F.xxhash64("loss", "held_loss"), F.lit(int(tasks ** 0.5))).alias("g")) \
+                .applyInPandas(_add_up, _EPOCH)
+        parts = parts.collect()
+        n, held = sum(r["n"] for r in parts), sum(r["held"] for r in parts)
+        if not n:
             break
-        g = sum(np.array(r["grad"]) for r in parts if r["train"] and r["grad"]) / n_tr
-        tr_loss = sum(r["loss"] for r in parts if r["train"]) / n_tr
-        n_va = sum(r["n"] for r in parts if not r["train"])
-        va_loss = (sum(r["loss"] for r in parts if not r["train"]) / n_va) if n_va else tr_loss
-        history.append((step, tr_loss, va_loss))
-        if va_loss < best - 1e-12:
-            best, best_params, since_best, since_improve = va_loss, params, 0, 0
+        loss = sum(r["loss"] for r in parts) / n
+        watched = sum(r["held_loss"] for r in parts) / held if held else loss
+        history.append((epoch, loss, watched))  # the loss of the weights that this epoch began with
+        if watched < best - 1e-12:
+            best, best_state, since_best, since_improve = watched, state, 0, 0
         else:
-            since_best += 1
-            since_improve += 1
+            since_best, since_improve = since_best + 1, since_improve + 1
             if since_improve >= plateau:
-                lr, since_improve = lr * 0.5, 0
-            if since_best >= patience:
+                lr, since_improve = max(lr * 0.5, LEAST_RATE), 0
+            if since_best >= patience and not small:
                 break
-        grads = _unflat(g, params)
-        new = []
-        for i, (p, gi) in enumerate(zip(params, grads)):
-            m[i] = b1 * m[i] + (1 - b1) * gi
-            v[i] = b2 * v[i] + (1 - b2) * gi * gi
-            mh, vh = m[i] / (1 - b1 ** step), v[i] / (1 - b2 ** step)
-            new.append(p - lr * mh / (np.sqrt(vh) + eps))
-        params = new
-    data.unpersist()
-    return NeuralModel(feats, stats, best_params, history)
+        state = np.sum([np.array(r["state"]) for r in parts if r["n"]], axis=0) / n
+        step += max(r["steps"] for r in parts)
+    discard(data)
+    return NeuralModel(feats, stats, _Adam(state if small else best_state, like, step).params, history)

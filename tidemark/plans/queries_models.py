@@ -17,7 +17,7 @@ from tidemark.operators.validate import validate
 from tidemark.plans import oracle as O
 from tidemark.plans.pipeline import gold_features, silver_articles
 from tidemark.plans.registry import register
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, stored
 from tidemark.sources.views import articles
 
 TARGET = "weighted_stress_score"
@@ -149,22 +149,43 @@ def lagged_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit.coefficients(spark)
 
 
+def _labels_sql() -> str:
+    """Labels by the score quantiles, and the stratified split."""
+    return f"""{O.gold_ctes()},
+qs AS (SELECT quantile_cont(weighted_stress_score, 0.33) AS lo, quantile_cont(weighted_stress_score, 0.67) AS hi FROM gold),
+labelled AS (
+  SELECT row_id, weighted_stress_score, CAST(CASE WHEN weighted_stress_score < lo THEN 0 WHEN weighted_stress_score > hi THEN 2
+                           ELSE 1 END AS INTEGER) AS label FROM gold, qs),
+split AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(row_id AS VARCHAR)), row_id)
+            > floor(0.2 * count(*) OVER (PARTITION BY label) + 0.5) AS is_train FROM labelled)"""
+
+
+@register("regime_split", f"WITH {_labels_sql()} SELECT row_id, label, is_train FROM split")
+def regime_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML7b + ML0b: regime label of every row, and the stratified split."""
+    return CL.regime_split(_gold(spark, sf_dir)).select("row_id", F.col("label").cast("int").alias("label"), "is_train")
+
+
+def _risk_model(spark: SparkSession, sf_dir: str):
+    """Labelled rows with the split, and the boosted model of the training rows (100 rounds, depth 6, rate 0.1)."""
+    g = _gold(spark, sf_dir)
+    rows = stored(CL.regime_split(g))
+    return rows, CL.fit_classifier(rows, _features(g))
+
+
 @register("risk_classifier")
 def risk_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML7 + ML7b + AGG25: regime classifier (100 trees, depth 6) and its per-class report on the
-    held-out rows."""
-    g = _gold(spark, sf_dir)
-    fitted = CL.fit_classifier(g, _features(g), trees=100)
-    pred = CL.predict_regimes(hash_split(CL.regime_labels(g)).where(~F.col("is_train")), fitted)
-    return CL.classification_report(pred)
+    """ML7 + ML7b + ML0b + AGG25: boosted regime classifier and its per-class report on the held-out rows."""
+    rows, fitted = _risk_model(spark, sf_dir)
+    return CL.classification_report(CL.predict_regimes(rows.where("NOT is_train"), fitted))
 
 
 @register("risk_predictions")
 def risk_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML7 scoring: regime and class probabilities per row (probabilities sum to 1)."""
-    g = _gold(spark, sf_dir)
-    fitted = CL.fit_classifier(g, _features(g), trees=100)
-    p = CL.predict_regimes(g, fitted)
+    rows, fitted = _risk_model(spark, sf_dir)
+    p = CL.predict_regimes(rows, fitted)
     return p.select("row_id", "risk_regime", *[r6(F.col(f"prob_{c}")).alias(f"prob_{c}") for c in CL.CLASSES])
 
 

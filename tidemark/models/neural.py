@@ -99,15 +99,20 @@ class NeuralModel:
     params: list[np.ndarray]
     history: list[tuple[int, float, float]]
 
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """Predictions of a matrix of the features (not scaled)."""
+        mean = np.array([self.stats[f][0] for f in self.features])
+        scale = np.array([self.stats[f][1] for f in self.features])
+        z = np.where(scale > 0, (x - mean) / np.where(scale > 0, scale, 1.0), 0.0)
+        return _forward(self.params, z)[0][-1][:, 0]
+
     def transform(self, df: DataFrame, out: str = "neural_network_prediction") -> DataFrame:
-        feats, stats, params = self.features, self.stats, self.params
+        feats = self.features
         x = fill_zero(df, feats)
 
         @F.pandas_udf(T.DoubleType())
         def score(*columns: pd.Series) -> pd.Series:
-            arr = np.column_stack([(c.to_numpy(float) - stats[f][0]) / stats[f][1] if stats[f][1] > 0
-                                   else np.zeros(len(c)) for f, c in zip(feats, columns, strict=True)])
-            return pd.Series(_forward(params, arr)[0][-1][:, 0])
+            return pd.Series(self.predict(np.column_stack([c.to_numpy(float) for c in columns])))
 
         return x.withColumn(out, score(*feats))  # only the numeric columns go to Python
 

@@ -9,10 +9,10 @@ from tidemark.functions.numeric import r6
 from tidemark.models import classifier as CL
 from tidemark.models import iforest as IF
 from tidemark.models import knn as KNN
+from tidemark.models import lagged as LG
 from tidemark.models import regression as RG
 from tidemark.models.features import hash_split, numeric_features
 from tidemark.operators.composite import engineer_features
-from tidemark.operators.ordering import blocked_window, global_index
 from tidemark.operators.validate import validate
 from tidemark.plans import oracle as O
 from tidemark.plans.pipeline import gold_features, silver_articles
@@ -80,73 +80,71 @@ def polynomial_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.withColumn("is_interaction", F.col("feature").contains(" ")).limit(15)
 
 
-LAG_COLS = ("keyword_stress_score", "combined_sentiment")
+#: Numeric columns of the gold rows (PRJ11).
+NUMERIC = ("price", "change_percent", "sentiment_subjectivity", "combined_sentiment", "keyword_stress_score", "headline_length",
+           "word_count", "mentions_equities", "mentions_bonds", "mentions_commodities", "mentions_forex", "mentions_volatility",
+           "hour", "day_of_week", "is_weekend", "month", "daily_article_count", "rolling_7d_mean", "rolling_7d_volatility",
+           "lag_1d", "lag_3d", "lag_7d", "market_breadth", "sentiment_volatility_7d")
 LAGS, ROLL = 3, 3
 
 
-@register("lag_features", f"""
-WITH {O.gold_ctes()},
-l AS (SELECT row_id,
-  {', '.join(f'lag({c}, {k}) OVER w AS {c}_lag_{k}' for c in LAG_COLS for k in range(1, LAGS + 1))},
-  {', '.join(f'avg({c}) OVER wr AS {c}_roll_mean, stddev_samp({c}) OVER wr AS {c}_roll_std' for c in LAG_COLS)}
-  FROM gold WINDOW w AS (ORDER BY "timestamp", row_id),
-                   wr AS (ORDER BY "timestamp", row_id ROWS BETWEEN {ROLL} PRECEDING AND 1 PRECEDING))
-SELECT row_id, {', '.join(f'round({c}_lag_{k}, 6) AS {c}_lag_{k}' for c in LAG_COLS for k in range(1, LAGS + 1))},
-       {', '.join(f'round({c}_roll_mean, 6) AS {c}_roll_mean, round({c}_roll_std, 6) AS {c}_roll_std' for c in LAG_COLS)}
-FROM l WHERE {' AND '.join(f'{c}_lag_{LAGS} IS NOT NULL AND {c}_roll_std IS NOT NULL' for c in LAG_COLS)}""")
-def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W9 on the row grain: lags 1-3 and the rolling mean/std of the 3 previous rows, over the global
-    (timestamp, row_id) order through the blocked window; incomplete rows dropped."""
-    return _lagged(_gold(spark, sf_dir))
+def _lag_names(columns) -> list[str]:
+    return [f"{c}_{s}" for c in columns for s in (*[f"lag_{k}" for k in range(1, LAGS + 1)], "roll_mean", "roll_std")]
 
 
-def _lagged(gold: DataFrame) -> DataFrame:
-    idx = global_index(gold.select("row_id", "timestamp", *LAG_COLS), ["timestamp", "row_id"], "_idx")
+def _lagged_cte(columns) -> str:
+    """Lagged rows without gaps."""
+    return f"""
+lagged AS (SELECT row_id, {', '.join(columns)},
+  {', '.join(f'lag({c}, {k}) OVER w AS {c}_lag_{k}' for c in columns for k in range(1, LAGS + 1))},
+  {', '.join(f'avg({c}) OVER wr AS {c}_roll_mean, CASE WHEN count({c}) OVER wr = 1 THEN 0.0 ELSE stddev_samp({c}) OVER wr END AS {c}_roll_std' for c in columns)}
+  FROM gold WINDOW w AS (ORDER BY "timestamp", row_id),
+                   wr AS (ORDER BY "timestamp", row_id ROWS BETWEEN {ROLL} PRECEDING AND 1 PRECEDING)),
+whole AS (SELECT * FROM lagged WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*columns, *_lag_names(columns)])})"""
 
-    def build(w):
-        wr = w.rowsBetween(-ROLL, -1)
-        cols = []
-        for c in LAG_COLS:
-            cols += [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for k in range(1, LAGS + 1)]
-            cols += [F.avg(c).over(wr).alias(f"{c}_roll_mean"), F.stddev_samp(c).over(wr).alias(f"{c}_roll_std")]
-        return cols
 
-    out = blocked_window(idx, "_idx", build, preceding=max(LAGS, ROLL)).na.drop()
-    names = [f"{c}_lag_{k}" for c in LAG_COLS for k in range(1, LAGS + 1)] + \
-            [f"{c}_roll_{s}" for c in LAG_COLS for s in ("mean", "std")]
-    return out.select("row_id", *[r6(F.col(n)).alias(n) for n in names])
+@register("lag_features", f"""
+WITH {O.gold_ctes()}, {_lagged_cte(NUMERIC)}
+SELECT row_id, {', '.join(f'round({c}, 6) AS {c}_current' for c in NUMERIC)},
+       {', '.join(f'round({c}, 6) AS {c}' for c in _lag_names(NUMERIC))} FROM whole""")
+def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W9 on the row grain: current value, lags 1-3 and the rolling mean/std of the 3 previous rows of every numeric
+    column, over the global (timestamp, row_id) order through the blocked window; rows with a gap dropped."""
+    return _all_lagged(_gold(spark, sf_dir))
 
 
 def _all_lagged(gold: DataFrame, lag_window: int = LAGS) -> DataFrame:
-    """W9 over all numeric features: current value, lags 1..L and the mean/std (0 for a single row) of up to
-    ``window`` previous rows (D7), L and window by the row count; incomplete rows dropped."""
-    columns, n = numeric_features(gold), gold.count()
-    lags, window = max(1, min(lag_window, n // 4)), max(2, min(3, n // 3))
-    idx = global_index(gold.select("row_id", "timestamp", *columns), ["timestamp", "row_id"], "_idx")
-
-    def build(w):
-        wr = w.rowsBetween(-window, -1)
-        cols = []
-        for c in columns:
-            cols += [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for k in range(1, lags + 1)]
-            cols += [F.avg(c).over(wr).alias(f"{c}_roll_mean"),
-                     F.when(F.count(c).over(wr) == 1, 0.0).otherwise(F.stddev_samp(c).over(wr)).alias(f"{c}_roll_std")]
-        return cols
-
-    out = blocked_window(idx, "_idx", build, preceding=max(lags, window)).na.drop()
-    names = [f"{c}_{s}" for c in columns for s in (*[f"lag_{k}" for k in range(1, lags + 1)], "roll_mean", "roll_std")]
-    return out.select("row_id", *[r6(F.col(c)).alias(f"{c}_current") for c in columns], *[r6(F.col(c)).alias(c) for c in names])
+    columns = numeric_features(gold)
+    rows = LG.lagged_features(gold, columns, *LG.lag_sizes(gold.count(), lag_window))
+    return rows.select("row_id", *[r6(F.col(c)).alias(c) for c in rows.columns[1:]])
+
+
+@register("variance_ranking", f"""
+WITH {O.gold_ctes()},
+v AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, var_samp(CAST({c} AS DOUBLE)) AS variance FROM gold" for c in NUMERIC)})
+SELECT feature, round(variance, 6) AS variance,
+       CAST(row_number() OVER (ORDER BY variance DESC NULLS LAST, feature) AS INTEGER) AS rank FROM v""")
+def variance_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG23: numeric columns by their variance."""
+    g = _gold(spark, sf_dir)
+    return LG.variance_ranking(g, _features(g)).withColumn("variance", r6(F.col("variance")))
 
 
 @register("lagged_regression")
 def lagged_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML5: OLS of the stress score on the W9 features of all numeric columns (coefficients, rows-only check)."""
+    """ML5: OLS of the stress score on the scaled W9 features of all numeric columns (coefficients, rows-only check)."""
+    return LG.fit_lagged(_gold(spark, sf_dir), TARGET, LAGS).fit.coefficients(spark)
+
+
+@register("lagged_predictions", f"""
+WITH {O.gold_ctes()}, {_lagged_cte([*NUMERIC, TARGET])}
+SELECT row_id, row_id NOT IN (SELECT row_id FROM whole) AS mean_filled, true AS has_prediction FROM gold""")
+def lagged_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML5 + J4: a prediction for every row; rows without a full set of lags get the mean."""
     g = _gold(spark, sf_dir)
-    lf = _all_lagged(g)
-    x = g.select("row_id", TARGET).join(lf, "row_id")
-    feats = [c for c in lf.columns if c != "row_id"]
-    fit = RG.fit_linear(x, feats, TARGET, use_split=False)
-    return fit.coefficients(spark)
+    p = LG.predict_lagged(g, LG.fit_lagged(g, TARGET, LAGS))
+    return p.select("row_id", F.col("time_lagged_prediction_filled").alias("mean_filled"),
+                    F.col("time_lagged_prediction").isNotNull().alias("has_prediction"))
 
 
 def _labels_sql() -> str:
@@ -286,11 +284,12 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("neural_regression")
 def neural_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML6: dense 64-32-16 ReLU regressor (data-parallel Adam, early stopping); held-out metrics."""
+    """ML6: dense 64-32-16 ReLU regressor (32-row batches, averaged over tasks once an epoch, early stopping), and OLS
+    beside it; metrics of the held-out rows."""
     from tidemark.models.neural import fit_neural
 
     g = _gold(spark, sf_dir)
     model = fit_neural(g, _features(g), TARGET)
-    scored = hash_split(model.transform(g))
-    return RG.evaluate(scored.where(~F.col("is_train")), TARGET, ["neural_network_prediction"]) \
+    scored = RG.fit_linear(g, _features(g)).transform(hash_split(model.transform(g)))
+    return RG.evaluate(scored.where(~F.col("is_train")), TARGET, ["neural_network_prediction", "linear_regression_prediction"]) \
         .withColumn("epochs_run", F.lit(len(model.history)))

@@ -65,3 +65,4 @@ from tidemark.plans import queries_bronze  # noqa: E402,F401
 from tidemark.plans import queries_risk  # noqa: E402,F401
 from tidemark.plans import queries_views  # noqa: E402,F401
 from tidemark.plans import queries_models  # noqa: E402,F401
+from tidemark.plans import queries_learning  # noqa: E402,F401

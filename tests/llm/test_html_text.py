@@ -53,6 +53,24 @@ def test_article_in_a_marked_wrapper():
     assert text(f"<body><div class=has-sidebar><div class=comments><article class=comment><p>{body}</p></article></div></div>") == ""
 
 
+def test_inline_elements_stay_inline():
+    assert text("<article><p>Let <math><mi>x</mi></math> be given.</p></article>") == "Let x be given."
+    assert text("<article><p>Press <button>OK</button> to go on.</p></article>") == "Press OK to go on."
+    for gone in ("<svg><text>icon</text></svg>", "<script>f('<p>')</script>", "<select><option>one</option></select>", "<object>no plugin</object>",
+                 "<video>old <b>browser</b></video>", "<noscript>turn it on</noscript>", "<template><p>shape</p></template>"):
+        assert text(f"<article><p>Words before {gone} and words after.</p><p>next</p></article>") == "Words before and words after.\n\nnext", gone
+
+
+def test_names_inside_an_article_are_whole():
+    kept = "<article><p>one</p><div class='{}'><p>A paragraph of the article with its own words.</p></div><p>two</p></article>"
+    whole = "one\n\nA paragraph of the article with its own words.\n\ntwo"
+    for name in ("notice-board-history", "social-history", "comment-on-the-text lead", "ad-hoc", "skip-of-a-ship"):
+        assert text(kept.format(name)) == whole, name
+    for name in ("notice", "cookie-notice", "wide share", "comments", "social share", "related"):
+        assert text(kept.format(name)) == "one\n\ntwo", name
+    assert text("<article><p>A <span class='skip-rope'>rope</span> and more words here.</p></article>") == "A rope and more words here."
+
+
 def test_defined_cases():
     assert text(None) == text("") == text("   ") == text("<p></p><div> </div>") == ""
     assert text("plain words") == "plain words"

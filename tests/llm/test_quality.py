@@ -42,6 +42,14 @@ def test_counts(spark):
     assert got == {i: base(t) for i, t in enumerate(TEXTS)}
 
 
+def test_very_long_text_without_repeats(spark):
+    df = spark.range(2).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat(
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(6_000_000)), lambda i: F.conv(i.cast("string"), 10, 36))),
+        F.when(F.col("id") == 1, " x y z x y z").otherwise("")).alias("text"))
+    got = {r.doc_id: (r.n_words, r.n_repeat_words) for r in quality.quality(df.repartition(2)).collect()}
+    assert got == {0: (6_000_001, 0), 1: (6_000_007, 6)}
+
+
 def test_nulls_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(None, "a b c", None, 1), (1, None, "xx", 2), (1, None, "xx", 2)], "doc_id long, text string, lang string, KEPT int")
     rows = quality.quality(df).collect()

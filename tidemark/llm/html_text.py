@@ -28,7 +28,7 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form frameset h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section select "
     "summary table tbody td tfoot th thead title tr ul".split())
-SILENT_TAGS = frozenset("script style noscript template textarea svg math object iframe canvas audio video head select button".split())
+SILENT_TAGS = frozenset("script style noscript template textarea svg object iframe canvas audio video head select".split())
 RAW_TAGS = frozenset("script style textarea title iframe noscript".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog".split())
@@ -72,6 +72,14 @@ def _names(value: str) -> set[str]:
     return set().union(*(w for w in words if not w & LAYOUT_WORDS))
 
 
+def _furniture_name(value: str, in_article: bool) -> bool:
+    """Whether a class or id value names furniture: inside an article only by a whole name made of such words."""
+    if not in_article:
+        return bool(_names(value) & FURNITURE_NAMES)
+    known = FURNITURE_NAMES - {"header"}
+    return any((own := set(_NAME.findall(name))) and own <= known for name in value.split())
+
+
 def _furniture(tag: str, rest: str, in_article: bool) -> int:
     """``MARKED`` by tag, role or hiding, ``BY_NAME`` by class or id or as a form, which may wrap the page."""
     if tag in FURNITURE_TAGS - {"form"} or (tag == "header" and not in_article):
@@ -82,10 +90,7 @@ def _furniture(tag: str, rest: str, in_article: bool) -> int:
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), next((v for v in values if v), "").lower()
         if key in ("class", "id"):
-            names = _names(value)
-            if in_article:
-                names -= {"header"}
-            if tag not in ("body", "html", "article", "main") and names & FURNITURE_NAMES:
+            if tag not in ("body", "html", "article", "main") and _furniture_name(value, in_article):
                 mark = BY_NAME
         elif key == "role" and value in FURNITURE_ROLES:
             return MARKED
@@ -148,27 +153,32 @@ def page_blocks(page: str) -> list[Block]:
             parts.append(" ")
             continue
         if tag not in BLOCK_TAGS and tag not in SILENT_TAGS:
-            if not closing and tag not in VOID_TAGS and (own := _furniture(tag, rest, False)):
+            top = stack[-1] if stack else top_level
+            if not closing and tag not in VOID_TAGS and (own := _furniture(tag, rest, top[1])):
                 flush()
-                top = stack[-1] if stack else top_level
                 stack.append((tag, top[1], max(own, top[2]), top[3], top[4]))
             elif closing and stack and stack[-1][0] == tag:
                 flush()
                 stack.pop()
             continue
-        flush()
+        # silent elements, and what is in them, leave the block around them whole
+        breaks = (tag in BLOCK_TAGS - SILENT_TAGS or tag == "head") and not silent
+        if breaks:
+            flush()
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    for name, *_ in stack[i:]:
-                        silent -= name in SILENT_TAGS
+                    left = silent - sum(name in SILENT_TAGS for name, *_ in stack[i:])
+                    if silent and not left and tag in BLOCK_TAGS:
+                        flush()  # the block ends with a silent element still open
+                    silent = left
                     del stack[i:]
                     break
-            links = 0
+            links = 0 if breaks else links
             continue
         if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option", *HEADINGS) and stack and stack[-1][0] == tag:
             stack.pop()  # its end tag may be left out
-        elif stack and stack[-1][0] == "p":
+        elif breaks and stack and stack[-1][0] == "p":
             stack.pop()  # a block ends a paragraph
         elif tag == "body":
             while stack and stack[-1][0] == "head":  # the head may be left open

@@ -8,7 +8,8 @@ because the padding cost satisfies the quadrangle inequality), weighing ``MAX_BI
 
 Inside a bucket, batches hold ``budget // upper length`` documents (at least one).  A document's place is
 an offset of its hash slice plus its number within the slice, so no bucket is ever sorted in one task,
-and repeated executions give the same batches.
+and repeated executions give the same batches.  Rows of one id and length are counted first and take consecutive
+places, so no id or length, nor rows without id, fill a slice.
 
 Defined results: a null or empty text has length 1 (its end id or mark); an empty table gives no rows; repeated
 rows and rows without id each take a place.
@@ -28,6 +29,7 @@ N_BUCKETS = 16
 TOKEN_BUDGET = 65_536
 MAX_BINS = 1 << 16
 SLICE_ROWS = 50_000
+COPIES_PER_CHUNK = 10_000
 
 
 def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, n_buckets: int) -> list[int]:
@@ -100,17 +102,22 @@ def pack(lengths: DataFrame, n_buckets: int = N_BUCKETS, budget: int = TOKEN_BUD
     bounds = optimal_bounds(histogram["n_tokens"].to_numpy(), counts, n_buckets)
     edges = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
     n_slices = max(1, -(-int(counts.sum()) // SLICE_ROWS))
-    rows = lengths.withColumn("bucket", sum((F.when(F.col("n_tokens") > b, 1).otherwise(0) for b in bounds[:-1]), F.lit(0))) \
+    # rows of one id and length, such as all without id, are one key with a count until they have their places
+    keys = lengths.groupBy("doc_id", "n_tokens").agg(F.count("*").alias("n"))
+    keys = keys.withColumn("bucket", sum((F.when(F.col("n_tokens") > b, 1).otherwise(0) for b in bounds[:-1]), F.lit(0))) \
         .withColumn("slice", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(n_slices)))
-    sizes = rows.groupBy("bucket", "slice").agg(F.count("*").alias("n"))  # buckets x slices rows
-    offsets = sizes.withColumn("offset", F.sum("n").over(
-        Window.partitionBy("bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))) \
-        .select("bucket", "slice", F.coalesce("offset", F.lit(0)).alias("offset"))
-    numbered = rows.withColumn("number", F.row_number().over(
-        Window.partitionBy("bucket", "slice").orderBy("doc_id", "n_tokens")) - 1).join(offsets, ["bucket", "slice"])
+    sizes = keys.groupBy("bucket", "slice").agg(F.sum("n").alias("n"))  # buckets x slices rows
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("bucket", "slice", before(Window.partitionBy("bucket").orderBy("slice")).alias("offset"))
+    numbered = keys.withColumn("number", before(Window.partitionBy("bucket", "slice").orderBy("doc_id", "n_tokens"))) \
+        .join(offsets, ["bucket", "slice"])
+    chunks = numbered.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES_PER_CHUNK}")))) \
+        .repartition("doc_id", "n_tokens", "chunk")  # the copies of a hot key are dealt over the tasks
+    first = F.col("chunk") * COPIES_PER_CHUNK
+    numbered = chunks.withColumn("copy", F.explode(F.sequence(first, F.least(first + COPIES_PER_CHUNK, F.col("n")) - 1)))
     placed = numbered.withColumn("padded_to", F.get(edges, F.col("bucket"))) \
         .withColumn("per_batch", F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("padded_to")))) \
-        .withColumn("rank", F.col("offset") + F.col("number"))
+        .withColumn("rank", F.col("offset") + F.col("number") + F.col("copy"))
     return placed.select("doc_id", "n_tokens", F.col("bucket").cast("int").alias("bucket"), "padded_to",
                          F.floor(F.col("rank") / F.col("per_batch")).cast("long").alias("batch"),
                          F.pmod("rank", "per_batch").cast("long").alias("place"))

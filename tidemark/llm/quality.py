@@ -52,17 +52,27 @@ def _removed(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, pattern, "")
 
 
-def repeated_window_words(words: Column, n: Column) -> Column:
-    """Words inside three-word windows that the text holds twice or more.
+def repeated_windows(step: DataFrame) -> DataFrame:
+    """Adds ``__at``: the sorted places of the three-word windows that the text in ``__words`` holds twice or more.
 
-    Every window becomes one long: its hash above, its position in the last bits.  After sorting, equal
-    windows are neighbours; the sorted positions of the repeated ones cover min(3, gap) words each."""
-    bits = F.length(F.bin(n))
-    keys = F.sort_array(F.transform(
-        F.when(n >= 3, F.sequence(F.lit(0), (n - 3).cast("int"))).otherwise(F.array().cast("array<int>")),
-        lambda i: F.call_function("shiftleft", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)),
-                                  bits).bitwiseOR(i.cast("long"))))
-    return keys, bits
+    Most texts have as many different window hashes as windows, and none is repeated.  In the others the windows are
+    sorted by two whole 64-bit hashes and their place; neighbours that agree in both, and in their words, are repeats."""
+    word = lambda i: F.get("__words", i)
+    places = F.when(F.col("__n") >= 3, F.sequence(F.lit(0), (F.col("__n") - 3).cast("int"))).otherwise(F.array().cast("array<int>"))
+    step = step.withColumn("__hashes", F.transform(places, lambda i: F.xxhash64(word(i), word(i + 1), word(i + 2))))
+    keys = F.sort_array(F.transform("__hashes", lambda h, i: F.struct(
+        h.alias("h"), F.xxhash64(F.lit(1), word(i + 2), word(i + 1), word(i)).alias("g"), i.alias("i"))))
+    step = step.withColumn("__keys", F.when(F.size(F.array_distinct("__hashes")) < F.size("__hashes"), keys))
+
+    def same(x, y):
+        agree = (x["h"] == y["h"]) & (x["g"] == y["g"])
+        for k in range(3):
+            agree = agree & (word(x["i"] + k) == word(y["i"] + k))
+        return F.coalesce(agree, F.lit(False))
+
+    repeated = F.filter("__keys", lambda x, i: same(x, F.get("__keys", i + 1)) | same(x, F.get("__keys", i - 1)))
+    return step.withColumn("__at", F.sort_array(F.transform(
+        F.coalesce(repeated, F.array().cast("array<struct<h:bigint,g:bigint,i:int>>")), lambda x: x["i"])))
 
 
 def text_measures(documents: DataFrame) -> DataFrame:
@@ -71,20 +81,12 @@ def text_measures(documents: DataFrame) -> DataFrame:
     step = step.withColumn("__n", F.size("__words").cast("long"))
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     step = step.withColumn("__lines", lines)
-    keys, bits = repeated_window_words(F.col("__words"), F.col("__n"))
-    step = step.withColumn("__keys", keys).withColumn("__bits", bits)
-    step = step.withColumn("__repeated", F.filter(
-        "__keys", lambda x, i: (F.call_function("shiftright", x, F.col("__bits")) ==
-                                F.call_function("shiftright", F.get("__keys", i + 1), F.col("__bits")))
-        | (F.call_function("shiftright", x, F.col("__bits")) ==
-           F.call_function("shiftright", F.get("__keys", i - 1), F.col("__bits")))))
-    step = step.withColumn("__at", F.sort_array(F.transform(
-        "__repeated", lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__bits")) - 1))))
+    step = repeated_windows(step)
     step = step.withColumn("__gaps", F.transform("__at", lambda x, i: F.least(
-        F.lit(3).cast("long"), F.coalesce(F.get("__at", i + 1) - x, F.lit(3).cast("long")))))
+        F.lit(3), F.coalesce(F.get("__at", i + 1) - x, F.lit(3))).cast("long")))
     step = step.withColumn("__repeat_words", F.aggregate("__gaps", F.lit(0).cast("long"), lambda a, x: a + x))
     return _histograms(step).withColumn("__dup_lines", F.size("__lines") - F.size(F.array_distinct("__lines"))).drop(
-        "__lines", "__keys", "__bits", "__repeated", "__at", "__gaps")
+        "__lines", "__hashes", "__keys", "__at", "__gaps")
 
 
 def _histograms(step: DataFrame) -> DataFrame:

@@ -50,6 +50,13 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
+def _narrow(ids: list[int], end_id: int) -> bytes:
+    wide = np.array([*ids, end_id], dtype=np.int64)
+    if wide.max() > 0xFFFF:
+        raise ValueError("the file format holds ids up to 65,535")
+    return wide.astype("<u2").tobytes()
+
+
 def token_ids(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, ids): the ids of each whole text and the end id, as little-endian unsigned 16-bit integers."""
     def encode(batches):
@@ -58,7 +65,7 @@ def token_ids(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID) -
             texts = batch.column(1)
             for lo in range(0, batch.num_rows, TEXTS_PER_CALL):
                 part = [t or "" for t in texts.slice(lo, TEXTS_PER_CALL).to_pylist()]
-                ids = [np.array([*e.ids, end_id], dtype="<u2").tobytes()
+                ids = [_narrow(e.ids, end_id)
                        for e in tool.encode_batch_fast(part, add_special_tokens=False)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, TEXTS_PER_CALL), pa.array(ids, pa.binary())],
                                                  names=["doc_id", "ids"])
@@ -120,9 +127,10 @@ def write_token_files(documents: DataFrame, tokenizer_path: str, folder: str, vo
 
         yield from _blocks(batches, TaskContext.get().partitionId(), vocabulary)
 
-    ids = token_ids(documents, tokenizer_path).withColumn("tie", F.xxhash64("ids"))
-    ordered = ids.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
-    ordered.mapInArrow(write, BLOCK_SCHEMA).write.parquet(folder)
+    # the texts are put in order, not their ids: finding the ranges reads the table, but tokenises nothing
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+    ordered = texts.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    token_ids(ordered, tokenizer_path).mapInArrow(write, BLOCK_SCHEMA).write.parquet(folder)
 
 
 def _documents(batches, vocabulary: int, with_ids: bool):

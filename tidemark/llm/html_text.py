@@ -41,6 +41,7 @@ FURNITURE_NAMES = frozenset(
     "overlay pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup "
     "skip social sponsor sponsored subscribe teaser toolbar widget".split())
 LAYOUT_WORDS = frozenset("has no not with without layout".split())
+BREAKING_TAGS = BLOCK_TAGS - SILENT_TAGS | {"head"}
 UNMARKED, BY_NAME, MARKED = 0, 1, 2
 
 _TOKEN = re.compile(
@@ -162,14 +163,14 @@ def page_blocks(page: str) -> list[Block]:
                 stack.pop()
             continue
         # silent elements, and what is in them, leave the block around them whole
-        breaks = (tag in BLOCK_TAGS - SILENT_TAGS or tag == "head") and not silent
+        breaks = tag in BREAKING_TAGS and not silent
         if breaks:
             flush()
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     left = silent - sum(name in SILENT_TAGS for name, *_ in stack[i:])
-                    if silent and not left and tag in BLOCK_TAGS:
+                    if silent and not left and tag in BREAKING_TAGS:
                         flush()  # the block ends with a silent element still open
                     silent = left
                     del stack[i:]

@@ -20,6 +20,8 @@ raises.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 import zlib
@@ -50,6 +52,14 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
+def release() -> None:
+    """Give back what earlier stages left in this worker: tokenizers, and freed memory that the allocator keeps."""
+    _tokenizers.clear()
+    gc.collect()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def _narrow(ids: list[int], end_id: int) -> bytes:
     wide = np.array([*ids, end_id], dtype=np.int64)
     if wide.max() > 0xFFFF:

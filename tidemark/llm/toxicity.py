@@ -2,7 +2,7 @@
 
 * Terms are whole words and word beginnings (4, 5 and 6 bytes), lower-cased.  The term space holds those
   that mark the label: at least ``MIN_DOCS`` examples, at least twice the base rate of label 1, and a log-likelihood
-  ratio of at least ``MIN_EVIDENCE`` (the best ``MAX_TERMS``).  Labels are learned from a bounded sample of the
+  ratio of at least ``MIN_EVIDENCE``: all of them, however many.  Labels are learned from a bounded sample of the
   training rows (``MAX_EXAMPLES``, by hash of the id), one example per near-copy family (two min-hashes).
 * Document frequencies are counted over all documents.
 * Examples are kept in blocks of similar ones.  For each (term, block) the index holds the largest weight;
@@ -18,6 +18,7 @@ examples without such terms; without labels every score is 0; of several labels
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,10 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.arrowtext import NOT_ALNUM, SpanHasher, U64, chunks, mix, words
-from tidemark.llm.tables import cut, held_out
+from tidemark.llm.tables import BROADCAST_ROWS, held_out, stored
+from tidemark.llm.token_files import release
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 1024
+TEXT_BYTES = 1 << 20
 MIN_DOCS = 5
 MIN_EVIDENCE = 20.0
 PREFIXES = (4, 5, 6)
@@ -45,7 +47,7 @@ def _terms(column: pa.Array):
 
     Terms are all words and word beginnings; one found twice, or three times and more, adds a further
     term for that level, because a stem that marks label 1 when repeated can be chance when single."""
-    for chunk in chunks(column):
+    for chunk in chunks(column, limit=TEXT_BYTES):
         found = words(chunk, NOT_ALNUM)
         spans = SpanHasher(chunk)
         text = np.repeat(np.arange(len(chunk)), found.counts())
@@ -83,7 +85,7 @@ def level_term(value: np.ndarray, level: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Everything a scoring task needs; its size is bounded by MAX_TERMS and MAX_EXAMPLES."""
+    """Everything a scoring task needs; its size is bounded by MAX_EXAMPLES and the terms that they hold."""
 
     terms: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))
     bases: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # terms without their level
@@ -94,7 +96,7 @@ class Model:
     example: np.ndarray | None = None  # doc_id, copies, toxic copies of each distinct example vector
     entries: tuple | None = None  # (vector, term, weight)
     knots: tuple | None = None
-    _dense: tuple | None = None
+    _index: tuple | None = None
 
     def select(self, values, owners):
         """(term number, text, count) of the terms of the term space."""
@@ -119,15 +121,25 @@ class Model:
         return text, term, (weight / norm[text]).astype(np.float32)
 
     def blocks(self):
-        """Dense blocks [block, term, example in block] and block maxima [term, block]."""
-        if self._dense is None:
-            n = len(self.example)
-            n_blocks = -(-n // BLOCK)
+        """Block maxima [term, block], and the entries sorted by (block, term) with the first entry of each block."""
+        if self._index is None:
+            n_blocks = -(-len(self.example) // BLOCK)
             vector, term, weight = self.entries
-            dense = np.zeros((n_blocks, len(self.terms), BLOCK), dtype=np.float32)
-            dense[vector // BLOCK, term, vector % BLOCK] = weight
-            self._dense = dense, np.ascontiguousarray(dense.max(axis=2).T)
-        return self._dense
+            order = np.lexsort((term, vector // BLOCK))
+            vector, term, weight = vector[order], term[order], weight[order]
+            maxima = np.zeros((len(self.terms), n_blocks), dtype=np.float32)
+            np.maximum.at(maxima, (term, vector // BLOCK), weight)
+            self._index = maxima, vector, term, weight, np.searchsorted(vector // BLOCK, np.arange(n_blocks + 1))
+        return self._index
+
+    def opened(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of a block and their weights (term, example in block); the last row, of zeros, is for all others."""
+        _, vector, term, weight, first = self.blocks()
+        own = slice(first[number], first[number + 1])
+        terms, row = np.unique(term[own], return_inverse=True)
+        table = np.zeros((len(terms) + 1, BLOCK), dtype=np.float32)
+        table[row, vector[own] % BLOCK] = weight[own]
+        return terms, table
 
     def nearest(self, text, term, weight, skip=None, k: int = NEIGHBOURS):
         """(queries, example index or -1, cosine) of the k best examples of every query with a vector.
@@ -137,7 +149,7 @@ class Model:
         k = min(k, len(self.example))
         best = np.zeros((len(queries), k), dtype=np.float32)
         index = np.full((len(queries), k), -1, dtype=np.int64)
-        dense, maxima = self.blocks()
+        maxima = self.blocks()[0]
         bounds = np.append(starts, len(text))
         slice_size = max(1, 4_000_000 // (max(1, maxima.shape[1]) * 8))
         for lo in range(0, len(queries), slice_size):
@@ -159,8 +171,10 @@ class Model:
                     rows, number = going[part] + lo, int(block[part[0]])
                     size = bounds[rows + 1] - bounds[rows]
                     entry = np.repeat(bounds[rows] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-                    cosine = np.add.reduceat(dense[number][term[entry]] * weight[entry, None],
-                                             np.cumsum(size) - size, axis=0)
+                    terms, table = self.opened(number)
+                    row = np.minimum(np.searchsorted(terms, term[entry]), len(terms) - 1)
+                    row = np.where(terms[row] == term[entry], row, len(terms))
+                    cosine = np.add.reduceat(table[row] * weight[entry, None], np.cumsum(size) - size, axis=0)
                     ids = np.where(cosine > 0, number * BLOCK + np.arange(BLOCK), -1)
                     both = np.concatenate((best[rows], cosine), axis=1)
                     both_ids = np.concatenate((index[rows], ids), axis=1)
@@ -224,19 +238,20 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str = "toxic
         .groupBy("doc_id").agg(F.max("y").alias("y")).where(~held_out(F.col("doc_id")))
     n = known.count()
     share = min(1.0, max_examples / max(n, 1))
-    rank = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1 << 20))
-    chosen = F.broadcast(known.where(rank < int(share * (1 << 20))))  # about max_examples rows of 12 bytes
+    bound = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))  # of the whole 64 bits: right for any number of labels
+    chosen = F.broadcast(known.where(F.xxhash64(F.col("doc_id"), F.lit(5)) <= bound))  # about max_examples rows of 12 bytes
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id") \
         .where("text is not null").dropDuplicates(["doc_id"])
 
 
 def _families(batches):
-    """One (doc_id, y, text) row per text with two min-hashes of its words."""
+    """(doc_id, y) of each text with two min-hashes of its words."""
+    release()
     for batch in batches:
         if not batch.num_rows:
             continue
         first, second = [], []
-        for chunk in chunks(batch.column(1)):
+        for chunk in chunks(batch.column(1), limit=TEXT_BYTES):
             found = words(chunk, NOT_ALNUM)
             h = SpanHasher(chunk)(found.starts, found.ends)
             for out, salt in ((first, 3), (second, 9)):
@@ -245,18 +260,17 @@ def _families(batches):
                 if some.any():
                     low[some] = np.minimum.reduceat(mix(h ^ U64(salt)), found.first[:-1][some])
                 out.append(low.view(np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(first)),
-                                          pa.array(np.concatenate(second))],
-                                         names=["doc_id", "text", "y", "m1", "m2"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.concatenate(first)),
+                                          pa.array(np.concatenate(second))], names=["doc_id", "y", "m1", "m2"])
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """Learn terms, weights, index and calibration."""
     spark = documents.sparkSession
     sample = training_sample(documents, labels, label).select("doc_id", "text", "y")
-    sample = cut(sample.mapInArrow(_families, "doc_id long, text string, y int, m1 long, m2 long")
-                 .groupBy("m1", "m2", "y").agg(F.min_by(F.struct("doc_id", "text"), "doc_id").alias("r"))
-                 .select("r.doc_id", "r.text", "y"))
+    sample = stored(sample)  # about MAX_EXAMPLES rows
+    firsts = sample.mapInArrow(_families, "doc_id long, y int, m1 long, m2 long").groupBy("m1", "m2", "y").agg(F.min("doc_id").alias("doc_id"))
+    sample = sample.join(F.broadcast(firsts.select("doc_id")), "doc_id", "left_semi")  # ids of at most the sample's rows
     totals = sample.agg(F.count("*"), F.sum("y")).first()
     n, n_toxic = totals[0], int(totals[1] or 0)
     model = Model(prior=n_toxic / n if n else 0.0)
@@ -294,7 +308,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         (c, (n - F.col("ab")) * n_toxic / n), (d, (n - F.col("ab")) * (n - n_toxic) / n)))
     best = counts.withColumn("evidence", evidence) \
         .where((F.col("evidence") >= MIN_EVIDENCE) & (a * n >= 2 * n_toxic * F.col("ab"))) \
-        .orderBy(F.desc("evidence"), "term").limit(MAX_TERMS).select("term", "base").collect()
+        .select("term", "base").collect()  # bounded by the sample's terms
     model.terms = np.sort(np.array([r[0] for r in best], dtype=np.int64).view(U64))
     if not len(model.terms):
         return model
@@ -305,6 +319,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     found = spark.sparkContext.broadcast(model)
 
     def document_frequencies(batches):
+        release()
         n_terms = len(found.value.terms)
         df = np.zeros(n_terms + 1, dtype=np.int64)
         for batch in batches:
@@ -358,7 +373,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         _, index, cosine = model.nearest(*model.entries)
         vote = model.votes(index[own_number], cosine[own_number], (own_number, own_label))
         model.knots = isotonic(vote, own_label.astype(float))
-        model._dense = None
+        model._index = None
     return model
 
 
@@ -374,6 +389,7 @@ def with_scores(documents: DataFrame, model: Model, text_col: str = "text") -> D
     names = [f.name for f in kept]
 
     def score(batches):
+        release()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -401,6 +417,11 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, all columns kept."""
-    return with_scores(documents, fit(documents, labels)).where(F.col(SCORE) < 0.5).select(
-        *[f"`{c}`" for c in documents.columns])
+    """The documents that are not predicted toxic, all columns kept.  Only the texts go through Arrow: a row is known by
+    its number, written once."""
+    key = f"row_{uuid.uuid4().hex}"
+    rows = stored(documents.withColumn(key, F.monotonically_increasing_id()))
+    scored = with_scores(rows.select(key, "text"), fit(documents, labels))
+    toxic = stored(scored.where(F.col(SCORE) >= 0.5).select(key))
+    few = toxic.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(toxic) if few else toxic, key, "left_anti").select(*[f"`{c}`" for c in documents.columns])

@@ -2,9 +2,10 @@
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources.snapshots import export_csv, export_json, read_best_gold, read_latest_snapshot, write_snapshot
+from tidemark.sources.snapshots import export_csv, export_json, published_runs, read_best_gold, read_latest_snapshot, write_snapshot
 
 
 def test_snapshot_round_trip(spark):
@@ -23,6 +24,21 @@ def test_snapshot_round_trip(spark):
     assert spark.read.json(f"{root}/json").count() == 2
 
 
+def test_unpublished_runs_are_not_read(spark):
+    root = tempfile.mkdtemp(prefix="tm-publish-", dir="/tmp")
+    a = spark.createDataFrame([(1,)], "row_id long")
+    write_snapshot(a, root, "gold", "20240101_000000")
+    a.union(a).write.parquet(f"{root}/gold/run_id=20240102_000000")  # its writer was lost before it published
+    assert read_latest_snapshot(spark, root, "gold").count() == 1 and read_best_gold(spark, root).count() == 1
+    assert [tuple(r) for r in published_runs(spark, root, "gold").collect()] == [(1, "20240101_000000")]
+    assert write_snapshot(a.union(a), root, "gold", "20240102_000000") == "20240102_000000"
+    assert read_latest_snapshot(spark, root, "gold").count() == 2
+    with pytest.raises(ValueError):
+        write_snapshot(a, root, "gold", "20240102_000000")
+    with pytest.raises(FileNotFoundError):
+        read_latest_snapshot(spark, root, "silver")
+
+
 def test_incremental_silver(spark):
     from tidemark.streaming.snapshots import incremental_silver
 

@@ -9,9 +9,9 @@ from tidemark.functions.numeric import r6
 from tidemark.operators.quotes import create_articles, derive_quotes, extraction_stats, filter_priority, market_stress
 from tidemark.plans import oracle as O
 from tidemark.plans.registry import register
-from tidemark.sources.pages import extract_all_methods, extract_quotes, instruments, page_elements
+from tidemark.sources.pages import extract_all_methods, extract_quotes, page_elements
 from tidemark.sources.tables import read_table
-from tidemark.sources.views import quotes
+from tidemark.sources.views import instruments_binding, quotes
 
 PRIORITY_FILTER = 2  # the shipped configuration's balanced setting
 
@@ -137,22 +137,64 @@ def bronze_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[r6(F.col(c)).alias(c) for c in ("price", "change", "change_percent")], "priority")
 
 
-@register("extraction_stats", """
-SELECT CAST(count(*) AS BIGINT) AS total_requests, CAST(0 AS BIGINT) AS successful,
-       CAST(count(*) AS BIGINT) AS failed, '0.0%' AS success_rate
-FROM pages""")
+#: How a day's quote is written into its page: by day of the month.
+PAGE_KINDS = ("element", "regex", "json", "meta")
+
+
+def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given pages, and one quote page per daily quote, in the four forms that the extraction chain reads."""
+    q = derive_quotes(quotes(spark, sf_dir))
+    price, change, pct = (F.format_string("%.4f", F.col(c)) for c in ("price", "change", "change_percent"))
+
+    def streamer(name, value):
+        return F.concat(F.lit('<fin-streamer class="x" data-symbol="'), F.col("symbol"), F.lit(f'" data-field="{name}"><span>'), value,
+                        F.lit("</span></fin-streamer>"))
+
+    raw = lambda name, value: F.concat(F.lit(f'"{name}":{{"raw":'), value, F.lit("}"))
+    forms = [
+        F.concat(streamer("regularMarketPrice", price), streamer("regularMarketChange", change),
+                 streamer("regularMarketChangePercent", F.concat(pct, F.lit("%")))),
+        F.concat(F.lit('<script>{"regularMarketPrice": '), price, F.lit(', "regularMarketChange": '), change,
+                 F.lit(', "regularMarketChangePercent": '), pct, F.lit("}</script>")),
+        F.concat(F.lit('<script>root.App.main = {"context":{"dispatcher":{"stores":{"QuoteSummaryStore":{"price":{'),
+                 F.concat_ws(",", raw("regularMarketPrice", price), raw("regularMarketChange", change), raw("regularMarketChangePercent", pct)),
+                 F.lit("}}}}}};</script>")),
+        F.concat(F.lit('<meta property="og:price:amount" content="'), price, F.lit('">')),
+    ]
+    kind = F.dayofmonth(F.to_date("run_id")) % len(PAGE_KINDS)
+    body = F.element_at(F.array(*forms), kind + 1)
+    made = q.select(F.lit(None).cast("long").alias("page_id"),
+                    F.concat(F.lit("https://quotes.example/quote/"), F.col("symbol"), F.lit("?day="), F.col("run_id")).alias("url"),
+                    F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("html"))
+    return read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]).unionByName(made)
+
+
+def _quote_dimension(spark: SparkSession) -> DataFrame:
+    return instruments_binding(spark).withColumnRenamed("event_type", "symbol")
+
+
+_MADE_SQL = f"""
+WITH {QUOTES_SQL.replace(f"WHERE coalesce(priority, 3) <= {PRIORITY_FILTER}", "")}"""
+
+
+@register("extraction_stats", f"""{_MADE_SQL},
+n AS (SELECT (SELECT count(*) FROM pages) AS given, (SELECT count(*) FROM dquotes) AS made)
+SELECT CAST(given + made AS BIGINT) AS total_requests, CAST(made AS BIGINT) AS successful, CAST(given AS BIGINT) AS failed,
+       {O.fmt_sql('made * 100.0 / (given + made)', 1)} || '%' AS success_rate FROM n""")
 def extraction_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3-SRC7 chain over every page + AGG22 success statistics (the driver pages carry no quote
-    markup, so the oracle expects no success; positive cases are unit-tested on literal pages)."""
-    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
-    return extraction_stats(extract_all_methods(pages, instruments(spark)))
+    """SRC3-SRC7 chain over every page, given ones (which hold no quotes) and quote pages, and AGG22 statistics."""
+    return extraction_stats(extract_all_methods(quote_pages(spark, sf_dir), _quote_dimension(spark)))
 
 
-@register("extract_quotes")
+@register("extract_quotes", f"""{_MADE_SQL}
+SELECT 'https://quotes.example/quote/' || symbol || '?day=' || run_id AS url, symbol, asset, asset_type, priority,
+       round(price, 4) AS price, CASE WHEN day(CAST(run_id AS DATE)) % 4 = 3 THEN 0.0 ELSE round(change, 4) END AS change,
+       CASE WHEN day(CAST(run_id AS DATE)) % 4 = 3 THEN 0.0 ELSE round(change_percent, 4) END AS change_percent
+FROM dquotes""")
 def extract_quotes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC7 + J7: quotes found on the pages (rows-only check)."""
-    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
-    return extract_quotes(pages, instruments(spark))
+    """SRC3-SRC8 + J7: the quotes found on all pages, with their instrument."""
+    found = extract_quotes(quote_pages(spark, sf_dir), _quote_dimension(spark))
+    return found.select("url", "symbol", "asset", "asset_type", "priority", *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("price", "change", "change_percent")])
 
 
 @register("page_links", """

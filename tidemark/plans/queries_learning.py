@@ -6,6 +6,8 @@ column of the rows, and the SQL lists the rows with ``true``.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,8 @@ from tidemark.operators.views import most_recent, quick_update
 from tidemark.plans import oracle as O
 from tidemark.plans.queries_models import NUMERIC, TARGET, _features, _gold, _risk_model
 from tidemark.plans.registry import register
-from tidemark.session import cut_lineage
+from tidemark.session import checkpoint_dir, cut_lineage
+from tidemark.sources.snapshots import export_csv, export_json, published_runs, read_best_gold, read_latest_snapshot, write_snapshot
 
 QUICK_ROWS = 500
 
@@ -155,3 +158,36 @@ def quick_update_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.crossJoin(F.broadcast(means)).select(  # one row
         "row_id", r6(F.col("sentiment_ma_7")).alias("sentiment_ma_7"), r6(F.col("stress_ma_7")).alias("stress_ma_7"), "risk_regime",
         "is_anomaly", r6(F.col("anomaly_score")).alias("anomaly_score"), centred.alias("residuals_centred"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+@register("snapshot_round_trip", f"""
+WITH {O.gold_ctes()}
+SELECT row_id, source, round({TARGET}, 6) AS {TARGET}, 'gold' AS layer, (SELECT count(*) FROM gold) AS published_rows FROM gold""")
+def snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1 + SRC1 + SRC2: gold written as two runs; the newest published one is read back, by the best-gold rule as well."""
+    root, g = _scratch(spark, "snapshots"), _gold(spark, sf_dir).select("row_id", "source", TARGET)
+    write_snapshot(g.withColumn(TARGET, F.lit(0.0)), root, "gold", "20240101_000000")
+    write_snapshot(g, root, "gold", "20240102_000000")
+    newest = read_latest_snapshot(spark, root, "gold").select("row_id", "source", TARGET)
+    best = read_best_gold(spark, root).select("row_id", F.col(TARGET).alias("_best"))
+    rows = published_runs(spark, root, "gold").where("run_id = '20240102_000000'").select(F.col("rows").alias("published_rows"))
+    return newest.join(best, "row_id").where(F.col(TARGET).eqNullSafe(F.col("_best"))).crossJoin(F.broadcast(rows)).select(  # one row
+        "row_id", "source", r6(F.col(TARGET)).alias(TARGET), F.lit("gold").alias("layer"), "published_rows")
+
+
+@register("export_round_trip", f"""
+WITH {O.gold_ctes()}
+SELECT unnest(['csv', 'json']) AS format, row_id, source, array_to_string(market_tags, '|') AS tags, round({TARGET}, 6) AS {TARGET} FROM gold""")
+def export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2 + SNK3: gold exported as CSV (lists as JSON text) and as JSON records, and read back."""
+    root, g = _scratch(spark, "exports"), _gold(spark, sf_dir).select("row_id", "source", "market_tags", TARGET)
+    export_csv(g, f"{root}/csv")
+    export_json(g, f"{root}/json")
+    csv = spark.read.schema(f"row_id long, source string, market_tags string, {TARGET} double").option("header", True).option("escape", "\\") \
+        .csv(f"{root}/csv").withColumn("market_tags", F.from_json("market_tags", "array<string>"))
+    both = csv.withColumn("format", F.lit("csv")).unionByName(spark.read.schema(g.schema).json(f"{root}/json").withColumn("format", F.lit("json")))
+    return both.select("format", "row_id", "source", F.array_join("market_tags", "|").alias("tags"), r6(F.col(TARGET)).alias(TARGET))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import r6
@@ -12,10 +12,11 @@ from tidemark.models import knn as KNN
 from tidemark.models import lagged as LG
 from tidemark.models import regression as RG
 from tidemark.models.features import hash_split, numeric_features
+from tidemark.operators.clean import clean_articles
 from tidemark.operators.composite import engineer_features
 from tidemark.operators.validate import validate
 from tidemark.plans import oracle as O
-from tidemark.plans.pipeline import gold_features, silver_articles
+from tidemark.plans.pipeline import gold_features
 from tidemark.plans.registry import register
 from tidemark.session import cut_lineage, stored
 from tidemark.sources.views import articles
@@ -265,21 +266,24 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM articles) AS bronze_rows,
        (SELECT CAST(count(*) AS BIGINT) FROM mvalid) AS valid_rows,
        (SELECT CAST(count(*) AS BIGINT) FROM msilver) AS silver_rows,
        (SELECT CAST(count(*) AS BIGINT) FROM gold) AS gold_rows,
+       round((SELECT 100.0 * (1 - (SELECT count(*) FROM msilver) / count(*)) FROM articles), 6) AS removed_pct,
        (SELECT strftime(min("timestamp"), '%Y-%m-%d') FROM gold) AS first_day,
        (SELECT strftime(max("timestamp"), '%Y-%m-%d') FROM gold) AS last_day""")
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG21: rows in/out per stage and the covered date range (one aggregate per stage)."""
-    a = articles(spark, sf_dir)
-    valid, _ = validate(a, kind="market")
-    s = cut_lineage(silver_articles(spark, sf_dir))
-    g = engineer_features(s, row_order=False)  # the counts need no row order
-    one = lambda df, name: df.agg(F.count(F.lit(1)).cast("long").alias(name))
-    dates = g.agg(F.date_format(F.min("timestamp"), "yyyy-MM-dd").alias("first_day"),
-                  F.date_format(F.max("timestamp"), "yyyy-MM-dd").alias("last_day"))
-    out = one(a, "bronze_rows")
-    for df in (one(valid, "valid_rows"), one(s, "silver_rows"), one(g, "gold_rows"), dates):
-        out = out.crossJoin(df)  # each side is one aggregated row
-    return out
+    """AGG21: rows of each stage, counted while the stages run (``observe``): the bronze to silver plan runs once, as its
+    result is written, and gold is aggregated once.  (A stage that Spark runs again after losing an executor may be
+    counted again; the written rows are not.)"""
+    seen = {name: Observation(name) for name in ("bronze", "valid", "silver")}
+    watch = lambda df, name: df.observe(seen[name], F.count(F.lit(1)).alias("rows"))
+    valid, _ = validate(watch(articles(spark, sf_dir), "bronze"), kind="market")
+    silver = stored(watch(clean_articles(watch(valid, "valid"), kind="market"), "silver"))
+    rows = {name: seen[name].get["rows"] for name in seen}
+    g = engineer_features(silver, row_order=False)  # the counts need no row order
+    removed = F.lit(100.0 * (1 - rows["silver"] / rows["bronze"]) if rows["bronze"] else None).cast("double")
+    return g.agg(F.count(F.lit(1)).cast("long").alias("gold_rows"),
+                 F.date_format(F.min("timestamp"), "yyyy-MM-dd").alias("first_day"),
+                 F.date_format(F.max("timestamp"), "yyyy-MM-dd").alias("last_day")).select(
+        *[F.lit(rows[n]).cast("long").alias(f"{n}_rows") for n in seen], "gold_rows", r6(removed).alias("removed_pct"), "first_day", "last_day")
 
 
 @register("neural_regression")

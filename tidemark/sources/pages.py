@@ -119,9 +119,9 @@ def page_symbol(url: Column) -> Column:
 def extract_all_methods(pages: DataFrame, dim: DataFrame) -> DataFrame:
     """J7 + SRC3-SRC7 before the price filter: one row per page with the chained result."""
     p = pages.select("page_id", "url", "html", page_symbol(F.col("url")).alias("_sym"))
-    # the dimension is a handful of literal rows: a bounded broadcast
-    j = p.join(F.broadcast(dim.select("symbol", "asset", "asset_type", "priority")),
-               p["_sym"] == dim["symbol"], "left")
+    # no hint: Spark broadcasts a dimension that its size shows to be small
+    dim = dim.select("symbol", "asset", "asset_type", "priority")
+    j = p.join(dim, p["_sym"] == dim["symbol"], "left")
     html = F.col("html")
     chosen = F.coalesce(by_element(html, F.coalesce(F.col("symbol"), F.col("_sym"))), by_regex(html),
                         by_json(html), by_meta(html))

@@ -1,8 +1,10 @@
 """Layer snapshots (SRC1, SRC2, SNK1-SNK3).
 
-A layer (bronze / silver / gold / predictions) is one Parquet dataset partitioned by ``run_id``;
-"the latest snapshot" is a partition filter on ``max(run_id)``, so only that run's files are read.
-Nothing here deletes data (D19): unreadable or tiny files are skipped by the reader, never removed.
+A layer (bronze / silver / gold / predictions) is one folder with a Parquet dataset per ``run_id``.  A run is
+written first and published after: the manifest ``_published/<layer>`` gets one small file with the run id and
+its rows once all of its files are there, and readers take only published runs, so none ever sees half a run.
+The number of rows is observed while they are written; an empty run is not published.  Nothing here deletes
+data (D19): unreadable or tiny files are skipped by the reader, never removed.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,29 +22,45 @@ def new_run_id(now: _dt.datetime | None = None) -> str:
 
 
 def write_snapshot(df: DataFrame, root: str, layer: str, run_id: str | None = None) -> str | None:
-    """SNK1: append one run to ``root/layer`` partitioned by ``run_id``; an empty frame writes nothing
-    and returns None.  Returns the run id."""
-    if df.isEmpty():
-        return None
+    """SNK1: write one run of ``root/layer`` and publish it; an empty frame publishes nothing and returns None.  Returns
+    the run id.  The plan runs once.  What an attempt left behind that was never published is written anew; a published
+    run is never changed."""
     rid = run_id or new_run_id()
-    df.withColumn("run_id", F.lit(rid)).write.mode("append").partitionBy("run_id").parquet(f"{root}/{layer}")
+    runs = published_runs(df.sparkSession, root, layer)
+    if runs is not None and not runs.where(F.col("run_id") == rid).isEmpty():
+        raise ValueError(f"run {rid} of {layer} is published already")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{root}/{layer}/run_id={rid}")
+    if not seen.get["rows"]:
+        return None
+    df.sparkSession.createDataFrame([(seen.get["rows"],)], "rows long").coalesce(1) \
+        .write.parquet(f"{root}/_published/{layer}/run_id={rid}")
     return rid
 
 
-def _layer(spark: SparkSession, root: str, layer: str) -> DataFrame | None:
-    """The layer's table, or None if its path does not exist; any other error is raised."""
+def published_runs(spark: SparkSession, root: str, layer: str) -> DataFrame | None:
+    """(run_id, rows) of the published runs, or None if there are none; any other error is raised."""
     try:
-        return spark.read.parquet(f"{root}/{layer}")
+        return spark.read.schema("rows long, run_id string").parquet(f"{root}/_published/{layer}")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def _layer(spark: SparkSession, root: str, layer: str) -> DataFrame | None:
+    """The layer's published runs, or None."""
+    runs = published_runs(spark, root, layer)
+    if runs is None:
+        return None
+    ids = [r["run_id"] for r in runs.select("run_id").collect()]  # one per run
+    return spark.read.option("basePath", f"{root}/{layer}").parquet(*[f"{root}/{layer}/run_id={i}" for i in ids])
+
+
 def latest_run_id(spark: SparkSession, root: str, layer: str) -> str | None:
-    """The newest run of a layer (reads only the partition column)."""
-    df = _layer(spark, root, layer)
-    return df.agg(F.max("run_id")).first()[0] if df is not None else None
+    """The newest published run of a layer (reads only the manifest)."""
+    runs = published_runs(spark, root, layer)
+    return runs.agg(F.max("run_id")).first()[0] if runs is not None else None
 
 
 def read_latest_snapshot(spark: SparkSession, root: str, layer: str, schema: T.StructType | None = None) -> DataFrame:
@@ -51,7 +69,7 @@ def read_latest_snapshot(spark: SparkSession, root: str, layer: str, schema: T.S
     if rid is None:
         raise FileNotFoundError(f"no {layer} snapshots under {root}")
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(f"{root}/{layer}").where(F.col("run_id") == F.lit(rid))
+    return reader.option("basePath", f"{root}/{layer}").parquet(f"{root}/{layer}/run_id={rid}")
 
 
 def read_best_gold(spark: SparkSession, root: str, run_id: str | None = None, min_file_bytes: int = 100) -> DataFrame:

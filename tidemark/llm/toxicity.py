@@ -18,7 +18,6 @@ examples without such terms; without labels every score is 0; of several labels
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,11 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.arrowtext import NOT_ALNUM, SpanHasher, U64, chunks, mix, words
-from tidemark.llm.tables import BROADCAST_ROWS, held_out, stored
+from tidemark.llm.tables import held_out, stored
 from tidemark.llm.token_files import release
 
 MAX_EXAMPLES = 20_000
 TEXT_BYTES = 1 << 20
+BATCH_ROWS = 1024
 MIN_DOCS = 5
 MIN_EVIDENCE = 20.0
 PREFIXES = (4, 5, 6)
@@ -198,14 +198,24 @@ class Model:
     def calibrated(self, vote):
         return vote if self.knots is None else np.interp(vote, *self.knots)
 
+    def judged(self, values, owners, n_texts):
+        """(score per text, texts with neighbours, their neighbours, cosines)."""
+        score = np.full(n_texts, self.empty_rate)
+        text, term, weight = self.vectors(values, owners, n_texts)
+        if not len(text) or self.example is None or not len(self.example):
+            return score, None, None, None
+        queries, index, cosine = self.nearest(text, term, weight)
+        score[queries] = self.calibrated(self.votes(index, cosine))
+        return score, queries, index, cosine
+
+    def score_only(self, values, owners, n_texts):
+        return np.clip(self.judged(values, owners, n_texts)[0], 0, 1)
+
     def scores(self, values, owners, n_texts):
         """(score per text, evidence per text)."""
-        score = np.full(n_texts, self.empty_rate)
         evidence: list[list[dict]] = [[] for _ in range(n_texts)]
-        text, term, weight = self.vectors(values, owners, n_texts)
-        if len(text) and self.example is not None and len(self.example):
-            queries, index, cosine = self.nearest(text, term, weight)
-            score[queries] = self.calibrated(self.votes(index, cosine))
+        score, queries, index, cosine = self.judged(values, owners, n_texts)
+        if queries is not None:
             for q, ids, near in zip(queries.tolist(), index.tolist(), cosine.tolist(), strict=True):
                 evidence[q] = [{"doc_id": int(self.example["doc_id"][i]), "cosine": c,
                                 "toxic": float(self.example["toxic"][i] / self.example["copies"][i])}
@@ -417,11 +427,17 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, all columns kept.  Only the texts go through Arrow: a row is known by
-    its number, written once."""
-    key = f"row_{uuid.uuid4().hex}"
-    rows = stored(documents.withColumn(key, F.monotonically_increasing_id()))
-    scored = with_scores(rows.select(key, "text"), fit(documents, labels))
-    toxic = stored(scored.where(F.col(SCORE) >= 0.5).select(key))
-    few = toxic.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(toxic) if few else toxic, key, "left_anti").select(*[f"`{c}`" for c in documents.columns])
+    """The documents that are not predicted toxic, all columns kept: the rows go through once, nothing is joined or
+    stored."""
+    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels))
+    at = documents.columns.index("text")
+
+    def keep(batches):
+        release()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(lo, BATCH_ROWS)
+                scores = [shared.value.score_only(*chunk) for chunk in _terms(part.column(at))]
+                yield part.filter(pa.array(np.concatenate(scores) < 0.5))
+
+    return documents.mapInArrow(keep, documents.schema)

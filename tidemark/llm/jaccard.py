@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.arrowtext import POSITION_CODE, U64, WHITE_SPACE, chunks, mix, shingles, span_hashes, words
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import BROADCAST_ROWS, cut, discard, stored
+from tidemark.llm.tables import BROADCAST_ROWS, cut, discard, stored, tidy
 
 GROUP_SETS = 1024
 GROUP_SHINGLES = 1 << 18
@@ -287,6 +287,7 @@ def _proposals(shared: DataFrame, labels: DataFrame) -> DataFrame:
 def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80,
                        group_sets: int = GROUP_SETS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id."""
+    spark = documents.sparkSession
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(document_sets(documents, k))
     owners = sets.where("sid is not null and doc_id is not null").groupBy("sid").agg(
@@ -295,16 +296,19 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80,
     rows = matrix_rows(documents, k, percent).repartition("token")
     several = rows.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo != hi").select("token")
     shared = stored(rows.join(several, "token").distinct())
+    tidy(spark)  # after each of the large steps, else their shuffles stay until the end
     keys = shared.groupBy("sid").agg(F.min("token").alias("key")).join(owners, "sid")
     pieces = keys.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / group_sets), F.ceil(F.sum("n") / group_shingles)).alias("pieces"))
     groups = stored(keys.join(pieces, "key").select(
         "sid", "rep", F.xxhash64("key", F.pmod(F.xxhash64("sid"), F.col("pieces"))).alias("gid")))
     members = stored(_members(documents, groups, k).dropDuplicates(["sid"]))
+    tidy(spark)
     unsettled = members.withColumn("component", F.lit(None).cast("long"))
 
     sizes = groups.groupBy("gid").agg(F.count("*").alias("n"))
     own = sizes.where("n > 1").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
     found = [stored(_open_pairs(own, unsettled, percent))]
+    tidy(spark)
     labels = cut(connected_components(found[0]).withColumnRenamed("node", "sid"))
     tested = []
     for _ in range(2):
@@ -313,6 +317,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80,
         found.append(stored(_test_pairs(pairs, members, percent)))
         links = found[0].unionByName(found[1]) if len(found) == 2 else found[0].unionByName(found[1]).unionByName(found[2])
         labels = cut(connected_components(links).withColumnRenamed("node", "sid"))
+        tidy(spark)
 
     settled = shared.join(groups.select("sid", "gid"), "sid").join(labels, "sid", "left").select(
         "token", "gid", F.coalesce("component", "sid").alias("component")).distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,3 +50,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def held_out(doc_id):
     """True where crc32 of the id as text, modulo 5, is 0: rows that no model learns from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark delete the shuffles of plans that are done: it does so once the driver has collected them as garbage."""
+    gc.collect()
+    spark._jvm.System.gc()

@@ -65,6 +65,29 @@ def test_families_of_near_copies(spark, k, percent, group):
     assert run(spark, docs, k, percent, group_sets=group) == brute(docs, k, percent)
 
 
+def test_family_mostly_just_below_the_threshold(spark):
+    """Members differ from their base by so much that most, but not all, pairs of them fail."""
+    docs = list(enumerate([*variants(5, 40, 200, 3), *variants(5, 20, 200, 2), *variants(6, 30, 40, 1)]))
+    want = brute(docs, 3, 90)
+    assert 5 < len({c for _, c in want.values()}) < len(docs)
+    for group in (3, 1024):
+        assert run(spark, docs, group_sets=group) == want
+
+
+def test_needed_tokens_are_shared_by_every_linked_pair():
+    rng = np.random.default_rng(3)
+    bands = jaccard.Bands(90)
+    for size in (1, 2, 9, 40, 300):
+        for _ in range(40):
+            whole = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            gone = int(rng.integers(0, size // 10 + 1))
+            sets = [whole, np.sort(rng.permutation(whole)[gone:])]
+            values, bounds = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+            token, owner = bands.tokens(values, bounds)
+            both = len(np.intersect1d(token[owner == 0], token[owner == 1]))
+            assert (bands.needed(values, bounds) <= both).all()
+
+
 def test_nulls_repeats_and_clashing_columns(spark):
     rows = [(3, "a b c d", 1), (3, "a b c d", 1), (1, "A b  c d", 2), (5, None, 3), (None, "a b c d", 4), (None, "x y z", 5), (7, "", 6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, component_id int")

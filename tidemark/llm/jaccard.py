@@ -11,16 +11,19 @@ Documents are sets of k-word shingles (64-bit hashes).  Two documents link when
    *token* of the matrix; a passage that many documents share does not fill whole segments, so it makes no
    candidates.  Where so many segments are empty that the equal one might be empty, the set also emits its
    empty segments; a pair needs that only if both sets are so.
-3. Similar sets form groups: same smallest shared token, large groups dealt into pieces of about
-   ``GROUP_SETS`` sets and ``GROUP_SHINGLES`` shingles.  The distinct rows (token, group) are the
-   token-group matrix.
-4. Group pairs that share a matrix row are candidates.  Where two groups meet, the group's shingle union
-   bounds the overlap with each query set: only if ``100 * |Q and union| >= percent * max(|Q|, smallest
-   member)`` the group is opened and the exact overlaps with its members are counted.
+3. Similar sets form groups: same most frequent token, so that a family of near copies falls into few groups;
+   large groups are dealt into pieces of about ``GROUP_SETS`` sets and ``GROUP_SHINGLES`` shingles.  The
+   distinct rows (token, group) are the token-group matrix.
+4. A set is held against a group only if the matrix says so: of its own filled segments at most d differ from
+   those of a linked set, so ``filled - d`` of its tokens (one at least) must be in the group's token union.  These
+   counts are summed by (set, group) before any set moves.  Of two groups the sets of the smaller one ask.
+   Where a set meets a group that it qualifies for, the group's shingle union bounds the overlap: only if
+   ``100 * |Q and union| >= percent * max(|Q|, smallest member)`` the exact overlaps with its members are
+   counted.  A group is sent once per ``GROUP_SETS`` asking sets, not once per pair of groups.
 5. Rounds, each with the components that the links so far make.  First every group is opened with itself.
    Then, twice, every matrix row proposes one pair of sets between its first component and each other one
-   (linear in the number of rows); this joins what belongs together across groups.  Last, all group pairs of
-   the rows that still hold two components are opened.  No pair that could link different components is
+   (linear in the number of rows); this joins what belongs together across groups.  Last, the sets ask the
+   groups that hold another component in one of their rows.  No pair that could link different components is
    left out, so the result is exact.
 
 Defined results: a null or blank text has no shingles, links with nothing and is its own component;
@@ -115,6 +118,21 @@ class Bands:
         return np.concatenate(tokens), np.concatenate(owners)
 
 
+    def needed(self, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Number of its tokens that every set which links with it has at least, for sets as in ``tokens``."""
+        n = np.diff(bounds)
+        text = np.repeat(np.arange(len(n)), n)
+        own = np.searchsorted(self.edges, np.maximum(n, 1), side="right") - 1
+        least = np.full(len(n), np.iinfo(np.int64).max)
+        for band in (own, own - 1):
+            segment = ((values >> U64(32)) * np.where(band >= 0, self.segments[band], 0)[text].astype(U64)) >> U64(32)
+            new = np.ones(len(values), dtype=bool)
+            new[1:] = (text[1:] != text[:-1]) | (segment[1:] != segment[:-1])
+            filled = np.bincount(text[new], minlength=len(n))
+            least = np.where(band >= 0, np.minimum(least, filled - self.allowed[band]), least)
+        return np.maximum(least, 1)
+
+
 def _slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Few sets at a time, so that only these become Python objects."""
     for batch in batches:
@@ -161,16 +179,19 @@ def document_sets(documents: DataFrame, k: int) -> DataFrame:
 
 
 def matrix_rows(documents: DataFrame, k: int, percent: int) -> DataFrame:
-    """(token, sid) of all sets; a set that repeats within a batch gives its rows once."""
+    """(token, sid) of all sets; a set that repeats within a partition gives its rows once."""
     def rows(batches):
         bands = Bands(percent)
+        seen = set()  # a number per different set of this partition
         for batch in batches:
             if not batch.num_rows:
                 continue
             for values, bounds in shingle_sets(batch.column(0), k):
                 ids = _digests(values, bounds)
                 once = np.zeros(len(ids), dtype=bool)
-                once[np.unique(ids, return_index=True)[1]] = True
+                first = np.unique(ids, return_index=True)[1]
+                once[[i for i, sid in zip(first.tolist(), ids[first].tolist(), strict=True) if sid not in seen]] = True
+                seen.update(ids[once].tolist())
                 token, owner = bands.tokens(values, bounds)
                 kept = once[owner]
                 yield pa.RecordBatch.from_arrays(
@@ -179,25 +200,28 @@ def matrix_rows(documents: DataFrame, k: int, percent: int) -> DataFrame:
     return documents.select("text").mapInArrow(rows, "token long, sid long")
 
 
-def _members(documents: DataFrame, groups: DataFrame, k: int) -> DataFrame:
-    """(gid, sid, tokens) of every grouped set, its shingles as little-endian 64-bit hashes.
+def _members(documents: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
+    """(gid, sid, tokens, needed) of every grouped set, its shingles as little-endian 64-bit hashes.
 
     ``groups``: (gid, sid, rep), rep being a document with this set."""
     def sets(batches):
+        bands = Bands(percent)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found, same = [], []
+            found, same, needed = [], [], []
             for values, bounds in shingle_sets(batch.column(2), k):
+                needed.append(bands.needed(values, bounds))
                 same.append(_digests(values, bounds).view(np.int64))
                 found += [values[lo:hi].tobytes() for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             right = pa.array(np.concatenate(same) == np.asarray(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())],
-                                             names=["gid", "sid", "tokens"]).filter(right)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary()),
+                                              pa.array(np.concatenate(needed))],
+                                             names=["gid", "sid", "tokens", "needed"]).filter(right)
 
     wanted = F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
     texts = documents.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("gid", "sid", "text")
-    return texts.mapInArrow(sets, "gid long, sid long, tokens binary")
+    return texts.mapInArrow(sets, "gid long, sid long, tokens binary, needed long")
 
 
 def _links(query: list[tuple], group: list[tuple], percent: int, same: bool) -> list[tuple[int, int]]:
@@ -242,35 +266,66 @@ def _links(query: list[tuple], group: list[tuple], percent: int, same: bool) ->
     return out
 
 
-def _open_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found in the group pairs (g1, g2); g1 = g2 opens a group with itself.
-
-    ``members``: (gid, sid, component or null, tokens)."""
-    left = pairs.join(members.withColumnRenamed("gid", "g1"), "g1").select("g1", "g2", F.lit(0).alias("side"), "sid", "component", "tokens")
-    right = pairs.where("g1 != g2").join(members.withColumnRenamed("gid", "g2"), "g2").select(
-        "g1", "g2", F.lit(1).alias("side"), "sid", "component", "tokens")
+def _open(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the members (side 0) and the asking sets (side 1) of every (gid, piece); a group
+    without asking sets is opened with itself.
 
+    ``rows``: (gid, piece, side, sid, component or null, tokens)."""
     def search(batches):
         def links(rows):
             sides = [[r[1:] for r in rows if r[0] == s] for s in (0, 1)]
             same = not sides[1]
-            return _links(sides[0], sides[0] if same else sides[1], percent, same) if sides[0] else []
+            return _links(sides[0] if same else sides[1], sides[0], percent, same) if sides[0] else []
 
         key, rows = None, []
         for batch in _slices(batches):
             found = []
-            for g1, g2, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (g1, g2) != key:
+            for gid, piece, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (gid, piece) != key:
                     found.extend(links(rows))
-                    key, rows = (g1, g2), []
+                    key, rows = (gid, piece), []
                 rows.append(row)
             if found:
                 yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=EDGE)
         if rows and (found := links(rows)):
             yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=EDGE)
 
-    return left.unionByName(right).repartition("g1", "g2").sortWithinPartitions("g1", "g2", "side", "sid") \
-        .mapInArrow(search, "a long, b long")
+    return rows.select("gid", "piece", "side", "sid", "component", "tokens").repartition("gid", "piece") \
+        .sortWithinPartitions("gid", "piece", "side", "sid").mapInArrow(search, "a long, b long")
+
+
+def _ask(queries: DataFrame, members: DataFrame, percent: int, group_sets: int, group_shingles: int) -> DataFrame:
+    """Links (a, b) of the sets in ``queries`` (gid, sid) with the members of the groups they ask.
+
+    The asking sets of a group are dealt into pieces of bounded size, each with its copy of the group.
+    ``members``: (gid, sid, component, tokens)."""
+    sets = members.select("sid", "component", "tokens")
+    sized = queries.join(members.select("sid", F.length("tokens").alias("bytes")), "sid")
+    pieces = sized.groupBy("gid").agg(F.greatest(
+        F.ceil(F.count("*") / group_sets), F.ceil(F.sum("bytes") / (8 * group_shingles))).alias("pieces"))
+    asking = queries.join(pieces, "gid").select(
+        "gid", F.pmod(F.xxhash64("sid"), F.col("pieces")).alias("piece"), F.lit(1).alias("side"), "sid").join(sets, "sid")
+    asked = members.join(pieces, "gid").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))) \
+        .withColumn("side", F.lit(0))
+    return _open(asking.unionByName(asked.select(*asking.columns)), percent)
+
+
+def _asks(shared: DataFrame, placed: DataFrame, needed: DataFrame) -> DataFrame:
+    """(gid, sid): the sets that must be held against a group, by the rows of the token-group matrix alone.
+
+    ``placed``: (sid, gid, size of the group, component); ``needed``: (sid, needed)."""
+    held = shared.join(placed, "sid")
+    mixed = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where("lo != hi").select("token")
+    mixed = stored(held.join(mixed, "token"))
+    matrix = mixed.groupBy("token", "gid", "size").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    counts = mixed.alias("x").join(matrix.alias("y"), F.expr(
+        "x.token = y.token and (x.size < y.size or x.size = y.size and x.gid < y.gid)"
+        " and (x.component != y.lo or x.component != y.hi)")) \
+        .groupBy(F.col("x.sid").alias("sid"), F.col("y.gid").alias("gid")).agg(F.count("*").alias("n"))
+    asks = stored(counts.join(needed, "sid").where("n >= needed").select("gid", "sid"))
+    discard(mixed)
+    return asks
 
 
 EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -297,46 +352,38 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80,
     several = rows.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo != hi").select("token")
     shared = stored(rows.join(several, "token").distinct())
     tidy(spark)  # after each of the large steps, else their shuffles stay until the end
-    keys = shared.groupBy("sid").agg(F.min("token").alias("key")).join(owners, "sid")
+    often = shared.groupBy("token").agg(F.count("*").alias("often"))
+    keys = shared.join(often, "token").groupBy("sid").agg(F.max(F.struct("often", "token")).alias("top")) \
+        .join(owners, "sid").withColumn("key", F.col("top.token"))
     pieces = keys.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / group_sets), F.ceil(F.sum("n") / group_shingles)).alias("pieces"))
     groups = stored(keys.join(pieces, "key").select(
         "sid", "rep", F.xxhash64("key", F.pmod(F.xxhash64("sid"), F.col("pieces"))).alias("gid")))
-    members = stored(_members(documents, groups, k).dropDuplicates(["sid"]))
+    members = stored(_members(documents, groups, k, percent).dropDuplicates(["sid"]))
     tidy(spark)
-    unsettled = members.withColumn("component", F.lit(None).cast("long"))
 
-    sizes = groups.groupBy("gid").agg(F.count("*").alias("n"))
-    own = sizes.where("n > 1").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
-    found = [stored(_open_pairs(own, unsettled, percent))]
+    sizes = groups.groupBy("gid").agg(F.count("*").alias("size"))
+    own = members.join(sizes.where("size > 1"), "gid").select(
+        "gid", F.lit(0).alias("piece"), F.lit(0).alias("side"), "sid", F.lit(None).cast("long").alias("component"), "tokens")
+    found = [stored(_open(own, percent))]
     tidy(spark)
     labels = cut(connected_components(found[0]).withColumnRenamed("node", "sid"))
-    tested = []
     for _ in range(2):
         pairs = stored(_proposals(shared, labels))
-        tested.append(pairs)
         found.append(stored(_test_pairs(pairs, members, percent)))
+        discard(pairs)
         links = found[0].unionByName(found[1]) if len(found) == 2 else found[0].unionByName(found[1]).unionByName(found[2])
         labels = cut(connected_components(links).withColumnRenamed("node", "sid"))
         tidy(spark)
 
-    settled = shared.join(groups.select("sid", "gid"), "sid").join(labels, "sid", "left").select(
-        "token", "gid", F.coalesce("component", "sid").alias("component")).distinct()
-    mixed = settled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo != hi").select("token")
-    mixed = stored(settled.join(mixed, "token"))
-    # group pairs of one set each that a proposal has tested are done
-    alone = groups.join(sizes.where("n = 1").select("gid"), "gid").select("sid", "gid")
-    done = tested[0].unionByName(tested[1]).join(alone.select(F.col("sid").alias("a"), F.col("gid").alias("x")), "a") \
-        .join(alone.select(F.col("sid").alias("b"), F.col("gid").alias("y")), "b") \
-        .select(F.least("x", "y").alias("g1"), F.greatest("x", "y").alias("g2")).distinct()
-    rest = mixed.alias("x").join(mixed.alias("y"), F.expr(
-        "x.token = y.token and x.gid < y.gid and x.component != y.component")).select(
-        F.col("x.gid").alias("g1"), F.col("y.gid").alias("g2")).distinct() \
-        .join(done, ["g1", "g2"], "left_anti")
-    labelled = members.join(labels, "sid", "left").select("gid", "sid", "component", "tokens")
-    more = stored(_open_pairs(rest, labelled, percent))
+    placed = stored(groups.join(sizes, "gid").join(labels, "sid", "left").select(
+        "sid", "gid", "size", F.coalesce("component", "sid").alias("component")))
+    asks = _asks(shared, placed, members.select("sid", "needed"))
+    tidy(spark)
+    labelled = members.select("gid", "sid", "tokens").join(placed.select("sid", "component"), "sid")
+    more = stored(_ask(asks, labelled, percent, group_sets, group_shingles))
+    tidy(spark)
     component = cut(connected_components(links.unionByName(more)).withColumnRenamed("node", "sid"))
-    discard(shared, groups, members, mixed, more, *found, *tested)
+    discard(shared, groups, members, placed, asks, more, *found)
 
     # the smallest document of each component
     owner = owners.join(component, "sid", "left").select("sid", "rep", F.coalesce("component", "sid").alias("component"))

@@ -11,10 +11,12 @@ from tidemark.config import BINDING_CATEGORIES, BINDING_KEYWORDS, BINDING_LEXICO
 from tidemark.operators.composite import text_features
 from tidemark.operators.ordering import global_index
 from tidemark.operators.temporal import daily_features
+from tidemark.operators.term_tables import category_table, keyword_table, lexicon_table, text_features_from_tables
 from tidemark.operators.validate import detect_kind, violation_counts
 from tidemark.plans import oracle as O
 from tidemark.plans.pipeline import BINDING_TYPE_TO_CATEGORY, gold_features, silver_articles
 from tidemark.plans.registry import register
+from tidemark.session import stored
 from tidemark.sources.views import articles
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -127,6 +129,20 @@ def text_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[f"mentions_{c}" for c in BINDING_CATEGORIES])
 
 
+@register("text_features_from_tables", f"""
+WITH {O.ARTICLES}, {MARKET_SILVER}, {O.text_features_cte('msilver')}
+SELECT {_text_cols_sql()} FROM textf2""")
+def text_features_from_tables_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC9 + J5: the same features with the keywords, categories and the lexicon as tables joined to the texts."""
+    t = text_features_from_tables(
+        stored(market_silver(spark, sf_dir).select("row_id", "headline", "asset_type", "change_percent")), keyword_table(spark, BINDING_KEYWORDS),
+        category_table(spark, BINDING_CATEGORIES), lexicon_table(spark, BINDING_LEXICON), BINDING_TYPE_TO_CATEGORY)
+    return t.select("row_id", *[r6(F.col(c)).alias(c) for c in (
+        "sentiment_polarity", "sentiment_subjectivity", "vader_compound", "combined_sentiment",
+        "keyword_stress_score")], "headline_length", "word_count",
+        *[f"mentions_{c}" for c in BINDING_CATEGORIES])
+
+
 @register("daily_features", f"""
 WITH {O.ARTICLES}, {MARKET_SILVER}, {O.temporal_cte('msilver')}
 SELECT strftime(date, '%Y-%m-%d') AS date, daily_article_count, round(rolling_7d_mean, 6) AS rolling_7d_mean,

@@ -101,10 +101,19 @@ def lexicon_scores(df: DataFrame, lexicon: DataFrame, text: str = "headline",
         *[F.max(c).alias(c) for c in ("valence", "polarity", "subjectivity", "booster", "negated", "negated_next")]).where(is_scored)
     v = F.coalesce("valence", F.lit(0.0))
     v = v + F.signum(v) * F.coalesce("booster", F.lit(0.0)) * F.lit(VADER_BOOSTER_INCREMENT)
-    at = at.select("row_id", F.when(F.col("negated"), v * F.lit(VADER_NEGATION_SCALAR)).otherwise(v).alias("v"),
-                   (F.col("polarity") * F.when(F.col("negated_next"), -0.5).otherwise(1.0)).alias("p"), "subjectivity")
-    return at.groupBy("row_id").agg(F.sum("v").alias("_valence"), F.avg("p").alias("sentiment_polarity"),
-                                    F.avg("subjectivity").alias("sentiment_subjectivity"))
+    at = at.select("row_id", F.struct(
+        "at", F.when(F.col("negated"), v * F.lit(VADER_NEGATION_SCALAR)).otherwise(v).alias("v"),
+        (F.col("polarity") * F.when(F.col("negated_next"), -0.5).otherwise(1.0)).alias("p"), F.col("subjectivity").alias("s")).alias("x"))
+    # a text's values are added up in its own order (at most one per token), so that no partitioning changes a last digit
+    values = at.groupBy("row_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+
+    def total(name: str) -> Column:
+        return F.aggregate("xs", F.lit(0.0), lambda acc, x: acc + F.coalesce(x[name], F.lit(0.0)))
+
+    def mean(name: str) -> Column:
+        return F.try_divide(total(name), F.size(F.filter("xs", lambda x: x[name].isNotNull())).cast("double"))
+
+    return values.select("row_id", total("v").alias("_valence"), mean("p").alias("sentiment_polarity"), mean("s").alias("sentiment_subjectivity"))
 
 
 def term_matches(df: DataFrame, terms: DataFrame, text: str = "headline",

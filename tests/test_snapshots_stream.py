@@ -54,3 +54,16 @@ def test_incremental_silver(spark):
     out = spark.read.parquet(f"{root}/silver")
     assert out.count() == 1 and out.first()["row_id"] == 1
     assert out.where(F.col("snippet").endswith("[Price: $10.00]")).count() == 1
+
+
+def test_replayed_batch_and_split_run(spark):
+    from tidemark.streaming.snapshots import read_silver, write_batch
+
+    root = tempfile.mkdtemp(prefix="tm-replay-", dir="/tmp") + "/silver"
+    schema = "row_id long, headline string, timestamp string, price double, run_id string"
+    first = spark.createDataFrame([(1, "Markets fall sharply today", "2024-01-01T00:00:00", 10.0, "r1"), (2, "Other headline", "2024-01-01T00:00:00", 1.0, "r1")], schema)
+    second = spark.createDataFrame([(3, "Markets fall sharply today", "2024-01-01T00:00:00", 10.0, "r1"), (4, "Markets fall sharply today", "2024-01-01T00:00:00", 10.0, "r2")], schema)
+    for batch, batch_id in ((first, 0), (first, 0), (second, 1), (second, 1)):  # every batch is replayed after its write
+        write_batch(batch, batch_id, root)
+    assert spark.read.parquet(root).count() == 4
+    assert sorted((r.row_id, r.run_id) for r in read_silver(spark, root).collect()) == [(1, "r1"), (2, "r1"), (4, "r2")]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.models.boosting import BoostedModel, fit_boosted
 from tidemark.models.features import assemble, fill_zero, stratified_split
+from tidemark.operators.ordering import global_index
 from tidemark.operators.quantiles import exact_quantiles
 
 CLASSES = ("low", "medium", "high")
@@ -24,12 +25,22 @@ CLASSES = ("low", "medium", "high")
 
 def regime_labels(df: DataFrame, score: str = "weighted_stress_score", q_low: float = 0.33,
                   q_high: float = 0.67) -> DataFrame:
-    """ML7b: ``label`` (0/1/2) and ``regime_label`` from the score quantiles (exact, over the row index)."""
-    lo, hi = exact_quantiles(df, [score], (q_low, q_high))[score]
-    s = F.col(score)
-    idx = F.when(s < F.lit(lo), 0).when(s > F.lit(hi), 2).otherwise(1) if lo is not None else F.lit(1)
+    """ML7b: ``label`` (0/1/2) and ``regime_label`` from the score quantiles (exact, over the row index).  Without a score
+    column, or without any value in it, by position in (timestamp, row_id) order: the first third (rounded down) is low, the last
+    third (rounded up) high; fewer than 3 rows are all medium."""
+    lo, hi = exact_quantiles(df, [score], (q_low, q_high))[score] if score in df.columns else (None, None)
+    if lo is None:
+        n = df.count()
+        keys = ["timestamp", "row_id"]
+        idx = F.lit(1)
+        if n >= 3:
+            df = df.join(global_index(df.select(*keys), keys, "_idx").select("row_id", "_idx"), "row_id")
+            idx = F.when(F.col("_idx") > n - (n + 2) // 3, 2).when(F.col("_idx") <= n // 3, 0).otherwise(1)
+    else:
+        s = F.col(score)
+        idx = F.when(s < F.lit(lo), 0).when(s > F.lit(hi), 2).otherwise(1)
     return df.withColumn("label", idx.cast("double")).withColumn(
-        "regime_label", F.element_at(F.array(*[F.lit(c) for c in CLASSES]), idx.cast("int") + 1))
+        "regime_label", F.element_at(F.array(*[F.lit(c) for c in CLASSES]), F.col("label").cast("int") + 1)).drop("_idx")
 
 
 #: Fewer rows than this are all used for training.

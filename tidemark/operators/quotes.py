@@ -92,9 +92,11 @@ def mover_articles(q: DataFrame) -> DataFrame:
         F.col("asset_type"), F.col("priority"), F.lit("mover").alias("article_kind"))
 
 
-def overview_articles(q: DataFrame, run_col: str = "run_id", max_chars: int | None = None) -> DataFrame:
+def overview_articles(q: DataFrame, run_col: str = "run_id", max_chars: int | None = None,
+                      stats: DataFrame | None = None) -> DataFrame:
     """AGG4 + TOP5: one overview article per run; per asset type (alphabetical) the quotes ordered by
-    abs(change%) descending; ``max_chars`` cuts the snippet (default: whole)."""
+    abs(change%) descending; ``max_chars`` cuts the snippet (default: whole).  ``stats`` (``extraction_stats`` by run) adds
+    ``scraper_stats``, NULL for a run without statistics."""
     chg = F.coalesce(F.col("change_percent"), F.lit(0.0))
     line = F.concat(F.lit("  "), F.when(chg > 0, "UP").otherwise("DOWN"), F.lit(" "), F.col("asset"),
                     F.lit(": $"), fmt_fixed("price", 2), F.lit(" ("), fmt_signed(chg, 2), F.lit("%)"))
@@ -122,8 +124,11 @@ def overview_articles(q: DataFrame, run_col: str = "run_id", max_chars: int | No
     snippet = F.concat(header, F.lit("\n"), body)
     if max_chars is not None:
         snippet = F.substring(snippet, 1, max_chars)
+    if stats is not None:
+        j = j.join(stats.select(run_col, F.struct(*[c for c in stats.columns if c != run_col]).alias("scraper_stats")), run_col, "left")
+    extra = ["scraper_stats"] if stats is not None else []
     return j.select(
-        run_col, F.concat(F.lit("Market Overview - Stress Level "), score, F.lit("/10")).alias("headline"),
+        run_col, *extra, F.concat(F.lit("Market Overview - Stress Level "), score, F.lit("/10")).alias("headline"),
         snippet.alias("snippet"), "timestamp", "asset_tags", F.lit("overview://").alias("url"), "source",
         F.col("timestamp").alias("scraped_at"), "market_stress_score", "data_points",
         F.transform("bl", lambda x: x["asset_type"]).alias("asset_types"),
@@ -136,10 +141,11 @@ def create_articles(q: DataFrame, run_col: str = "run_id") -> DataFrame:
     return overview_articles(dq, run_col).unionByName(mover_articles(dq), allowMissingColumns=True)
 
 
-def extraction_stats(extracted: DataFrame) -> DataFrame:
-    """AGG22: attempted / successful / failed and the success rate text (one row)."""
+def extraction_stats(extracted: DataFrame, run_col: str | None = None) -> DataFrame:
+    """AGG22: attempted / successful / failed and the success rate text (one row, or one per run)."""
     ok = F.count_if(F.col("price").isNotNull())
     n = F.count(F.lit(1))
     rate = F.when(n > 0, F.concat(fmt_fixed(ok * 100.0 / n, 1), F.lit("%"))).otherwise(F.lit("0%"))
-    return extracted.agg(n.cast("long").alias("total_requests"), ok.cast("long").alias("successful"),
+    groups = extracted.groupBy(*([run_col] if run_col else []))
+    return groups.agg(n.cast("long").alias("total_requests"), ok.cast("long").alias("successful"),
                          (n - ok).cast("long").alias("failed"), rate.alias("success_rate"))

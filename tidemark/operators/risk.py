@@ -122,6 +122,30 @@ def histogram(values: DataFrame, col: str, bins: int = 50, group: Sequence[str]
         .drop("_lo", "_hi")
 
 
+def normal_overlay(values: DataFrame, col: str, points: int = 100) -> DataFrame:
+    """AGG16: the normal density with the mean and sample deviation of ``col`` at ``points`` even places from its minimum
+    to its maximum: (point, x, density).  Fewer than two different values: densities are NULL; no value: no rows."""
+    s = values.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.avg(col).alias("m"), F.stddev_samp(col).alias("s"))
+    x = s.where("lo IS NOT NULL").select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    x = x.withColumn("x", F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(max(points - 1, 1)))
+    z = (F.col("x") - F.col("m")) / F.col("s")
+    density = F.exp(-z * z / 2) / (F.col("s") * F.sqrt(F.lit(2.0) * F.pi()))
+    return x.select(F.col("point").cast("int"), "x", F.when(F.col("s") > 0, density).alias("density"))
+
+
+def feature_histograms(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
+    """AGG16: (feature, bin, count, bin_start) of every column: one aggregate for all bounds, and one count by (feature, bin)
+    that is reduced where the rows are.  Empty bins and columns without values are not listed."""
+    bounds = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("_lo", F.min), ("_hi", F.max))])
+    one = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi"))
+           for i, c in enumerate(columns)]
+    x = df.select(*columns).crossJoin(F.broadcast(bounds)).select(F.inline(F.array(*one))).where("value IS NOT NULL")  # bounds: one row
+    width = (F.col("hi") - F.col("lo")) / bins
+    b = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    return x.groupBy("feature", b.cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).cast("long").alias("count")).select(
+        "feature", "bin", "count", (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins).alias("bin_start"))
+
+
 def regimes(series: DataFrame, window: int = 20, q: float = 0.75) -> DataFrame:
     """AGG17 + PRJ15: rolling volatility/return regimes against the volatility quantile ``q``."""
     rr = rolling_risk(returns(series), window, max(window, 2))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import CONFIDENCE_THRESHOLD, REGIME_BINS
 from tidemark.operators.ordering import blocked_window, global_index
@@ -138,6 +139,29 @@ def data_quality(df: DataFrame) -> DataFrame:
                   F.min("timestamp").alias("min_timestamp"))
 
 
+def columns_named(df: DataFrame, *patterns: str) -> list[str]:
+    """PRJ17: columns whose lower-cased name contains one of the patterns, in schema order."""
+    return [c for c in df.columns if any(p in c.lower() for p in patterns)]
+
+
+#: PRJ17: the name patterns of each role.
+ROLES = {"price": ("price", "close", "value"), "volume": ("volume",), "date": ("date", "time")}
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """AGG18 column lists, one row per column in one pass: ``kind`` (numeric, categorical for texts, else other), the roles its name
+    gives it (PRJ17, joined by ``|``) and its number of values that are not null."""
+    def kind(t: T.DataType) -> str:
+        return "numeric" if isinstance(t, T.NumericType) else "categorical" if isinstance(t, T.StringType) else "other"
+
+    named = {role: set(columns_named(df, *patterns)) for role, patterns in ROLES.items()}
+    counts = df.agg(*[F.count(F.col(f.name)).alias(f"n{i}") for i, f in enumerate(df.schema.fields)])
+    rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column"), F.lit(kind(f.dataType)).alias("kind"),
+                     F.lit("|".join(r for r in ROLES if f.name in named[r])).alias("roles"), F.col(f"n{i}").cast("long").alias("values"))
+            for i, f in enumerate(df.schema.fields)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def linear_trend(df: DataFrame, y: str = "weighted_stress_score") -> DataFrame:
     """AGG20: least-squares line of y against the 0-based row position (global order)."""
     idx = global_index(df.select(*ORDER, y), list(ORDER), "_idx")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import r6
-from tidemark.operators.quotes import create_articles, derive_quotes, extraction_stats, filter_priority, market_stress
+from tidemark.operators.quotes import (create_articles, derive_quotes, extraction_stats, filter_priority, market_stress,
+                                       overview_articles)
 from tidemark.plans import oracle as O
 from tidemark.plans.registry import register
 from tidemark.sources.pages import extract_all_methods, extract_quotes, page_elements
@@ -93,10 +94,10 @@ bl AS (
 overview AS (
   SELECT r.run_id, 'overview' AS article_kind,
          'Market Overview - Stress Level ' || {O.fmt_sql('s.market_stress_score', 1)} || '/10' AS headline,
-         substring('MARKET DATA' || chr(10) || 'Market Stress Score: ' || {O.fmt_sql('s.market_stress_score', 1)}
+         'MARKET DATA' || chr(10) || 'Market Stress Score: ' || {O.fmt_sql('s.market_stress_score', 1)}
                    || '/10' || chr(10) || 'Data Points: ' || CAST(s.data_points AS VARCHAR) || chr(10)
                    || 'Source: ' || r.source || chr(10) || 'Timestamp: ' || r.ts || chr(10) || chr(10)
-                   || b.body, 1, 2000) AS snippet,
+                   || b.body AS snippet,
          s.market_stress_score, s.data_points, array_to_string(b.types, '|') AS asset_types,
          array_to_string(r.tags, '|') AS asset_tags,
          CAST(NULL AS DOUBLE) AS price, CAST(NULL AS DOUBLE) AS change, CAST(NULL AS DOUBLE) AS change_percent,
@@ -186,6 +187,19 @@ def extraction_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction_stats(extract_all_methods(quote_pages(spark, sf_dir), _quote_dimension(spark)))
 
 
+@register("overview_stats", f"""{_MADE_SQL},
+n AS (SELECT run_id, count(*) AS n FROM dquotes GROUP BY run_id)
+SELECT run_id, 'Market Overview - Stress Level ' || {O.fmt_sql('s.market_stress_score', 1)} || '/10' AS headline,
+       CAST(n AS BIGINT) AS total_requests, CAST(n AS BIGINT) AS successful, CAST(0 AS BIGINT) AS failed, '100.0%' AS success_rate
+FROM stress s JOIN n USING (run_id)""")
+def overview_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG4 + AGG22: overview article of every run with the statistics of its extraction."""
+    run = F.regexp_extract("url", "[?]day=(.*)$", 1)  # pages of no run form a group of their own
+    stats = extraction_stats(extract_all_methods(quote_pages(spark, sf_dir), _quote_dimension(spark)).withColumn("run_id", run), "run_id")
+    found = overview_articles(derive_quotes(quotes(spark, sf_dir)), stats=stats)
+    return found.select("run_id", "headline", "scraper_stats.*")
+
+
 @register("extract_quotes", f"""{_MADE_SQL}
 SELECT 'https://quotes.example/quote/' || symbol || '?day=' || run_id AS url, symbol, asset, asset_type, priority,
        round(price, 4) AS price, CASE WHEN day(CAST(run_id AS DATE)) % 4 = 3 THEN 0.0 ELSE round(change, 4) END AS change,

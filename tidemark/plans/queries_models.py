@@ -12,6 +12,8 @@ from tidemark.models import knn as KNN
 from tidemark.models import lagged as LG
 from tidemark.models import regression as RG
 from tidemark.models.features import hash_split, numeric_features
+from tidemark.models.training import default_trainers
+from tidemark.models.training import train_all as run_training
 from tidemark.operators.clean import clean_articles
 from tidemark.operators.composite import engineer_features
 from tidemark.operators.validate import validate
@@ -166,6 +168,30 @@ def regime_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CL.regime_split(_gold(spark, sf_dir)).select("row_id", F.col("label").cast("int").alias("label"), "is_train")
 
 
+@register("regime_by_position", f"""
+WITH {O.gold_ctes()},
+i AS (SELECT row_id, row_number() OVER (ORDER BY "timestamp", row_id) AS idx, count(*) OVER () AS n FROM gold)
+SELECT row_id, CASE WHEN n < 3 THEN 'medium' WHEN idx > n - ceil(n / 3) THEN 'high' WHEN idx <= floor(n / 3) THEN 'low'
+                    ELSE 'medium' END AS regime_label FROM i""")
+def regime_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML7b without a stress score: labels by position in time."""
+    return CL.regime_labels(_gold(spark, sf_dir).drop(TARGET)).select("row_id", "regime_label")
+
+
+#: Models of the registered train-all; the two slow ones have queries of their own.
+TRAINED = ("linear_regression", "ridge_regression", "lasso_regression", "polynomial_regression", "time_lagged_regression", "isolation_forest")
+
+
+@register("train_all", f"""
+WITH {O.gold_ctes()}
+SELECT model, 'success' AS status, (SELECT CAST(count(*) AS BIGINT) FROM gold) AS predictions, CAST(NULL AS VARCHAR) AS error
+FROM (VALUES {', '.join(f"('{m}')" for m in TRAINED)}) AS t(model)""")
+def train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML0e + PRJ13: every model fitted and applied on the written gold rows; status and number of predictions."""
+    trainers = default_trainers(TARGET)
+    return run_training(_gold(spark, sf_dir), {m: trainers[m] for m in TRAINED})[1]
+
+
 def _risk_model(spark: SparkSession, sf_dir: str):
     """Labelled rows with the split, and the boosted model of the training rows (100 rounds, depth 6, rate 0.1)."""
     g = _gold(spark, sf_dir)
@@ -244,6 +270,18 @@ def anomaly_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       .alias("top_anomaly_features"))
 
 
+@register("anomaly_importance", f"""
+WITH {O.gold_ctes()},
+s AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, stddev_pop(coalesce(CAST({c} AS DOUBLE), 0.0)) AS sd FROM gold" for c in NUMERIC)})
+SELECT feature, round(sd / max(sd) OVER (), 6) AS relative_importance FROM s""")
+def anomaly_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML9 importance (deviation times the mean absolute anomaly score), relative to the largest."""
+    g = _gold(spark, sf_dir)
+    table = IF.feature_importance(IF.fit_isolation_forest(g, _features(g)), g)
+    top = table.agg(F.max("importance").alias("top"))  # one row
+    return table.crossJoin(F.broadcast(top)).select("feature", r6(F.col("importance") / F.col("top")).alias("relative_importance"))
+
+
 @register("anomaly_evaluation")
 def anomaly_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG25: precision/recall/F1 of the forest against the 5 %/95 % stress-band proxy."""

@@ -11,6 +11,7 @@ from tidemark.operators import risk as R
 from tidemark.plans import oracle as O
 from tidemark.plans.pipeline import gold_features
 from tidemark.plans.registry import register
+from tidemark.session import cut_lineage
 from tidemark.sources.views import EVENT_TYPES, daily_events, series_daily, series_multi
 
 SERIES_SQL = """
@@ -123,6 +124,17 @@ def return_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.select("bin", "count", r6(F.col("bin_start")).alias("bin_start"))
 
 
+@register("return_overlay", f"""
+WITH {SERIES_SQL},
+s AS (SELECT min(ret) AS lo, max(ret) AS hi, avg(ret) AS m, stddev_samp(ret) AS sd FROM sret),
+x AS (SELECT CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / 99 AS x, m, sd FROM s, range(100) t(i))
+SELECT point, round(x, 6) AS x, round(exp(-0.5 * pow((x - m) / sd, 2)) / (sd * sqrt(2 * pi())), 6) AS density FROM x""")
+def return_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG16: normal density over the range of the daily returns."""
+    o = R.normal_overlay(R.returns(series_daily(spark, sf_dir)), "ret", 100)
+    return o.select("point", r6(F.col("x")).alias("x"), r6(F.col("density")).alias("density"))
+
+
 @register("vol_regimes", f"""
 WITH {SERIES_SQL},
 w AS (SELECT *, CASE WHEN count(ret) OVER w20 = 20 THEN stddev_samp(ret) OVER w20 * sqrt(252) END AS vol,
@@ -140,10 +152,20 @@ def vol_regimes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.regime_counts(R.regimes(series_daily(spark, sf_dir)))
 
 
-@register("qq_points")
+@register("qq_points", f"""
+WITH {SERIES_SQL},
+p AS (SELECT i, 0.01 + 0.98 * i / 99 AS prob FROM range(100) t(i)),
+s AS (SELECT instrument, quantile_cont(ret, [0.01 + 0.98 * x / 99 for x in range(100)]) AS q FROM sret GROUP BY instrument)
+SELECT s.instrument, CAST(p.i AS INTEGER) AS point, round(q[p.i + 1], 6) AS sample_quantile, round(prob, 6) AS probability FROM p, s""")
 def qq_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG15: QQ points of the daily returns against the normal distribution (rows-only check)."""
-    return R.qq_points(series_daily(spark, sf_dir), 100)
+    """AGG15: QQ points of the daily returns against the normal distribution.  The theoretical quantile is checked by its
+    probability: the normal distribution function there, integrated numerically."""
+    q = R.qq_points(series_daily(spark, sf_dir), 100)
+    z = F.col("theoretical_quantile")
+    steps = 4000  # midpoint rule
+    area = F.aggregate(F.sequence(F.lit(0), F.lit(steps - 1)), F.lit(0.0), lambda acc, k: acc + F.exp(-F.pow(z * (k + 0.5) / steps, F.lit(2)) / 2))
+    cdf = F.lit(0.5) + z / steps * area / F.sqrt(F.lit(2.0) * F.pi())
+    return q.select("instrument", "point", r6(F.col("sample_quantile")).alias("sample_quantile"), r6(cdf).alias("probability"))
 
 
 PAIRS = [(a, b) for i, a in enumerate(EVENT_TYPES) for b in EVENT_TYPES[i + 1:]]
@@ -201,6 +223,20 @@ FEATURES = ("sentiment_polarity", "sentiment_subjectivity", "vader_compound", "c
             "sentiment_volatility_7d", "price", "change_percent")
 
 
+@register("feature_histograms", f"""
+WITH {O.gold_ctes()},
+v AS ({' UNION ALL '.join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM gold" for f in FEATURES)}),
+b AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM v GROUP BY feature),
+x AS (SELECT feature, lo, hi, CAST(CASE WHEN (hi - lo) / 30 > 0 THEN least(floor((value - lo) / ((hi - lo) / 30)), 29) ELSE 0 END
+              AS INTEGER) AS bin FROM v JOIN b USING (feature) WHERE value IS NOT NULL)
+SELECT feature, bin, CAST(count(*) AS BIGINT) AS count, round(min(lo) + bin * (min(hi) - min(lo)) / 30, 6) AS bin_start
+FROM x GROUP BY feature, bin""")
+def feature_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG16: 30-bin histograms of all features."""
+    h = R.feature_histograms(cut_lineage(gold_features(spark, sf_dir).select(*FEATURES)), FEATURES, 30)
+    return h.select("feature", "bin", "count", r6(F.col("bin_start")).alias("bin_start"))
+
+
 @register("feature_target_corr", f"""
 WITH {O.gold_ctes()},
 c AS ({' UNION ALL '.join(f"SELECT '{f}' AS feature, corr(CAST({f} AS DOUBLE), weighted_stress_score) AS corr FROM gold"

@@ -161,3 +161,21 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LIM3: the first five rows (a preview)."""
     f = V.first_rows(predictions(spark, sf_dir), 5)
     return f.select("row_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+ARTICLE_COLUMNS = ("row_id", "headline", "timestamp", "source", "asset_type", "price", "change_percent")
+
+
+@register("column_profile", f"""
+WITH {O.ARTICLES}
+{' UNION ALL '.join(f"""
+SELECT {i + 1} AS position, '{c}' AS "column",
+       CASE WHEN any_value(typeof("{c}")) IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric'
+            WHEN any_value(typeof("{c}")) = 'VARCHAR' THEN 'categorical' ELSE 'other' END AS kind,
+       concat_ws('|', CASE WHEN '{c}' LIKE '%price%' OR '{c}' LIKE '%close%' OR '{c}' LIKE '%value%' THEN 'price' END,
+                 CASE WHEN '{c}' LIKE '%volume%' THEN 'volume' END,
+                 CASE WHEN '{c}' LIKE '%date%' OR '{c}' LIKE '%time%' THEN 'date' END) AS roles,
+       CAST(count("{c}") AS BIGINT) AS "values" FROM articles""" for i, c in enumerate(ARTICLE_COLUMNS))}""")
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG18 column lists + PRJ17 roles found by name, over every article."""
+    return V.column_profile(articles(spark, sf_dir).select(*ARTICLE_COLUMNS))

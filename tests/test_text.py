@@ -89,3 +89,29 @@ def test_polarity_subjectivity(spark):
     assert abs(r[0]["p"] - (0.7 - 0.7) / 2) < 1e-12 and abs(r[0]["s"] - (0.6 + 0.667) / 2) < 1e-12
     assert abs(r[1]["p"] - 0.7 * -0.5) < 1e-12
     assert r[2]["p"] == 0.0 and r[2]["s"] == 0.0
+
+
+def test_java_whitespace_is_the_same_set(spark):
+    from tidemark.functions.text import JAVA_WHITESPACE, WHITESPACE_CLASS, first_word_tag, words
+
+    # every code point below 0x10000 as a character
+    df = spark.createDataFrame([(chr(i),) for i in range(1, 65536) if not 0xD800 <= i < 0xE000], "c string")
+    odd = df.where(F.col("c").rlike(f"^{WHITESPACE_CLASS}$") != F.col("c").rlike(f"^{JAVA_WHITESPACE}$"))
+    assert odd.count() == 0
+    assert df.where(F.col("c").rlike(f"^{JAVA_WHITESPACE}$")).count() == sum(chr(i).isspace() for i in range(65536))
+    t = spark.createDataFrame([("　 a\x1fb",), ("",), (None,), (" \t",)], "v string")
+    assert [r[0] for r in t.select(first_word_tag("v")).collect()] == [["a"], [], [], []]
+    assert [r[0] for r in t.select(words("v")).collect()] == [["a", "b"], [], None, []]
+
+
+def test_sentiment_sums_are_worked_out_once(spark):
+    """The plan holds one sum of the scored tokens, and the values are those of the rules."""
+    from tidemark.config import BINDING_LEXICON
+    from tidemark.functions.sentiment import compound, scored_tokens
+
+    df = spark.createDataFrame([(["very", "the", "not", "and"], "x!")], "t array<string>, h string")
+    plan = df.select("h", scored_tokens(F.col("t"), BINDING_LEXICON).alias("s")).select(compound(F.col("h"), BINDING_LEXICON, F.col("s")))
+    text = plan._jdf.queryExecution().analyzed().toString()
+    assert text.count("aggregate(s#") == 1
+    v = [r.v for r in df.select(F.explode(scored_tokens(F.col("t"), BINDING_LEXICON)).alias("r")).select("r.*").collect()]
+    assert [round(x, 6) for x in v] == [round(0.6 + 0.293, 6), round(1.1 * -0.74, 6)]

@@ -233,7 +233,7 @@ SELECT feature, bin, CAST(count(*) AS BIGINT) AS count, round(min(lo) + bin * (m
 FROM x GROUP BY feature, bin""")
 def feature_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG16: 30-bin histograms of all features."""
-    h = R.feature_histograms(cut_lineage(gold_features(spark, sf_dir).select(*FEATURES)), FEATURES, 30)
+    h = R.feature_histograms(cut_lineage(gold_features(spark, sf_dir, texts=False).select(*FEATURES)), FEATURES, 30)
     return h.select("feature", "bin", "count", r6(F.col("bin_start")).alias("bin_start"))
 
 
@@ -245,5 +245,5 @@ SELECT feature, round(corr, 6) AS corr, round(abs(corr), 6) AS abs_corr FROM c W
 ORDER BY abs(corr) DESC, feature LIMIT 10""")
 def feature_target_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG11: the 10 features most correlated (in absolute value) with the stress score."""
-    t = C.target_correlations(gold_features(spark, sf_dir), FEATURES, "weighted_stress_score", 10)
+    t = C.target_correlations(gold_features(spark, sf_dir, texts=False), FEATURES, "weighted_stress_score", 10)
     return t.select("feature", r6(F.col("corr")).alias("corr"), r6(F.col("abs_corr")).alias("abs_corr"))

@@ -161,9 +161,10 @@ def daily_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {O.ARTICLES}, {MARKET_SILVER}
 SELECT row_id, CAST(row_number() OVER (ORDER BY "timestamp", row_id) AS BIGINT) AS idx FROM msilver""")
 def article_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W0 global row index by (timestamp, row_id) without a single-partition window."""
-    return global_index(market_silver(spark, sf_dir).select("row_id", "timestamp"),
-                        ["timestamp", "row_id"]).select("row_id", F.col("idx").cast("long"))
+    """W0 global row index by (timestamp, row_id) without a single-partition window.  The keys of the silver rows are made
+    once and written: counting, sampling and placing them read that."""
+    keys = stored(silver_articles(spark, sf_dir, columns=["row_id", "timestamp"]))
+    return global_index(keys, ["timestamp", "row_id"]).select("row_id", F.col("idx").cast("long"))
 
 
 GOLD_COLS = ("weighted_stress_score", "target_stress_next", "sentiment_volatility_7d", "combined_sentiment",
@@ -178,7 +179,7 @@ SELECT row_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS ts, hour, day_of_we
 FROM gold""")
 def gold_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold rows: DT2, J2, AGG19, DT3, NUM4, PRJ18, W3, W4 over whole texts."""
-    g = gold_features(spark, sf_dir)
+    g = gold_features(spark, sf_dir, texts=False)
     return g.select("row_id", F.date_format("timestamp", TS_FMT).alias("ts"), "hour", "day_of_week",
                     "is_weekend", "month", "daily_article_count", "lag_1d", "lag_3d", "lag_7d",
                     "market_breadth", *[r6(F.col(c)).alias(c) for c in GOLD_COLS])

@@ -259,3 +259,34 @@ def test_saved_models_predict_alike(spark, tmp_path, fitted):
         save_model(spark, object(), str(tmp_path / "x"))
     top = feature_importance(forest, docs).collect()
     assert len(top) == 4 and top[0].importance >= top[-1].importance > 0
+
+
+def test_sister_nodes_share_their_parents_sums(spark):
+    """Only the lighter of two open sisters is summed over the rows; rows are dealt to all cores; trees are those of summing every node."""
+    import numpy as np
+
+    from tidemark.models import boosting as B
+
+    rng = np.random.default_rng(5)
+    rows = [(int(i), float(a), float(b), float(c), int(a + b * c > 0) + int(a > 1)) for i, (a, b, c) in enumerate(rng.normal(size=(3000, 3)))]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, c double, label int")
+    seen = []
+    whole = B._Growing.asked
+
+    def watched(self):
+        found = whole(self)
+        seen.append((len(found), len(self.open)))
+        return found
+
+    try:
+        B._Growing.asked = watched
+        model = B.fit_boosted(df, ["a", "b", "c"], rounds=3, depth=4)
+        B._Growing.asked = lambda self: list(self.open)
+        plain = B.fit_boosted(df, ["a", "b", "c"], rounds=3, depth=4)
+    finally:
+        B._Growing.asked = whole
+    assert any(asked < opened for asked, opened in seen)
+    assert model.history == plain.history
+    for one, two in zip(sum(model.trees, []), sum(plain.trees, []), strict=True):
+        for name in ("feature", "bin", "left", "right", "value", "cover"):
+            assert np.array_equal(getattr(one, name), getattr(two, name))

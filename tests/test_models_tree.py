@@ -290,3 +290,34 @@ def test_sister_nodes_share_their_parents_sums(spark):
     for one, two in zip(sum(model.trees, []), sum(plain.trees, []), strict=True):
         for name in ("feature", "bin", "left", "right", "value", "cover"):
             assert np.array_equal(getattr(one, name), getattr(two, name))
+
+
+def test_attributions_go_tree_by_tree():
+    """The work space is one tree's, whatever the number of leaves in the model; the values add up to the margins."""
+    import tracemalloc
+
+    import numpy as np
+
+    from tidemark.models.attributions import TreeAttributions
+    from tidemark.models.boosting import BoostedModel, Tree
+
+    rng = np.random.default_rng(2)
+    cover = np.ones(31)
+    for i in range(14, -1, -1):
+        cover[i] = cover[2 * i + 1] + cover[2 * i + 2]
+    side = [np.array([2 * i + s if i < 15 else -1 for i in range(31)]) for s in (1, 2)]
+
+    def tree():
+        feature = np.where(np.arange(31) < 15, rng.integers(0, 6, 31), -1)
+        return Tree(feature, rng.integers(2, 14, 31), *side, rng.normal(size=31), cover)
+
+    model = BoostedModel([f"f{i}" for i in range(6)], 2, [np.arange(15.0)] * 6, [[tree(), tree()] for _ in range(40)])
+    explain, bins = TreeAttributions(model), rng.integers(0, 16, (4096, 6))
+    tracemalloc.start()
+    try:
+        found = explain.of(bins)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 16 << 20
+    assert np.abs(found.sum(axis=2) + explain.base - model.margins(bins)).max() < 1e-9

@@ -7,7 +7,8 @@ With o_j = 1 if the row meets feature j and z_j = the product of its cover share
     value * (o_i - z_i) * sum over sets S of the other features of |S|! (d-1-|S|)! / d! * prod_S o_j * prod_not S z_j.
 
 The sum over S is read off the coefficients of prod_j (o_j x + z_j).  As o has only 2^d patterns, every leaf
-has a table of 2^d x d contributions; a row is looked up by its pattern.  Rows go through Arrow in batches.
+has a table of 2^d x d contributions; a row is looked up by its pattern, which is put together for all leaves of a tree from
+one table per feature and bin.  Rows go through Arrow in batches.
 
 **Any model** - kernel attributions: the background is ``k`` weighted k-means centres (MLlib, over all rows); a
 coalition keeps some features of the row and takes the others from the centres; the attributions are the weighted
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.models.boosting import BoostedModel, Tree
 from tidemark.models.features import assemble, fill_zero
 
-CELLS = 1 << 21
+CELLS = 1 << 18
 
 
 def leaf_paths(tree: Tree) -> list[tuple[float, dict[int, tuple[int, int, float]]]]:
@@ -71,35 +72,49 @@ class TreeAttributions:
     """Attributions of a boosted model's margins: ``base`` per class, and ``of(bins)`` as (row, class, feature)."""
 
     def __init__(self, model: BoostedModel):
-        self.model, self.groups = model, []
+        self.model, self.trees = model, []
         self.base = np.zeros(model.classes)
-        by_size: dict[int, list] = {}
+        width = max((len(c) for c in model.cuts), default=0) + 1
         for trees in model.trees:
             for k, tree in enumerate(trees):
-                for value, path in leaf_paths(tree):
-                    self.base[k] += value * math.prod(share for _, _, share in path.values())
-                    if path:
-                        by_size.setdefault(len(path), []).append((k, value, path))
-        for d, leaves in sorted(by_size.items()):
-            columns = np.array([list(p) for _, _, p in leaves])
-            bounds = np.array([[b[:2] for b in p.values()] for _, _, p in leaves])
-            shares = np.array([[b[2] for b in p.values()] for _, _, p in leaves])
-            self.groups.append((np.array([k for k, _, _ in leaves]), columns, bounds[:, :, 0], bounds[:, :, 1],
-                                _tables(np.array([v for _, v, _ in leaves]), shares)))
+                leaves = leaf_paths(tree)
+                self.base[k] += sum(value * math.prod(share for _, _, share in path.values()) for value, path in leaves)
+                if leaves := [leaf for leaf in leaves if leaf[1]]:
+                    self.trees.append((k, *self._tree(leaves, width)))
+
+    @staticmethod
+    def _tree(leaves: list, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(features of the tree; per feature and bin, the pattern bits of every leaf; contributions by leaf and pattern, and
+        which feature each goes to)."""
+        d = max(len(path) for _, path in leaves)
+        used = sorted({f for _, path in leaves for f in path})
+        bits = np.zeros((len(used), width, len(leaves)), dtype=np.min_scalar_type((1 << d) - 1))
+        table, goes_to = np.zeros((len(leaves), 1 << d, d)), np.zeros((len(leaves), d, len(used)))
+        by_size: dict[int, list[int]] = {}
+        for i, (_, path) in enumerate(leaves):
+            by_size.setdefault(len(path), []).append(i)
+            for j, (f, (low, high, _)) in enumerate(path.items()):
+                bits[used.index(f), low:high + 1, i] |= 1 << j
+                goes_to[i, j, used.index(f)] = 1.0
+        for size, at in by_size.items():
+            shares = np.array([[share for _, _, share in leaves[i][1].values()] for i in at])
+            table[at, :1 << size, :size] = _tables(np.array([leaves[i][0] for i in at]), shares)
+        return np.array(used), bits, table.reshape(-1, d), goes_to.reshape(-1, len(used))
 
     def of(self, bins: np.ndarray) -> np.ndarray:
-        n, features, classes = len(bins), len(self.model.features), self.model.classes
-        out = np.zeros(n * classes * features)
-        for k, columns, low, high, table in self.groups:
-            leaves, d = columns.shape
-            step = max(1, CELLS // (leaves * d))
+        n = len(bins)
+        out = np.zeros((n, self.model.classes, len(self.model.features)))
+        for k, used, bits, table, goes_to in self.trees:
+            leaves, d = bits.shape[2], table.shape[1]
+            first, step = np.arange(leaves) << d, max(1, CELLS // (leaves * d))
             for lo in range(0, n, step):
-                value = bins[lo:lo + step][:, columns]
-                pattern = (((value >= low) & (value <= high)) << np.arange(d)).sum(axis=2)
-                given = table[np.arange(leaves), pattern]
-                cell = ((np.arange(lo, lo + len(value))[:, None, None] * classes + k[None, :, None]) * features + columns[None])
-                out += np.bincount(cell.ravel(), given.ravel(), len(out))
-        return out.reshape(n, classes, features)
+                part = bins[lo:lo + step]
+                pattern = bits[0].take(part[:, used[0]], axis=0)
+                for own, f in zip(bits[1:], used[1:], strict=True):
+                    pattern |= own.take(part[:, f], axis=0)
+                given = table.take(pattern + first, axis=0)
+                out[lo:lo + step, k, used] += given.reshape(len(part), leaves * d) @ goes_to
+        return out
 
 
 def tree_attributions(df: DataFrame, model: BoostedModel, key: str = "row_id") -> DataFrame:
@@ -209,7 +224,7 @@ def kernel_attributions(df: DataFrame, predict: Callable[[np.ndarray], np.ndarra
         return fx, np.concatenate([first, (gap - first.sum(axis=1))[:, None]], axis=1)
 
     def run(batches):
-        step = max(1, CELLS // max(1, len(sets) * len(feats)))
+        step = max(1, 8 * CELLS // max(1, len(sets) * len(feats)))
         for batch in batches:
             for lo in range(0, batch.num_rows, step):
                 part = batch.slice(lo, step)

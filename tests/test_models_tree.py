@@ -13,7 +13,7 @@ from tidemark.models import attributions as A
 from tidemark.models import boosting as B
 from tidemark.models import grid as G
 from tidemark.models.features import hash_split, stratified_split
-from tidemark.models.neural import fit_neural
+from tidemark.models.neural import NeuralModel, fit_neural
 from tidemark.models.persistence import load_model, model_table, save_model
 from tidemark.models.regression import fit_lasso, fit_linear, fit_polynomial, fit_ridge
 
@@ -136,6 +136,33 @@ def test_tree_attributions_are_shapley_values(spark, fitted):
     assert len(best) == 3 and {r.feature for r in best} == {"a", "b", "c"} and abs(sum(r.share_pct for r in best) - 100) < 1e-9
 
 
+def test_coalition_values_of_a_network():
+    rng = np.random.default_rng(7)
+    feats = [f"f{i}" for i in range(6)]
+    for hidden in ((8, 4), ()):
+        params = [rng.normal(size=s) for a, b in zip((6, *hidden), (*hidden, 1), strict=True) for s in ((a, b), b)]
+        model = NeuralModel(feats, {f: (0.2 * i, 0.0 if i == 2 else 1 + i / 3) for i, f in enumerate(feats)}, params, [])
+        x, centres, shares = rng.normal(size=(23, 6)), rng.normal(size=(4, 6)), np.array([0.1, 0.2, 0.3, 0.4])
+        sets, _ = A.coalitions(6, 30)
+        plain = sum(p * model.predict(np.where(sets[None] > 0, x[:, None], c).reshape(-1, 6)).reshape(23, -1)
+                    for c, p in zip(centres, shares, strict=True))
+        for cells in (1 << 16, 1):
+            assert np.allclose(model.coalition_values(sets, centres, shares, cells)(x), plain, rtol=0, atol=1e-12)
+
+
+def test_kernel_attributions_of_a_network(spark):
+    rng = np.random.default_rng(8)
+    feats = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rng.normal(size=(50, 4)))], "row_id long, a double, b double, c double, d double")
+    model = NeuralModel(feats, {f: (0.1, 2.0) for f in feats}, [rng.normal(size=s) for s in ((4, 5), 5, (5, 1), 1)], [])
+    centres, shares = A.background(df, feats, k=3)
+    plain = {r.row_id: r for r in A.kernel_attributions(df, model.predict, feats, centres, shares).collect()}
+    short = A.kernel_attributions(df, model.predict, feats, centres, shares, coalition_values=model.coalition_values).collect()
+    assert len(short) == 50
+    for r in short:
+        assert np.allclose(r.attributions, plain[r.row_id].attributions, atol=1e-12) and r.prediction == plain[r.row_id].prediction
+
+
 def test_kernel_attributions(spark):
     x, y = data(60)
     docs = frame(spark, x, y)

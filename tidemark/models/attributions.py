@@ -203,24 +203,33 @@ def background(df: DataFrame, features: Sequence[str], k: int = 10, seed: int =
 
 
 def kernel_attributions(df: DataFrame, predict: Callable[[np.ndarray], np.ndarray], features: Sequence[str],
-                        centres: np.ndarray, shares: np.ndarray, samples: int = 100, key: str = "row_id", seed: int = 42) -> DataFrame:
-    """(key, base, prediction, attributions) of every row; ``predict`` takes a matrix of the features."""
+                        centres: np.ndarray, shares: np.ndarray, samples: int = 100, key: str = "row_id", seed: int = 42,
+                        coalition_values: Callable | None = None) -> DataFrame:
+    """(key, base, prediction, attributions) of every row; ``predict`` takes a matrix of the features.
+
+    ``coalition_values`` (sets, centres, shares) is for models that know a shorter way to the coalitions' values: it gives a function
+    from the matrix to their (row, set) means over the centres, as ``predict`` would give them."""
     feats = list(features)
     base = float(shares @ predict(centres))
     sets, weights = coalitions(len(feats), samples, seed) if len(feats) > 1 else (np.zeros((0, 1)), np.zeros(0))
     solver = kernel_solver(sets, weights) if len(feats) > 1 else None
     kind = dict(df.dtypes)[key]
 
+    def mixed_values(x: np.ndarray) -> np.ndarray:
+        values = np.zeros((len(x), len(sets)))
+        for centre, share in zip(centres, shares, strict=True):
+            mixed = np.where(sets[None, :, :] > 0, x[:, None, :], centre)
+            values += share * predict(mixed.reshape(-1, x.shape[1])).reshape(len(x), -1)
+        return values
+
+    values_of = mixed_values if coalition_values is None or solver is None else coalition_values(sets, centres, shares)
+
     def explain(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         fx = predict(x)
         gap = fx - base
         if solver is None:
             return fx, gap[:, None]
-        values = np.zeros((len(x), len(sets)))
-        for centre, share in zip(centres, shares, strict=True):
-            mixed = np.where(sets[None, :, :] > 0, x[:, None, :], centre)
-            values += share * predict(mixed.reshape(-1, x.shape[1])).reshape(len(x), -1)
-        first = (values - base - gap[:, None] * sets[:, -1]) @ solver.T
+        first = (values_of(x) - base - gap[:, None] * sets[:, -1]) @ solver.T
         return fx, np.concatenate([first, (gap - first.sum(axis=1))[:, None]], axis=1)
 
     def run(batches):

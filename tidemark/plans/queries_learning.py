@@ -131,7 +131,7 @@ def kernel_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _gold(spark, sf_dir)
     feats = _features(g)
     model = fit_neural(g, feats, TARGET)
-    found = A.kernel_attributions(g, model.predict, feats, *A.background(g, feats))
+    found = A.kernel_attributions(g, model.predict, feats, *A.background(g, feats), coalition_values=model.coalition_values)
     total = F.aggregate("attributions", F.lit(0.0), lambda a, v: a + v)
     return found.select("row_id", (F.abs(F.col("base") + total - F.col("prediction")) < 1e-6).alias("adds_up"), F.size("attributions").alias("n_features"))
 

@@ -163,6 +163,13 @@ def test_kernel_attributions_of_a_network(spark):
         assert np.allclose(r.attributions, plain[r.row_id].attributions, atol=1e-12) and r.prediction == plain[r.row_id].prediction
 
 
+def test_kernel_attributions_deal_rows_over_tasks(spark):
+    df = spark.range(5000).selectExpr("id as row_id", "cast(id % 7 as double) as a", "cast(id % 11 as double) as b").coalesce(1)
+    found = A.kernel_attributions(df, lambda m: m.sum(axis=1), ["a", "b"], np.zeros((1, 2)), np.ones(1))
+    assert found.rdd.getNumPartitions() >= min(spark.sparkContext.defaultParallelism, 9)
+    assert found.count() == 5000
+
+
 def test_kernel_attributions(spark):
     x, y = data(60)
     docs = frame(spark, x, y)

@@ -32,6 +32,7 @@ from tidemark.models.boosting import BoostedModel, Tree
 from tidemark.models.features import assemble, fill_zero
 
 CELLS = 1 << 18
+ROWS_PER_TASK, LEAST_ROWS = 8192, 512
 
 
 def leaf_paths(tree: Tree) -> list[tuple[float, dict[int, tuple[int, int, float]]]]:
@@ -242,4 +243,7 @@ def kernel_attributions(df: DataFrame, predict: Callable[[np.ndarray], np.ndarra
                                                   pa.array(list(given), pa.list_(pa.float64()))], names=[key, "base", "prediction", "attributions"])
 
     rows = fill_zero(df.select(key, *feats), feats)
-    return rows.mapInArrow(run, f"{key} {kind}, base double, prediction double, attributions array<double>")
+    n = rows.count()  # a few numbers a row are read as one task, but cost as much as many: they are dealt by rows, not bytes
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-n // ROWS_PER_TASK), min(cores, -(-n // LEAST_ROWS)))
+    return rows.repartition(tasks, key).mapInArrow(run, f"{key} {kind}, base double, prediction double, attributions array<double>")

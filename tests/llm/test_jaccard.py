@@ -74,6 +74,16 @@ def test_family_mostly_just_below_the_threshold(spark):
         assert run(spark, docs, group_sets=group) == want
 
 
+def test_shingles_move_only_where_tokens_allow_a_link(spark, monkeypatch):
+    """Shingles do not move for sets and pairs that share a token, but fewer than a link needs."""
+    moved = []
+    for name in ("_open", "_test_pairs"):
+        monkeypatch.setattr(jaccard, name, lambda rows, *rest, act=getattr(jaccard, name): moved.append(rows.count()) or act(rows, *rest))
+    docs = list(enumerate([*variants(7, 40, 200, 10), *variants(8, 6, 200, 1)]))
+    assert run(spark, docs) == brute(docs, 3, 90)
+    assert moved[0] < 40 and moved[1] < 100  # 40 sets have a neighbour in their group, 212 pairs share a token
+
+
 def test_needed_tokens_are_shared_by_every_linked_pair():
     rng = np.random.default_rng(3)
     bands = jaccard.Bands(90)

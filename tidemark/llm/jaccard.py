@@ -25,6 +25,8 @@ Documents are sets of k-word shingles (64-bit hashes).  Two documents link when
    (linear in the number of rows); this joins what belongs together across groups.  Last, the sets ask the
    groups that hold another component in one of their rows.  No pair that could link different components is
    left out, so the result is exact.
+6. Shingles are many times larger than tokens, so they move only for sets that the tokens leave: a group is opened
+   with the members that share enough tokens with another one of it, a proposed pair is tested if it shares enough.
 
 Defined results: a null or blank text has no shingles, links with nothing and is its own component;
 fewer than k words make the whole sequence one shingle; a null doc_id gets the component of its text's
@@ -140,8 +142,40 @@ def _slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
             yield batch.slice(lo, rows)
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """Narrow stored rows as a side of a join: sent to the other side if they are few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def _partners(table: pa.Table) -> pa.Table:
+    """(gid, sid) of the sets of one group that share enough tokens with another one of it.
+
+    ``table``: (gid, sid, needed, held), held being the set's tokens."""
+    held = table["held"].combine_chunks()
+    size, owner = np.asarray(held.value_lengths()), np.asarray(held.value_parent_indices())
+    needed = np.asarray(table["needed"])
+    _, at, n = np.unique(np.asarray(held.flatten()), return_inverse=True, return_counts=True)
+    holders, ends = owner[np.argsort(at, kind="stable")], np.cumsum(n)
+    found = np.zeros(len(size), dtype=bool)
+    for i, own in enumerate(np.split(at, np.cumsum(size)[:-1])):
+        rows = np.repeat(ends[own] - np.cumsum(n[own]), n[own]) + np.arange(int(n[own].sum()))
+        same = np.bincount(holders[rows], minlength=len(size))
+        same[i] = 0
+        found[i] = bool((same >= np.maximum(needed, needed[i])).any())
+    return table.select(["gid", "sid"]).filter(pa.array(found))
+
+
+def _plausible(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets that share as many tokens as either needs. ``held``: (sid, needed, held)."""
+    def side(name):
+        return held.select(F.col("sid").alias(name), F.col("needed").alias(f"needed_{name}"), F.col("held").alias(f"held_{name}"))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(
+        "size(array_intersect(held_a, held_b)) >= greatest(needed_a, needed_b)").select("a", "b")
+
+
 def _test_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of sets that link."""
+    """The pairs (a, b) of sets that link; ``pairs`` are stored."""
     def test(batches):
         for batch in _slices(batches):
             linked = np.zeros(batch.num_rows, dtype=bool)
@@ -156,7 +190,7 @@ def _test_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame
     def side(name):
         return members.select(F.col("sid").alias(name), F.col("tokens").alias(f"tokens_{name}"))
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = side("a").join(_few(pairs), "a").join(side("b").join(_few(pairs.select("b").distinct()), "b", "left_semi"), "b")
     return both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(
         lambda batches: test(x for x in batches if x.num_rows), "a long, b long")
 
@@ -294,20 +328,23 @@ def _open(rows: DataFrame, percent: int) -> DataFrame:
         .sortWithinPartitions("gid", "piece", "side", "sid").mapInArrow(search, "a long, b long")
 
 
-def _ask(queries: DataFrame, members: DataFrame, percent: int, group_sets: int, group_shingles: int) -> DataFrame:
+def _ask(queries: DataFrame, placed: DataFrame, members: DataFrame, percent: int, group_sets: int, group_shingles: int) -> DataFrame:
     """Links (a, b) of the sets in ``queries`` (gid, sid) with the members of the groups they ask.
 
-    The asking sets of a group are dealt into pieces of bounded size, each with its copy of the group.
-    ``members``: (gid, sid, component, tokens)."""
-    sets = members.select("sid", "component", "tokens")
+    The asking sets of a group are dealt into pieces of bounded size, each with its copy of the group; shingles
+    are joined to these places last.  ``placed``: (sid, gid, component); ``members``: (sid, tokens)."""
     sized = queries.join(members.select("sid", F.length("tokens").alias("bytes")), "sid")
     pieces = sized.groupBy("gid").agg(F.greatest(
         F.ceil(F.count("*") / group_sets), F.ceil(F.sum("bytes") / (8 * group_shingles))).alias("pieces"))
     asking = queries.join(pieces, "gid").select(
-        "gid", F.pmod(F.xxhash64("sid"), F.col("pieces")).alias("piece"), F.lit(1).alias("side"), "sid").join(sets, "sid")
-    asked = members.join(pieces, "gid").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))) \
-        .withColumn("side", F.lit(0))
-    return _open(asking.unionByName(asked.select(*asking.columns)), percent)
+        "gid", F.pmod(F.xxhash64("sid"), F.col("pieces")).alias("piece"), F.lit(1).alias("side"), "sid") \
+        .join(placed.select("sid", "component"), "sid")
+    asked = placed.select("gid", "sid", "component").join(pieces, "gid") \
+        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).withColumn("side", F.lit(0))
+    places = stored(asking.unionByName(asked.select(*asking.columns)))
+    links = stored(_open(members.select("sid", "tokens").join(_few(places), "sid"), percent))
+    discard(places)
+    return links
 
 
 def _asks(shared: DataFrame, placed: DataFrame, needed: DataFrame) -> DataFrame:
@@ -358,17 +395,26 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80,
     pieces = keys.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / group_sets), F.ceil(F.sum("n") / group_shingles)).alias("pieces"))
     groups = stored(keys.join(pieces, "key").select(
         "sid", "rep", F.xxhash64("key", F.pmod(F.xxhash64("sid"), F.col("pieces"))).alias("gid")))
-    members = stored(_members(documents, groups, k, percent).dropDuplicates(["sid"]))
+    members = stored(_members(documents, groups, k, percent))
+    if members.count() > groups.count():  # rows repeat the id of a set's document
+        repeated, members = members, stored(members.dropDuplicates(["sid"]))
+        discard(repeated)
     tidy(spark)
 
     sizes = groups.groupBy("gid").agg(F.count("*").alias("size"))
-    own = members.join(sizes.where("size > 1"), "gid").select(
+    held = stored(shared.groupBy("sid").agg(F.collect_list("token").alias("held")).join(members.select("sid", "needed"), "sid"))
+    several = groups.select("gid", "sid").join(sizes.where("size > 1"), "gid").select("gid", "sid")
+    opened = stored(several.join(held, "sid").select("gid", "sid", "needed", "held").groupBy("gid").applyInArrow(
+        _partners, "gid long, sid long"))
+    tidy(spark)
+    own = members.select("sid", "tokens").join(_few(opened), "sid").select(
         "gid", F.lit(0).alias("piece"), F.lit(0).alias("side"), "sid", F.lit(None).cast("long").alias("component"), "tokens")
     found = [stored(_open(own, percent))]
     tidy(spark)
     labels = cut(connected_components(found[0]).withColumnRenamed("node", "sid"))
     for _ in range(2):
-        pairs = stored(_proposals(shared, labels))
+        pairs = stored(_plausible(_proposals(shared, labels), held))
+        tidy(spark)
         found.append(stored(_test_pairs(pairs, members, percent)))
         discard(pairs)
         links = found[0].unionByName(found[1]) if len(found) == 2 else found[0].unionByName(found[1]).unionByName(found[2])
@@ -379,11 +425,10 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80,
         "sid", "gid", "size", F.coalesce("component", "sid").alias("component")))
     asks = _asks(shared, placed, members.select("sid", "needed"))
     tidy(spark)
-    labelled = members.select("gid", "sid", "tokens").join(placed.select("sid", "component"), "sid")
-    more = stored(_ask(asks, labelled, percent, group_sets, group_shingles))
+    more = _ask(asks, placed, members, percent, group_sets, group_shingles)
     tidy(spark)
     component = cut(connected_components(links.unionByName(more)).withColumnRenamed("node", "sid"))
-    discard(shared, groups, members, placed, asks, more, *found)
+    discard(shared, groups, members, held, opened, placed, asks, more, *found)
 
     # the smallest document of each component
     owner = owners.join(component, "sid", "left").select("sid", "rep", F.coalesce("component", "sid").alias("component"))

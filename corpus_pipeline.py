@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, packing, quality, toxicity
-from tidemark.llm.tables import BROADCAST_ROWS, discard, shared_folder, stored, table
+from tidemark.llm.tables import BROADCAST_ROWS, discard, few_files, shared_folder, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -36,10 +36,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     key = f"row_{uuid.uuid4().hex}"  # a row is known by its number, written once: ids may be null or repeat
     rows = stored(docs.withColumn(key, F.monotonically_increasing_id()))
     groups = jaccard.jaccard_components(rows.select(F.col(key).alias("doc_id"), "text"), k=5, percent=80)
-    groups = stored(groups.select(F.col("doc_id").alias(key), "component_id"))
+    n_rows = rows.count()
+    groups = stored(few_files(groups.select(F.col("doc_id").alias(key), "component_id"), n_rows))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key)).alias("first")
     kept = groups.join(rows.select(key, "doc_id"), key).groupBy("component_id").agg(first).select(f"first.{key}")
-    gone = stored(groups.select(key).join(kept, key, "left_anti"))
+    gone = stored(few_files(groups.select(key).join(kept, key, "left_anti"), n_rows))
     discard(groups)
     few = gone.count() <= BROADCAST_ROWS
     return rows.join(F.broadcast(gone) if few else gone, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])

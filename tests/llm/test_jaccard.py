@@ -125,6 +125,56 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_small_tables_make_few_files(spark, monkeypatch):
+    """Files and tasks that write follow the number of rows, not the number of shuffle partitions."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from tidemark.llm import components
+
+    most, jobs = 2 * spark.sparkContext.defaultParallelism, []
+    for module in (components, jaccard):
+        def keep(df, act=module.stored):
+            out = act(df)
+            jobs.append(len(list(Path(urlparse(out.stored_path).path).glob("part-*"))))
+            return out
+        monkeypatch.setattr(module, "stored", keep)
+    monkeypatch.setattr("pyspark.sql.DataFrame.checkpoint", lambda *a, **b: pytest.fail("a file per partition, even for no rows"))
+    changed = {"spark.sql.shuffle.partitions": str(4 * most), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    docs = list(enumerate([*variants(7, 30, 120, 4), *variants(8, 30, 120, 1)]))
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        edges = [(i, i + 1) for i in range(400)]
+        got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == dict.fromkeys(range(401), 0)
+        assert max(jobs) <= most
+        jobs.clear()
+        assert run(spark, docs) == brute(docs, 3, 90)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # the token matrix, the members before they are known and the asks have no known number of rows yet
+    assert sum(n > most for n in jobs) <= 3
+
+
+def test_worker_gives_memory_back(monkeypatch):
+    """Every step in Python leaves its worker without what it needed."""
+    calls = []
+    monkeypatch.setattr(jaccard, "release", lambda: calls.append("release"))
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, work, _):
+            return list(work(iter([])))
+
+    assert jaccard.document_sets(Rows(), 3) == jaccard.matrix_rows(Rows(), 3, 90) == []
+    assert len(calls) == 4
+
+
 def test_query_equals_brute_force(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in op8_ngram_jaccard_join(spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()

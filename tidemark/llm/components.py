@@ -1,7 +1,8 @@
 """Connected components of an edge table, in Spark: alternating large-star and small-star rounds.
 
 Every round is two pre-aggregated minima joined back to the edges (no per-node collection), and its
-result is checkpointed, so a lost executor costs at most one round.
+result is stored in the shared folder, so a lost executor costs at most one round.  No round has more edges than
+the table had at first, so its files follow that number, not the number of shuffle partitions.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import cut
+from tidemark.llm.tables import discard, few_files, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -17,11 +18,13 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(a, b) edges between longs -> (node, component): the smallest node reachable.
+    """(a, b) edges between longs -> (node, component), a stored table: the smallest node reachable.
 
     Self loops and nulls are ignored; a node without edges has no row; repeated edges count once."""
-    now = cut(edges.where("a is not null and b is not null and a != b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = edges.where("a is not null and b is not null and a != b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    rows = edges.count()
+    now = stored(few_files(edges.distinct(), rows))
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -31,10 +34,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .unionByName(lowest.select("a", F.col("m").alias("b")))
-        now = cut(small.distinct())
+        before, now = now, stored(few_files(small.distinct(), rows))
+        discard(before)
         previous, state = state, _state(now)
         if state == previous:
             break
     leaves = now.groupBy("a").agg(F.min("b").alias("b"))
-    return leaves.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        leaves.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out = stored(few_files(leaves.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        leaves.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), 2 * rows))
+    discard(now)
+    return out

@@ -44,10 +44,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.arrowtext import POSITION_CODE, U64, WHITE_SPACE, chunks, mix, shingles, span_hashes, words
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import BROADCAST_ROWS, cut, discard, stored, tidy
+from tidemark.llm.tables import BROADCAST_ROWS, discard, few_files, stored, tidy
+from tidemark.llm.token_files import release
 
+TEXT_BYTES = 1 << 20
 GROUP_SETS = 1024
 GROUP_SHINGLES = 1 << 18
+FILE_SETS = 4_096  # sets with shingles or tokens that make one partition of a table whose size is known
 
 
 def _distinct_sorted(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +69,7 @@ def _distinct_sorted(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(sorted distinct shingle hashes, bounds per text) for chunks of whole texts, in order."""
-    for chunk in chunks(column):
+    for chunk in chunks(column, limit=TEXT_BYTES):
         found = words(chunk, WHITE_SPACE)
         yield _distinct_sorted(*shingles(span_hashes(chunk, found.starts, found.ends), found.first, k))
 
@@ -135,6 +138,15 @@ class Bands:
         return np.maximum(least, 1)
 
 
+def _clean(work):
+    """The work of a task, in a worker that holds nothing of its earlier tasks, and nothing of this one afterwards."""
+    def run(batches):
+        release()
+        yield from work(batches)
+        release()
+    return run
+
+
 def _slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Few sets at a time, so that only these become Python objects."""
     for batch in batches:
@@ -191,8 +203,8 @@ def _test_pairs(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame
         return members.select(F.col("sid").alias(name), F.col("tokens").alias(f"tokens_{name}"))
 
     both = side("a").join(_few(pairs), "a").join(side("b").join(_few(pairs.select("b").distinct()), "b", "left_semi"), "b")
-    return both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(
-        lambda batches: test(x for x in batches if x.num_rows), "a long, b long")
+    return few_files(both.select("a", "b", "tokens_a", "tokens_b"), pairs.count(), FILE_SETS).mapInArrow(
+        _clean(lambda batches: test(x for x in batches if x.num_rows)), "a long, b long")
 
 
 def document_sets(documents: DataFrame, k: int) -> DataFrame:
@@ -209,7 +221,7 @@ def document_sets(documents: DataFrame, k: int) -> DataFrame:
                     [batch.column(0), pa.array(size), pa.array(np.concatenate(ids).view(np.int64), mask=size == 0)],
                     names=["doc_id", "n_shingles", "sid"])
 
-    return documents.select("doc_id", "text").mapInArrow(describe, "doc_id long, n_shingles long, sid long")
+    return documents.select("doc_id", "text").mapInArrow(_clean(describe), "doc_id long, n_shingles long, sid long")
 
 
 def matrix_rows(documents: DataFrame, k: int, percent: int) -> DataFrame:
@@ -231,7 +243,7 @@ def matrix_rows(documents: DataFrame, k: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token[kept].view(np.int64)), pa.array(ids[owner[kept]].view(np.int64))], names=["token", "sid"])
 
-    return documents.select("text").mapInArrow(rows, "token long, sid long")
+    return documents.select("text").mapInArrow(_clean(rows), "token long, sid long")
 
 
 def _members(documents: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
@@ -240,7 +252,7 @@ def _members(documents: DataFrame, groups: DataFrame, k: int, percent: int) -> D
     ``groups``: (gid, sid, rep), rep being a document with this set."""
     def sets(batches):
         bands = Bands(percent)
-        for batch in batches:
+        for batch in _slices(batches, 1024):
             if not batch.num_rows:
                 continue
             found, same, needed = [], [], []
@@ -255,7 +267,7 @@ def _members(documents: DataFrame, groups: DataFrame, k: int, percent: int) -> D
 
     wanted = F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
     texts = documents.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("gid", "sid", "text")
-    return texts.mapInArrow(sets, "gid long, sid long, tokens binary, needed long")
+    return texts.mapInArrow(_clean(sets), "gid long, sid long, tokens binary, needed long")
 
 
 def _links(query: list[tuple], group: list[tuple], percent: int, same: bool) -> list[tuple[int, int]]:
@@ -300,11 +312,11 @@ def _links(query: list[tuple], group: list[tuple], percent: int, same: bool) ->
     return out
 
 
-def _open(rows: DataFrame, percent: int) -> DataFrame:
+def _open(rows: DataFrame, n_rows: int, percent: int) -> DataFrame:
     """Links (a, b) between the members (side 0) and the asking sets (side 1) of every (gid, piece); a group
     without asking sets is opened with itself.
 
-    ``rows``: (gid, piece, side, sid, component or null, tokens)."""
+    ``rows``: ``n_rows`` of (gid, piece, side, sid, component or null, tokens)."""
     def search(batches):
         def links(rows):
             sides = [[r[1:] for r in rows if r[0] == s] for s in (0, 1)]
@@ -324,15 +336,15 @@ def _open(rows: DataFrame, percent: int) -> DataFrame:
         if rows and (found := links(rows)):
             yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=EDGE)
 
-    return rows.select("gid", "piece", "side", "sid", "component", "tokens").repartition("gid", "piece") \
-        .sortWithinPartitions("gid", "piece", "side", "sid").mapInArrow(search, "a long, b long")
+    dealt = rows.select("gid", "piece", "side", "sid", "component", "tokens").repartition("gid", "piece")
+    return few_files(dealt, n_rows, FILE_SETS).sortWithinPartitions("gid", "piece", "side", "sid").mapInArrow(_clean(search), "a long, b long")
 
 
-def _ask(queries: DataFrame, placed: DataFrame, members: DataFrame, percent: int, group_sets: int, group_shingles: int) -> DataFrame:
+def _ask(queries: DataFrame, n_sets: int, placed: DataFrame, members: DataFrame, percent: int, group_sets: int, group_shingles: int) -> DataFrame:
     """Links (a, b) of the sets in ``queries`` (gid, sid) with the members of the groups they ask.
 
     The asking sets of a group are dealt into pieces of bounded size, each with its copy of the group; shingles
-    are joined to these places last.  ``placed``: (sid, gid, component); ``members``: (sid, tokens)."""
+    are joined to these places last.  ``placed``: ``n_sets`` of (sid, gid, component); ``members``: (sid, tokens)."""
     sized = queries.join(members.select("sid", F.length("tokens").alias("bytes")), "sid")
     pieces = sized.groupBy("gid").agg(F.greatest(
         F.ceil(F.count("*") / group_sets), F.ceil(F.sum("bytes") / (8 * group_shingles))).alias("pieces"))
@@ -341,20 +353,21 @@ def _ask(queries: DataFrame, placed: DataFrame, members: DataFrame, percent: int
         .join(placed.select("sid", "component"), "sid")
     asked = placed.select("gid", "sid", "component").join(pieces, "gid") \
         .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).withColumn("side", F.lit(0))
-    places = stored(asking.unionByName(asked.select(*asking.columns)))
-    links = stored(_open(members.select("sid", "tokens").join(_few(places), "sid"), percent))
+    # a group of at most ``group_sets`` sets goes once to as many asking sets, so about two rows a query and one a set
+    places = stored(few_files(asking.unionByName(asked.select(*asking.columns)), 2 * queries.count() + n_sets))
+    links = stored(_open(members.select("sid", "tokens").join(_few(places), "sid"), places.count(), percent))
     discard(places)
     return links
 
 
-def _asks(shared: DataFrame, placed: DataFrame, needed: DataFrame) -> DataFrame:
+def _asks(shared: DataFrame, n_shared: int, placed: DataFrame, needed: DataFrame) -> DataFrame:
     """(gid, sid): the sets that must be held against a group, by the rows of the token-group matrix alone.
 
-    ``placed``: (sid, gid, size of the group, component); ``needed``: (sid, needed)."""
+    ``shared``: ``n_shared`` of (token, sid); ``placed``: (sid, gid, size of the group, component); ``needed``: (sid, needed)."""
     held = shared.join(placed, "sid")
     mixed = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo != hi").select("token")
-    mixed = stored(held.join(mixed, "token"))
+    mixed = stored(few_files(held.join(mixed, "token"), n_shared))
     matrix = mixed.groupBy("token", "gid", "size").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     counts = mixed.alias("x").join(matrix.alias("y"), F.expr(
         "x.token = y.token and (x.size < y.size or x.size = y.size and x.gid < y.gid)"
@@ -393,42 +406,46 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80,
     keys = shared.join(often, "token").groupBy("sid").agg(F.max(F.struct("often", "token")).alias("top")) \
         .join(owners, "sid").withColumn("key", F.col("top.token"))
     pieces = keys.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / group_sets), F.ceil(F.sum("n") / group_shingles)).alias("pieces"))
-    groups = stored(keys.join(pieces, "key").select(
-        "sid", "rep", F.xxhash64("key", F.pmod(F.xxhash64("sid"), F.col("pieces"))).alias("gid")))
+    groups = stored(few_files(keys.join(pieces, "key").select(
+        "sid", "rep", F.xxhash64("key", F.pmod(F.xxhash64("sid"), F.col("pieces"))).alias("gid")), sets.count()))
+    n_sets, n_shared = groups.count(), shared.count()
     members = stored(_members(documents, groups, k, percent))
-    if members.count() > groups.count():  # rows repeat the id of a set's document
+    if members.count() > n_sets:  # rows repeat the id of a set's document
         repeated, members = members, stored(members.dropDuplicates(["sid"]))
         discard(repeated)
     tidy(spark)
 
     sizes = groups.groupBy("gid").agg(F.count("*").alias("size"))
-    held = stored(shared.groupBy("sid").agg(F.collect_list("token").alias("held")).join(members.select("sid", "needed"), "sid"))
+    held = stored(few_files(shared.groupBy("sid").agg(F.collect_list("token").alias("held")).join(
+        members.select("sid", "needed"), "sid"), n_sets, FILE_SETS))
     several = groups.select("gid", "sid").join(sizes.where("size > 1"), "gid").select("gid", "sid")
-    opened = stored(several.join(held, "sid").select("gid", "sid", "needed", "held").groupBy("gid").applyInArrow(
-        _partners, "gid long, sid long"))
+    opened = stored(few_files(several.join(held, "sid").select("gid", "sid", "needed", "held").groupBy("gid").applyInArrow(
+        _partners, "gid long, sid long"), n_sets, FILE_SETS))
     tidy(spark)
     own = members.select("sid", "tokens").join(_few(opened), "sid").select(
         "gid", F.lit(0).alias("piece"), F.lit(0).alias("side"), "sid", F.lit(None).cast("long").alias("component"), "tokens")
-    found = [stored(_open(own, percent))]
+    found = [stored(_open(own, opened.count(), percent))]
     tidy(spark)
-    labels = cut(connected_components(found[0]).withColumnRenamed("node", "sid"))
+    parts = [connected_components(found[0])]
+    labels = parts[0].withColumnRenamed("node", "sid")
     for _ in range(2):
-        pairs = stored(_plausible(_proposals(shared, labels), held))
+        pairs = stored(few_files(_plausible(_proposals(shared, labels), held), n_shared))
         tidy(spark)
         found.append(stored(_test_pairs(pairs, members, percent)))
         discard(pairs)
         links = found[0].unionByName(found[1]) if len(found) == 2 else found[0].unionByName(found[1]).unionByName(found[2])
-        labels = cut(connected_components(links).withColumnRenamed("node", "sid"))
+        parts.append(connected_components(links))
+        labels = parts[-1].withColumnRenamed("node", "sid")
         tidy(spark)
 
-    placed = stored(groups.join(sizes, "gid").join(labels, "sid", "left").select(
-        "sid", "gid", "size", F.coalesce("component", "sid").alias("component")))
-    asks = _asks(shared, placed, members.select("sid", "needed"))
+    placed = stored(few_files(groups.join(sizes, "gid").join(labels, "sid", "left").select(
+        "sid", "gid", "size", F.coalesce("component", "sid").alias("component")), n_sets))
+    asks = _asks(shared, n_shared, placed, members.select("sid", "needed"))
     tidy(spark)
-    more = _ask(asks, placed, members, percent, group_sets, group_shingles)
+    more = _ask(asks, n_sets, placed, members, percent, group_sets, group_shingles)
     tidy(spark)
-    component = cut(connected_components(links.unionByName(more)).withColumnRenamed("node", "sid"))
-    discard(shared, groups, members, held, opened, placed, asks, more, *found)
+    component = connected_components(links.unionByName(more)).withColumnRenamed("node", "sid")
+    discard(shared, groups, members, held, opened, placed, asks, more, *found, *parts)
 
     # the smallest document of each component
     owner = owners.join(component, "sid", "left").select("sid", "rep", F.coalesce("component", "sid").alias("component"))

@@ -98,6 +98,38 @@ def test_needed_tokens_are_shared_by_every_linked_pair():
             assert (bands.needed(values, bounds) <= both).all()
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_needed_tokens_follow_the_own_size(percent):
+    """Sets of all sizes in a band, each with its own bound; pairs differ in both directions."""
+    rng = np.random.default_rng(5)
+    bands = jaccard.Bands(percent)
+    more = 0
+    for size in range(20, 140, 3):
+        whole = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        out, into = (int(rng.integers(0, size * (100 - percent) // 100 + 1)) for _ in range(2))
+        other = np.unique(np.concatenate((rng.permutation(whole)[out:], rng.integers(0, 2**64, into, dtype=np.uint64))))
+        values, bounds = np.concatenate((whole, other)), np.cumsum([0, len(whole), len(other)])
+        needed = bands.needed(values, bounds)
+        if 100 * len(np.intersect1d(whole, other)) >= percent * len(np.union1d(whole, other)):
+            token, owner = bands.tokens(values, bounds)
+            assert (needed <= len(np.intersect1d(token[owner == 0], token[owner == 1]))).all()
+        own = int(np.searchsorted(bands.edges, len(whole), side="right")) - 1
+        filled = [len({(int(v) >> 32) * int(bands.segments[b]) >> 32 for v in whole}) for b in (own, own - 1)]
+        more += needed[0] > max(1, *[min(f - int(bands.allowed[b]) for f, b in zip(filled, (own, own - 1), strict=True))])
+    assert more > 5 or percent == 50  # more than with one bound for all sizes of a band; half the set may differ at 50
+
+
+def test_asks_join_only_the_rarer_tokens(spark):
+    """A set asks a group with which it shares enough tokens, found by one of its rarer ones, and no other group."""
+    held = {1: [10, 11, 12, 13], 2: [10, 11, 12, 20], 3: [10, 20, 21, 22], 4: [10, 11, 30, 31], 5: [40, 41]}
+    shared = spark.createDataFrame([(t, s) for s, ts in held.items() for t in ts], "token long, sid long")
+    placed = spark.createDataFrame([(s, s, s, s) for s in held], "sid long, gid long, size long, component long")
+    for least in (1, 2, 3, 4):
+        needed = spark.createDataFrame([(s, least) for s in held], "sid long, needed long")
+        got = {(r.sid, r.gid) for r in jaccard._asks(shared, 18, placed, needed).collect()}
+        assert got == {(a, b) for a in held for b in held if a < b and len({*held[a]} & {*held[b]}) >= least}
+
+
 def test_nulls_repeats_and_clashing_columns(spark):
     rows = [(3, "a b c d", 1), (3, "a b c d", 1), (1, "A b  c d", 2), (5, None, 3), (None, "a b c d", 4), (None, "x y z", 5), (7, "", 6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, component_id int")

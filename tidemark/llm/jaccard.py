@@ -16,7 +16,7 @@ Documents are sets of k-word shingles (64-bit hashes).  Two documents link when
    distinct rows (token, group) are the token-group matrix.
 4. A set is held against a group only if the matrix says so: of its own filled segments at most d differ from
    those of a linked set, so ``filled - d`` of its tokens (one at least) must be in the group's token union.  These
-   counts are summed by (set, group) before any set moves.  Of two groups the sets of the smaller one ask.
+   counts are summed by (set, group) before any set moves, and only where one of the set's rarer tokens is in the union.  Of two groups the sets of the smaller one ask.
    Where a set meets a group that it qualifies for, the group's shingle union bounds the overlap: only if
    ``100 * |Q and union| >= percent * max(|Q|, smallest member)`` the exact overlaps with its members are
    counted.  A group is sent once per ``GROUP_SETS`` asking sets, not once per pair of groups.
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrowtext import POSITION_CODE, U64, WHITE_SPACE, chunks, mix, shingles, span_hashes, words
@@ -87,6 +87,7 @@ class Bands:
     """Size bands and the number of segments of each, for one threshold."""
 
     def __init__(self, percent: int, largest: int = 1 << 40):
+        self.percent = percent
         edges = [1]
         while edges[-1] < largest:
             edges.append(max(edges[-1] + 1, 100 * edges[-1] // percent + 1))
@@ -124,17 +125,21 @@ class Bands:
 
 
     def needed(self, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Number of its tokens that every set which links with it has at least, for sets as in ``tokens``."""
+        """Number of its tokens that every set which links with it has at least, for sets as in ``tokens``.
+
+        The bound of step 2 holds with the set's own size and the largest of the other: one of the set's own or the next band
+        meets it in its own band, one of the band below, which ends before the set's own, in that."""
         n = np.diff(bounds)
         text = np.repeat(np.arange(len(n)), n)
         own = np.searchsorted(self.edges, np.maximum(n, 1), side="right") - 1
         least = np.full(len(n), np.iinfo(np.int64).max)
-        for band in (own, own - 1):
+        for band, other in ((own, 100 * n // self.percent), (own - 1, self.edges[own] - 1)):
+            allowed = np.minimum(self.allowed[band], (100 - self.percent) * (n + other) // (100 + self.percent))
             segment = ((values >> U64(32)) * np.where(band >= 0, self.segments[band], 0)[text].astype(U64)) >> U64(32)
             new = np.ones(len(values), dtype=bool)
             new[1:] = (text[1:] != text[:-1]) | (segment[1:] != segment[:-1])
             filled = np.bincount(text[new], minlength=len(n))
-            least = np.where(band >= 0, np.minimum(least, filled - self.allowed[band]), least)
+            least = np.where(band >= 0, np.minimum(least, filled - allowed), least)
         return np.maximum(least, 1)
 
 
@@ -368,12 +373,22 @@ def _asks(shared: DataFrame, n_shared: int, placed: DataFrame, needed: DataFrame
     mixed = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo != hi").select("token")
     mixed = stored(few_files(held.join(mixed, "token"), n_shared))
+    # of the tokens that a set shares with a group, one at least is not among those ``needed - 1`` that most groups hold:
+    # these are not joined, but looked up where a group has one of the others
+    often = mixed.groupBy("token").agg(F.countDistinct("gid").alias("groups"))
+    ranked = mixed.join(often, "token").join(needed, "sid").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("groups"), "token")))
+    rare = ranked.where("rank >= needed")
+    common = ranked.where("rank < needed").groupBy("sid").agg(F.collect_list("token").alias("common"))
     matrix = mixed.groupBy("token", "gid", "size").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    counts = mixed.alias("x").join(matrix.alias("y"), F.expr(
+    unions = matrix.join(ranked.where("rank < needed").select("token").distinct(), "token") \
+        .groupBy("gid").agg(F.collect_list("token").alias("union"))
+    counts = rare.alias("x").join(matrix.alias("y"), F.expr(
         "x.token = y.token and (x.size < y.size or x.size = y.size and x.gid < y.gid)"
         " and (x.component != y.lo or x.component != y.hi)")) \
         .groupBy(F.col("x.sid").alias("sid"), F.col("y.gid").alias("gid")).agg(F.count("*").alias("n"))
-    asks = stored(counts.join(needed, "sid").where("n >= needed").select("gid", "sid"))
+    counts = counts.join(needed, "sid").join(common, "sid", "left").join(unions, "gid", "left")
+    asks = stored(counts.where("n + coalesce(size(array_intersect(common, union)), 0) >= needed").select("gid", "sid"))
     discard(mixed)
     return asks
 

@@ -249,6 +249,33 @@ def test_grids_equal_refits_on_each_fold(spark):
     assert len(degrees.names) == 14
 
 
+def test_degrees_take_every_column(spark):
+    from tidemark.plans.queries_learning import regression_grid
+    from tests.conftest import SF
+
+    rows = [r for r in regression_grid(spark, SF).collect() if r.model == "polynomial"]
+    assert len(rows) == 9 and {r.parameter for r in rows if r.chosen} == {1.0}
+    assert {r.nonzero for r in rows} == {23}  # of 24 columns, one of them constant
+
+
+def test_degrees_of_many_uneven_columns_equal_plain_least_squares(spark):
+    rng = np.random.default_rng(5)
+    x = np.stack([rng.integers(0, 2, 400), *rng.standard_t(3, (10, 400)), np.full(400, 7.0)], axis=1)
+    t = x[:, 0] * x[:, 10] + x[:, 9] ** 2 - 3 * x[:, 8]
+    names = [f"f{i}" for i in range(12)]
+    docs = spark.createDataFrame([(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, t, strict=True))],
+                                 "row_id long, " + ", ".join(f"{c} double" for c in [*names, "y"]))
+    found = G.degree_grid(docs, names, "y")
+    fold, z = numpy_folds(x, 3), (x - x.mean(axis=0)) / np.where(x.std(axis=0) > 0, x.std(axis=0), 1)
+    for d, k, mse in found.scores:
+        p = np.stack([np.prod(z[:, list(m)], axis=1) for m in G.monomials(12, int(d))], axis=1)
+        p, rest = p - p[fold != k].mean(axis=0), t - t[fold != k].mean()
+        w = np.linalg.lstsq(p[fold != k], rest[fold != k], rcond=1e-12)[0]  # 454 terms at degree 3: the least norm of many
+        want = np.mean((rest[fold == k] - p[fold == k] @ w) ** 2)
+        assert abs(mse - want) < 1e-6 * max(1, want), (d, k)
+    assert len(found.scores) == 9 and found.best == 2.0 and len(found.names) == 90 and {n for n, _ in found.interactions(1)} == {"f0 f10"}
+
+
 def test_mini_batches_beat_full_batch_steps(spark):
     x, y = data(400)
     docs = frame(spark, x, y)

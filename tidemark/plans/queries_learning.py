@@ -55,16 +55,17 @@ def grid_fold_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("regression_grid")
 def regression_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML2 + ML3 + ML4 + ML4b: error of every (alpha, fold) and (degree, fold), the chosen ones, non-zero and significant
-    coefficients and the largest interactions.  Degrees are tried on the ten columns most correlated with the target
-    (AGG11), as the products of all would be thousands."""
+    coefficients and the largest interactions.  Degrees are tried on all columns, in order of their correlation with the
+    target (AGG11); constant ones, which have none, come last."""
     from tidemark.operators.correlation import target_correlations
 
     g = _gold(spark, sf_dir)
     feats = _features(g)
     data = G.fold_sums(g, feats, TARGET, G.FOLDS)
-    top = [r["feature"] for r in target_correlations(fill_zero(g, [*feats, TARGET]), feats, TARGET, 10).collect()]
+    ranked = [r["feature"] for r in target_correlations(fill_zero(g, [*feats, TARGET]), feats, TARGET, None).collect()]
+    ranked += [f for f in feats if f not in ranked]
     rows = []
-    for result in (G.alpha_grid(data, "ridge", G.RIDGE_ALPHAS), G.alpha_grid(data, "lasso", G.LASSO_ALPHAS), G.degree_grid(g, top, TARGET)):
+    for result in (G.alpha_grid(data, "ridge", G.RIDGE_ALPHAS), G.alpha_grid(data, "lasso", G.LASSO_ALPHAS), G.degree_grid(g, ranked, TARGET)):
         words = ", ".join(f"{n} {c:.6f}" for n, c in result.interactions()) if result.model == "polynomial" else None
         rows += [(result.model, p, k, mse, p == result.best, result.nonzero(), result.significant(), words) for p, k, mse in result.scores]
     return spark.createDataFrame(rows, "model string, parameter double, fold int, mse double, chosen boolean, nonzero int, "

@@ -1,6 +1,7 @@
 """Tool-call linking against plain Python."""
 
 import json
+import random
 
 import pytest
 
@@ -65,6 +66,49 @@ def test_topological_levels_and_cycles(spark):
                 assert all(order.index(d) < order.index(c[2]) for d in c[5])
 
 
+def plain_depths(calls):
+    """Depth of every (conv_id, call_id); none on a cycle or behind one."""
+    named = {(c[0], c[2]): [(c[0], d) for d in c[5] or []] for c in calls}
+    named = {k: [d for d in deps if d in named] for k, deps in named.items()}
+    out = {}
+    while ready := [k for k, deps in named.items() if k not in out and all(d in out for d in deps)]:
+        out |= {k: max([out[d] + 1 for d in named[k]], default=0) for k in ready}
+    return {k: out.get(k) for k in named}
+
+
+def test_depth_of_every_call_in_turn_order_too(spark):
+    ok, rng = '{"a":1,"b":1}', random.Random(4)
+    calls = [(1, t, f"c{t}", "add", ok, [f"c{t - 1}"] if t else []) for t in range(40)]  # a chain, in turn order
+    calls += [(2, t, f"c{t}", "add", ok, [f"c{t - i}" for i in (1, 2, 5) if t >= i]) for t in range(12)]  # several names
+    calls += [(3, t, f"c{t}", "add", ok, [f"c{rng.randrange(t)}"] if t else []) for t in range(60)]  # a tree
+    calls += [(4, 50 - t, f"c{t}", "add", ok, [f"c{rng.randrange(t)}" for _ in range(rng.randrange(4))] if t else []) for t in range(50)]
+    calls += [(5, t, f"c{t}", "add", ok, [f"c{rng.randrange(30)}"] * (t % 3 > 0)) for t in range(30)]  # with cycles
+    calls += [(6, t, f"c{t}", "add", ok, [f"c{(t + 1) % 3}"]) for t in range(3)] + [(6, 9, "behind", "add", ok, ["c1", "free"]), (6, 8, "free", "add", ok, None)]
+    calls += [(7, t, f"c{t}", "add", ok, [f"c{t - 1}", f"c{t - 2}"] if t % 2 == 0 and t else [f"c{t - 1}"] if t else []) for t in range(25)]
+    calls += [(8, t, f"c{t}", "add", ok, [f"c{i}" for i in range(t)]) for t in range(30)]  # all before
+    got, want = run(spark, calls, []), plain_depths(calls)
+    assert {k: r.depth for k, r in got.items()} == want and any(d is None for d in want.values())
+    ordered = {c for c in range(1, 9)} - {c[0] for c in calls for d in c[5] or [] for e in calls if (e[0], e[2]) == (c[0], d) and e[1] >= c[1]}
+    assert ordered >= {1, 2, 3, 7, 8} and all(r.level == (0 if k[0] in ordered else r.depth) for k, r in got.items())
+    assert all((r.status == "cyclic") == (want[k] is None) for k, r in got.items())
+
+
+def test_calls_without_turn_are_ordered(spark):
+    ok = '{"a":1,"b":1}'
+    got = run(spark, [(1, None, "a", "add", ok, []), (1, 2, "b", "add", ok, ["a", "zz"]), (1, 1, "c", "add", ok, ["b"]),
+                      (2, None, "x", "add", ok, ["y"]), (2, 3, "y", "add", ok, ["x"])], [])
+    assert {k[1]: (r.level, r.depth, r.errors) for k, r in got.items() if k[0] == 1} == {"a": (0, 0, []), "b": (1, 1, ["after:zz"]), "c": (2, 2, [])}
+    assert {k[1]: (r.level, r.depth, r.status) for k, r in got.items() if k[0] == 2} == {"x": (None, None, "cyclic"), "y": (None, None, "cyclic")}
+
+
+def test_query_gives_depths(spark):
+    rows = {(r.conv_id, r.call_id): r for r in op3_chat_tool_calls(spark, SF).collect()}
+    calls = [(t.conv_id, t.turn, f"call_{t.conv_id}_{t.turn}", None, None, [f"call_{t.conv_id}_{t.turn - 2}"] if t.turn >= 2 else [])
+             for t in spark.read.parquet(f"{SF}/conversations.parquet").collect() if t.role == "user"]
+    want = plain_depths(calls)
+    assert {k: r.depth for k, r in rows.items() if r.n_calls} == want and max(want.values()) > 1
+
+
 def test_empty(spark):
     assert run(spark, [], []) == {}
     df = spark.createDataFrame([(None, None, None, None, 1), (1, 0, "user", None, 1), (1, 0, "user", None, 1)], "conv_id long, turn long, role string, text string, CONTENT int")
